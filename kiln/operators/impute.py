@@ -1,0 +1,38 @@
+"""Imputation of missing cells from statistics of the surviving rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from kiln.operators.aggregates import median_of, mode_of
+
+
+def impute_median(df: DataFrame, column: str, stats_from: DataFrame | None = None,
+                  method: str = "exact") -> Column:
+    """``column`` with nulls replaced by the median of ``stats_from`` (default: ``df``).
+
+    ``method="approx"`` uses ``percentile_approx`` (bounded sketch, rank error 1/10000)
+    for very high-cardinality columns.
+    """
+    src = stats_from if stats_from is not None else df
+    if method == "approx":
+        stat = src.select(F.percentile_approx(F.col(column), 0.5, 10000)).scalar()
+    else:
+        stat = median_of(src, column)
+    return F.coalesce(F.col(column), stat)
+
+
+def impute_mode(df: DataFrame, column: str, stats_from: DataFrame | None = None,
+                fallback: str | None = "Unknown") -> Column:
+    """``column`` with nulls replaced by its most frequent value (smallest on ties)."""
+    src = stats_from if stats_from is not None else df
+    stat = mode_of(src, column)
+    if fallback is not None:
+        stat = F.coalesce(stat, F.lit(fallback))
+    return F.coalesce(F.col(column), stat)
+
+
+def impute_const(column, value) -> Column:
+    c = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(c, F.lit(value))
