@@ -52,6 +52,17 @@ def checkpoint_stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def parquet_stage(df: DataFrame) -> DataFrame:
+    """Materialise a labelled frame as a parquet table under the shared checkpoint folder
+    and continue from the written table (columnar, compressed, survives executor loss)."""
+    import uuid
+
+    from kiln.session import staging_root
+    path = staging_root(df.sparkSession, f"labelled-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def lazy_stage(df: DataFrame) -> DataFrame:
     return df
 
@@ -69,7 +80,8 @@ def clean_users(bronze: DataFrame, run_ts: datetime | None = None,
     df = reject_if(df, F.col("user_id").isNull(), NULL_USER_ID)
     df = df.withColumn("_signup", parse_date("signup_date", USERS_DATE_FORMATS))
     df = reject_if(df, F.col("_signup").isNull(), INVALID_SIGNUP_DATE)
-    df = stage(reject_duplicates(df, "user_id", DUPLICATE_USER_ID, audit=audit_duplicates))
+    # Keep-first reads its input twice (first copy per key, then the join back): stage it.
+    df = stage(reject_duplicates(stage(df), "user_id", DUPLICATE_USER_ID, audit=audit_duplicates))
     clean = [F.col("user_id"), F.col("name"), F.col("gender"),
              to_int_half_even(to_number("age")).alias("age"),
              F.col("_signup").alias("signup_date"), F.col("city")]
@@ -82,7 +94,7 @@ def clean_captains(bronze: DataFrame, run_ts: datetime | None = None,
     (age truncated, rating half-even to 1 dp) -> reject blank name (after the medians)."""
     df = start(bronze)
     df = reject_if(df, F.col("captain_id").isNull(), NULL_CAPTAIN_ID)
-    df = reject_duplicates(df, "captain_id", DUPLICATE_CAPTAIN_ID)
+    df = reject_duplicates(stage(df), "captain_id", DUPLICATE_CAPTAIN_ID)
     df = stage(df.withColumn("_age", to_number("age")).withColumn("_rating", to_number("rating")))
     survivors = alive(df)
     med_age, med_rating = median_of(survivors, "_age"), median_of(survivors, "_rating")
@@ -108,7 +120,7 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
     df = reject_if(df, F.col("_date").isNull(), NULL_OR_INVALID_RIDE_DATE)
     df = reject_orphans(df, "user_id", users, "user_id", USER_NOT_IN_USERS)
     df = reject_orphans(df, "captain_id", captains, "captain_id", CAPTAIN_NOT_IN_CAPTAINS)
-    df = reject_duplicates(df, "ride_id", DUPLICATE_RIDE_ID)
+    df = reject_duplicates(stage(df), "ride_id", DUPLICATE_RIDE_ID)
     df = stage(df.withColumn("_dist", to_number("distance_km"))
                .withColumn("_dur", to_number("duration_min")))
     survivors = alive(df)

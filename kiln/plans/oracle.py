@@ -528,3 +528,35 @@ FROM captain_side cs LEFT JOIN left_side ls ON cs.captain_id = ls.captain_id""")
                           "NULLIF(comments, '') AS comments FROM b_feedback"),
     "export_snapshot": _q("SELECT captain_id, name, status FROM g_captains"),
 }
+
+
+def _violation_sql(table: str, chk) -> str:
+    t, c = f"s_{table}", chk.column
+    head = f"SELECT '{table}' AS table_name, '{chk.name}' AS check_name, '{c}' AS column_name, "
+    if chk.kind == "not_null":
+        return head + f"COUNT(*) FILTER (WHERE {c} IS NULL) AS violations FROM {t}"
+    if chk.kind == "range":
+        conds = []
+        if chk.low is not None:
+            conds.append(f"{c} {'<' if chk.low_inclusive else '<='} {chk.low}")
+        if chk.high is not None:
+            conds.append(f"{c} > {chk.high}")
+        return head + f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND ({' OR '.join(conds)})) AS violations FROM {t}"
+    if chk.kind == "max_len":
+        return head + f"COUNT(*) FILTER (WHERE length({c}) > {chk.max_len}) AS violations FROM {t}"
+    if chk.kind == "unique":
+        return head + (f"COALESCE(SUM(n), 0) AS violations FROM (SELECT {c}, COUNT(*) AS n FROM {t} "
+                       f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)")
+    if chk.kind == "foreign_key":
+        return head + (f"COUNT(*) AS violations FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                       f"(SELECT 1 FROM s_{chk.ref_table} r WHERE r.{chk.ref_column} = x.{c})")
+    raise ValueError(chk.kind)
+
+
+def _violations_all() -> str:
+    from kiln.schemas import TABLES
+    parts = [_violation_sql(n, chk) for n, spec in TABLES.items() for chk in spec.checks]
+    return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+SQL["expectation_violations"] = _q(_violations_all())
