@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Distributed exact median: split grid size per level, sketch accuracy, narrowing levels.
+MEDIAN_GRID = 1000
+MEDIAN_ACCURACY = 10000
+MEDIAN_LEVELS = 2
+
 
 def mode_by(df: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:
     """Most frequent non-null ``value`` per ``keys``; ties go to the smallest value.
@@ -27,14 +32,72 @@ def mode_of(df: DataFrame, value: str) -> Column:
     return mode_by(df, [], value, "_mode").scalar()
 
 
-def median_of(df: DataFrame, value: str | Column) -> Column:
-    """Exact interpolated median as a scalar subquery.
+# Bands at or below this many rows go straight to the exact final step (one task sorts
+# at most this many distinct values).
+MEDIAN_FINAL_ROWS = 200_000
+
 
-    Spark's ``median`` combines partially per task into value->count maps, so memory
-    follows the number of distinct values, not rows.
+def exact_median(df: DataFrame, value: str | Column) -> float | None:
+    """Exact interpolated median (Spark ``median`` semantics) by distributed selection.
+
+    No task ever holds more than a narrow band of values: a bounded sketch over a
+    constant grid of G+1 fractions brackets the two middle ranks (its rank error is
+    below one grid cell, and the grid ends are the exact min and max, so stepping one
+    cell outward always encloses them); exact counts place the bracket; after at most
+    ``MEDIAN_LEVELS`` narrowings (or once the band is small) the exact ranks are read off
+    the band's distinct values. Only scalars (counts, at most G+1 split values) reach the
+    driver. A bracket that failed to enclose the targets raises instead of answering.
     """
     c = F.col(value) if isinstance(value, str) else value
-    return df.select(F.median(c).alias("_median")).scalar()
+    band = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull())
+    v = F.col("v")
+    n = band.count()
+    if n == 0:
+        return None
+    k1, k2 = (n - 1) // 2, n // 2
+    below, nb = 0, n
+    fractions = [j / MEDIAN_GRID for j in range(MEDIAN_GRID + 1)]
+    for _ in range(MEDIAN_LEVELS):
+        if nb <= MEDIAN_FINAL_ROWS:
+            break
+        splits = band.agg(F.percentile_approx("v", fractions, MEDIAN_ACCURACY)).first()[0]
+        i1 = max((k1 - below) * MEDIAN_GRID // nb - 1, 0)
+        i2 = min(-(-(k2 - below + 1) * MEDIAN_GRID // nb) + 1, MEDIAN_GRID)
+        lo, hi = splits[i1], splits[i2]
+        inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
+        row = band.agg(F.count_if(v < F.lit(lo)).alias("b"), F.count_if(inside).alias("m")).first()
+        if not (below + row["b"] <= k1 and below + row["b"] + row["m"] > k2):
+            raise ArithmeticError("median bracket did not enclose the middle ranks")
+        below, nb = below + row["b"], row["m"]
+        band = band.where(inside)
+    counts = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)),
+                        F.lit(0))
+    r1, r2 = k1 - below, k2 - below
+    picked = (counts.select("v", "c", before.alias("cb"))
+              .where(((F.col("cb") <= r1) & (F.lit(r1) < F.col("cb") + F.col("c")))
+                     | ((F.col("cb") <= r2) & (F.lit(r2) < F.col("cb") + F.col("c"))))
+              .orderBy("v").collect())
+    if not picked:
+        raise ArithmeticError("median ranks not found in the final band")
+    a = next(float(p["v"]) for p in picked if p["cb"] <= r1 < p["cb"] + p["c"])
+    b = next(float(p["v"]) for p in picked if p["cb"] <= r2 < p["cb"] + p["c"])
+    if k1 == k2 or a == b:
+        return a
+    return 0.5 * a + 0.5 * b
+
+
+def median_of(df: DataFrame, value: str | Column, method: str = "distributed") -> Column:
+    """Exact median of ``value`` over ``df`` as a literal for use in expressions.
+
+    ``distributed`` (default) runs ``exact_median``; ``spark`` embeds the built-in
+    ``median`` as a scalar subquery (its final task merges a value->count map with every
+    distinct value of the column).
+    """
+    if method == "spark":
+        c = F.col(value) if isinstance(value, str) else value
+        return df.select(F.median(c).alias("_median")).scalar()
+    return F.lit(exact_median(df, value)).cast("double")
 
 
 def avg_nonzero(c) -> Column:
