@@ -71,8 +71,14 @@ def test_dashboard_grain(spark):
     u, c, r, p, f = _silver(spark)
     rows = G.dashboard(u, r, p, f, c).collect()
     assert len(rows[0]) == 30
-    # r1: 2 payments x 2 feedback = 4, r2: 1 x 1, r3: 1 (no payment/feedback), u3: 1, c3: 1
+    # r1: 2 payments and 2 feedback rows listed side by side (no cross product) = 4,
+    # r2: 1 x 1, r3: 1 (no payment/feedback), u3: 1, c3: 1
     assert len(rows) == 8
+    r1 = [x for x in rows if x["ride_id"] == "r1"]
+    assert sorted((x["payment_id"] or "", x["feedback_id"] or "") for x in r1) == [
+        ("", "f1"), ("", "f2"), ("p1", ""), ("p2", "")]
+    r2 = [x for x in rows if x["ride_id"] == "r2"]
+    assert [(x["payment_id"], x["feedback_id"]) for x in r2] == [("p3", "f3")]
     c3 = [x for x in rows if x["captain_name"] == "Cap3"][0]
     assert c3["user_id"] is None and c3["captain_id"] == "c3"
     assert rows[-1]["user_id"] is None          # nulls last
@@ -80,6 +86,19 @@ def test_dashboard_grain(spark):
     assert fan["c1"]["left_rows"] == 5 and fan["c1"]["captain_rows"] == 2 and fan["c1"]["fanout_rows"] == 10
 
 
+def test_dashboard_matches_join_when_one_side_single(spark):
+    """With at most one feedback row per ride the rows equal payments LEFT JOIN feedback."""
+    u, c, r, p, f = _silver(spark)
+    f1 = f.where("feedback_id <> 'f2'")
+    rows = G.dashboard(u, r, p, f1, c).collect()
+    r1 = sorted((x["payment_id"], x["feedback_id"]) for x in rows if x["ride_id"] == "r1")
+    assert r1 == [("p1", "f1"), ("p2", "f1")]
+    p1 = p.where("payment_id <> 'p2'")
+    rows = G.dashboard(u, r, p1, f, c).collect()
+    r1 = sorted((x["payment_id"], x["feedback_id"]) for x in rows if x["ride_id"] == "r1")
+    assert r1 == [("p1", "f1"), ("p1", "f2")]
+
+
 def test_reconciliation(spark):
     u, c, r, p, f = _silver(spark)
     ua = G.user_aggregate(u, r, p, f, "2023-02-01")
