@@ -116,3 +116,25 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
         publish_snapshot(ua, cfg.export_dir, "users_data")
         publish_snapshot(ca, cfg.export_dir, "captains_data")
     return {"counts": counts, "report": report_path, "batch_id": cfg.batch_id}
+
+
+def register_layers(spark: SparkSession, root: str, layers=("silver", "audit", "gold", "reports")) -> list[str]:
+    """Expose written layer tables to Spark SQL as temp views named ``<layer>_<table>``
+    (e.g. ``SELECT * FROM gold_captain_aggregate``). Returns the view names."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = []
+    for layer in layers:
+        base = jvm.org.apache.hadoop.fs.Path(layer_path(root, layer, "")[:-1])
+        fs = base.getFileSystem(conf)
+        if not fs.exists(base):
+            continue
+        for st in fs.listStatus(base):
+            if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")):
+                table = st.getPath().getName()
+                if table.endswith("_csv"):
+                    continue
+                view = f"{layer}_{table}"
+                spark.read.parquet(st.getPath().toString()).createOrReplaceTempView(view)
+                names.append(view)
+    return names

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from kiln.plans.pipeline import PipelineConfig, run
+from kiln.plans.pipeline import PipelineConfig, register_layers, run
 from kiln.schemas import TABLES
 from kiln.streaming import ingest_landing, read_bronze
 from tests.conftest import SF001
@@ -22,6 +22,10 @@ def test_pipeline_end_to_end(spark):
     assert csv.columns == ["Metric", "Silver", "Gold", "Difference", "Status", "Entity"]
     assert spark.read.option("header", True).csv(os.path.join(root, "export", "captains_data")).count() \
         == c["silver.captains"]
+    views = register_layers(spark, root)
+    assert "gold_captain_aggregate" in views and "audit_rides" in views
+    n = spark.sql("SELECT SUM(total_rides) AS n FROM gold_captain_aggregate").first()["n"]
+    assert n == c["silver.rides"]
 
 
 def test_streaming_ingest_is_incremental(spark):
