@@ -197,8 +197,14 @@ def _ride_details(p: DataFrame, f: DataFrame) -> DataFrame:
     return a.unionByName(a_nopay).unionByName(b).unionByName(c_pay).unionByName(c_fb)
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from kiln.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
-              captains: DataFrame, sort: bool = True) -> DataFrame:
+              captains: DataFrame, sort: bool = True, stage=_checkpoint) -> DataFrame:
     """One row per user x ride x (payment, feedback) detail, with the ride's captain
     attached; users without rides and captains without rides appear with nulls on the
     other side.
@@ -218,7 +224,8 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
                         F.col("captain_rating").alias("feedback_captain_rating"),
                         "issue_category", "comments")
     ur = left_join_many(u, r, "user_id")
-    rwf = left_join_many(ur, _ride_details(p, f), "ride_id")
+    # The captain lookup reads the detail rows twice (join, and the ids in use): stage them.
+    rwf = stage(left_join_many(ur, _ride_details(p, f), "ride_id"))
     c = captains.select(F.col("captain_id").alias("_cap_id"), F.col("name").alias("captain_name"),
                         F.col("age").alias("captain_age"), F.col("city").alias("captain_city"),
                         F.col("rating").alias("captain_overall_rating"))
