@@ -60,3 +60,41 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(n_text + n_role + 24) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+SQL["op1_lattice_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), c(node, root) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.y, c.root FROM c JOIN l ON c.node = l.x
+), m AS (SELECT node, min(root) AS component_id FROM c GROUP BY node),
+n AS (SELECT x, count(*) AS k FROM l GROUP BY x)
+SELECT vec_id, coalesce(k, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m ON vec_id = node LEFT JOIN n ON vec_id = x
+"""
+
+SQL["op6_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + least(5, len(w)) - 1], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM w)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS k FROM s GROUP BY doc_id),
+l AS MATERIALIZED (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b USING (g)
+    WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * common >= 85 * (p.k + q.k - common)
+), c(node, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.y, c.root FROM c JOIN l ON c.node = l.x
+), m AS (SELECT node, min(root) AS component_id FROM c GROUP BY node)
+SELECT d.doc_id, coalesce(n.k, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN m ON d.doc_id = node LEFT JOIN n ON n.doc_id = d.doc_id
+"""
