@@ -1,7 +1,140 @@
-"""The corpus pipeline (stages are added as their operators land)."""
-STAGES = []
+"""The corpus pipeline: toxicity, near-dedup, substring dedup, mixing, packing.
+
+``STAGES`` lists ``(name, function)``; each function takes ``(spark, docs, sf_dir)`` and
+returns a DataFrame that is written as Parquet and read again as the next one's ``docs``.
+All but the last return the columns of ``documents``; ``n_chars`` follows the text.
+
+Stages keep rows with null ids or texts unless a decision concerns them: a null text is
+not toxic, has no near-duplicates and no repeats, and mixing takes none of its no words.
+Repeated rows are near-duplicates of each other: one stays.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kiln.llm import minhash, mixing, packing, suffix_array, toxicity
+from kiln.llm.queries import held_out
+from kiln.llm.seeds import Unpacker
+from kiln.llm.store import Stage
+
+#: SQL cannot express the learned score of the first stage.
 ORACLE_SQL = None
 
+_SCORE = "_toxicity_score"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    lexicon = toxicity.learn(docs, labels, ~held_out())
+    return toxicity.score(docs, lexicon, score_col=_SCORE).filter(F.col(_SCORE) < 0.5).drop(_SCORE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    rows = minhash.near_duplicates(docs, percent=80, shingle=5)[0]
+    key = ["doc_id", "_text_hash"]
+    rows = Stage(spark, "near-duplicates").put(
+        rows.filter("doc_id IS NOT NULL").withColumnRenamed("text_hash", "_text_hash"), "rows")
+    gone = rows.filter("NOT kept").select(*key).distinct()
+    stay = docs.withColumn("_text_hash", F.xxhash64("text")).join(gone, key, "left_anti")
+    repeated = rows.filter("kept").groupBy(*key).count().filter("count > 1").select(*key)
+    if not repeated.isEmpty():  # rows that share id and text
+        stay = stay.join(repeated, key, "left_anti").unionByName(
+            stay.join(repeated, key, "left_semi").dropDuplicates(key))
+    return stay.select(docs.columns)
+
+
+def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = Unpacker()
+    for b in batches:
+        texts = []
+        for packed, spans in zip(b.column("packed"), b.column("spans")):
+            packed, spans = packed.as_py(), spans.as_py()
+            # a character that is cut in two goes as a whole
+            texts.append(None if packed is None else suffix_array.kept_bytes(
+                packed, spans, unpack)[3].decode("utf-8", "ignore"))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id"), pa.array(texts, pa.string()), b.column("rest")],
+            ["doc_id", "text", "rest"])
+
+
+def _as_documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` in their order, ``n_chars`` counted anew."""
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        rows = rows.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
+    return rows.select(docs.columns)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of any 200-byte string that starts in two places."""
+    found = suffix_array.repeated_bytes(docs, window=200, with_rest=True)
+    rest = found.schema["rest"].dataType.simpleString()
+    out = found.mapInArrow(_without_spans, f"doc_id long, text string, rest {rest}")
+    return _as_documents(out.select("doc_id", "text", "rest.*").drop("_"), docs)
+
+
+def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts down to the words that the mix takes: ``_words`` from ``_start`` on."""
+    import re
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    for b in batches:
+        names = b.schema.names
+        texts = []
+        for text, size, start, words in zip(*(b.column(c).to_pylist() for c in (
+                "text", "_size", "_start", "_words"))):
+            if words < size:
+                at = [m.span() for m in word.finditer(text)][start:start + words]
+                text = text[at[0][0]:at[-1][1]]
+            texts.append(text)
+        at = names.index("text")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)],
+            names)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for every epoch that takes words of a document, with those words."""
+    mixed = mixing.mix(docs, weights=(5, 2, 1), max_epochs=3)
+    sizes = mixed.documents.select("src", "at", "hash", "doc_id", F.col("size").alias("_size"))
+    # the blocks that an epoch takes are consecutive, so a document's words are one stretch
+    taken = (mixed.rows.groupBy("src", "at", "hash", "doc_id", "epoch")
+             .agg(F.min("start").alias("_start"), F.sum("words").alias("_words")).alias("t")
+             .join(sizes.filter("_size > 0").alias("s"),
+                   [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
+                    for c in ("src", "at", "hash", "doc_id")])
+             .select(F.col("t.hash").alias("_hash"), F.col("t.doc_id").alias("_id"),
+                     "_start", "_words", "_size"))
+    one = docs.withColumn("_hash", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "_hash"])
+    rows = one.join(taken, ["_hash"]).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
+    return _as_documents(rows.mapInArrow(_cut_words, rows.schema), docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their sequence and offset."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("suffix_array_dedup", drop_repeated_passages),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
+
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    stage = Stage(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES:
+        docs = stage.put(function(spark, docs, sf_dir), name)
+    return docs

@@ -94,9 +94,9 @@ def _sketch(size: int, collections: int, rows: int):
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 values.append(hasher.values(s).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()),
                  pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "vals"])
+                ["doc_id", "text_hash", "n_shingles", "digest", "vals"])
     return work
 
 
@@ -166,9 +166,10 @@ class _Dedup:
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         stage = self.stage
-        sketches = stage.put(self.docs.mapInArrow(
+        hashed = self.docs.withColumn("text_hash", F.xxhash64("text"))
+        sketches = stage.put(hashed.mapInArrow(
             _sketch(self.size, self.collections, self.rows),
-            "doc_id long, n_shingles long, digest binary, vals array<long>"), "sketches")
+            "doc_id long, text_hash long, n_shingles long, digest binary, vals array<long>"), "sketches")
         reps = (sketches.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest")
                 .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
                      F.first("vals").alias("vals")))
@@ -229,13 +230,13 @@ class _Dedup:
             .join(smallest, "root", "left")
             .select("digest", F.coalesce("component_id", "first_id").alias("component_id")),
             "classes")
-        rows = sketches.select("doc_id", "n_shingles", "digest").join(
+        rows = sketches.select("doc_id", "text_hash", "n_shingles", "digest").join(
             classes, "digest", "left").select(
             "doc_id", "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-            .alias("component_id"))
-        rows = rows.withColumn(
-            "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+            .alias("component_id"), "text_hash")
+        kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+        rows = rows.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_hash")
         ids = reps.select("rep", "first_id")
         named_links = (links.join(ids.toDF("a", "doc_a"), "a").join(ids.toDF("b", "doc_b"), "b")
                        .select("doc_a", "doc_b"))
@@ -245,8 +246,8 @@ class _Dedup:
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, collections: int = 16,
                     rows: int = 3, small_bucket: int = 32, id_col: str = "doc_id",
                     text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(rows, links)``: ``doc_id, n_shingles, component_id, kept`` for every row, and
-    confirmed links between the smallest ids of equal sets. Two sets are linked when
+    """``(rows, links)``: ``doc_id, n_shingles, component_id, kept, text_hash`` for every row
+    (the hash tells rows apart that share an id), and confirmed links between the smallest ids of equal sets. Two sets are linked when
     ``100 * common >= percent * union``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return _Dedup(texts, percent, shingle, collections, rows, small_bucket).run()

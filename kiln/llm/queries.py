@@ -64,7 +64,8 @@ def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), percent=85, shingle=5)[0]
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), percent=85,
+                                   shingle=5)[0].drop("text_hash")
 
 
 # A conversation that contains turn markers itself.

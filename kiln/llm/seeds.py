@@ -117,8 +117,8 @@ def pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = [None if t is None else zip_.compress(t.encode("utf-8", "surrogatepass"))
                   for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), b.column("doc_id"), pa.array(packed, pa.binary())],
-            ["doc", "doc_id", "packed"])
+            [b.column("doc"), b.column("doc_id"), b.column("rest"), pa.array(packed, pa.binary())],
+            ["doc", "doc_id", "rest", "packed"])
 
 
 class Unpacker:
@@ -224,15 +224,20 @@ def _solve(units: Units, solver: Solver, kinds: list[pa.DataType], names: list[s
 
 
 class RepeatFinder:
-    def __init__(self, docs: DataFrame, units: Units, id_col: str, text_col: str, name: str):
+    def __init__(self, docs: DataFrame, units: Units, id_col: str, text_col: str, name: str,
+                 with_rest: bool = False):
         self.spark, self.units = docs.sparkSession, units
         self.stage = Stage(self.spark, name)
+        others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
         self.texts = self._bucketed(docs.select(
             F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc"),
-            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+            F.struct(F.lit(0).alias("_"), *(others if with_rest else [])).alias("rest")))
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
-        packed = rows.mapInArrow(pack_text, "doc long, doc_id long, packed binary")
+        from pyspark.sql.types import BinaryType, StructField, StructType
+        kept = [f for f in rows.schema.fields if f.name != "text"]
+        packed = rows.mapInArrow(pack_text, StructType([*kept, StructField("packed", BinaryType())]))
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         table = f"kiln_texts_{uuid.uuid4().hex}"
         (packed.repartition(buckets, "doc").write.bucketBy(buckets, "doc").format("parquet")
@@ -250,7 +255,7 @@ class RepeatFinder:
         kept = anchors.join(shared, "gram").groupBy("doc").agg(
             F.collect_set(F.struct("gram", "at")).alias("seeds"))  # of one document
         out = self.stage.put(
-            self.texts.join(kept, "doc").mapInArrow(_contexts(self.units, False), _OCCURRENCE),
+            self.texts.drop("rest").join(kept, "doc").mapInArrow(_contexts(self.units, False), _OCCURRENCE),
             "occurrences")
         self.stage.drop(shared)
         return out
@@ -273,7 +278,7 @@ class RepeatFinder:
         some = contexts.join(sizes, "gram")
         fetched = some.groupBy(F.col("place.doc").alias("doc")).agg(F.collect_list(F.struct(
             "gram", "context", "copies", "first_doc", F.col("place.at").alias("at"))).alias("seeds"))
-        rows = self.texts.join(fetched, "doc").mapInArrow(_contexts(self.units, True), _CONTEXT)
+        rows = self.texts.drop("rest").join(fetched, "doc").mapInArrow(_contexts(self.units, True), _CONTEXT)
         # documents that share an id and a text come back twice
         many = sizes.filter(F.col("n_contexts") > max_group)
         rows = self.stage.put(rows, "context-units")

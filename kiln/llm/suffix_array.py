@@ -96,11 +96,13 @@ def solve_intervals(units: Units, gram, context, copies, first_doc, before, raw)
 
 
 def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group: int = 4096,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, packed, spans`` for every row: the zstd-compressed text and the stretches
-    (start, end) of bytes to remove, which may overlap."""
+                   id_col: str = "doc_id", text_col: str = "text",
+                   with_rest: bool = False) -> DataFrame:
+    """``doc_id, rest, packed, spans`` for every row: the zstd-compressed text and the
+    stretches (start, end) of bytes to remove, which may overlap; with ``with_rest`` the
+    struct ``rest`` holds the other columns."""
     units = Units(words=False, window=window, gram=gram)
-    finder = RepeatFinder(docs, units, id_col, text_col, "suffix-array")
+    finder = RepeatFinder(docs, units, id_col, text_col, "suffix-array", with_rest)
     occurrences = finder.occurrences()
     contexts = finder.contexts(occurrences)
 
@@ -125,7 +127,8 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
              .select("doc", (F.col("at") - F.col("reach_left")).cast("int").alias("start"),
                      (F.col("at") + F.col("reach_right")).cast("int").alias("end"))
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    return finder.texts.join(spans, "doc", "left").select("doc_id", "packed", "spans")
+    return finder.texts.join(spans, "doc", "left").select(
+        "doc_id", "rest", "packed", "spans")
 
 
 def kept_bytes(packed: bytes | None, spans: list[dict] | None,

@@ -141,7 +141,8 @@ def repeated_words(docs: DataFrame, window: int = 13, gram: int = 5, max_group:
              .select("doc", "doc_id", "at", "before", "after", "firsts")
              .mapInArrow(_window_spans(units), "doc long, start int, end int")
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    return finder.texts.join(spans, "doc", "left").select("doc_id", "packed", "spans")
+    return finder.texts.join(spans, "doc", "left").select(
+        "doc_id", "packed", "spans")
 
 
 def kept_words(packed: bytes | None, spans: list[dict] | None,
