@@ -40,10 +40,28 @@ from kiln.llm.store import Stage
 _ODD = np.random.default_rng(5).integers(1, 2 ** 63, size=64, dtype=np.uint64) * 2 + 1
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words, A-Z lower-cased; words are split at ASCII white space."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and where each text's words end.
+
+    Words are split at ASCII white space; all texts are hashed together, eight bytes of
+    every word at a time."""
+    buf = np.frombuffer(b" ".join(raws) + b" " * 8, np.uint8)
+    inside = (buf != 32) & ((buf < 9) | (buf > 13))
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+    h = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows, at = np.arange(len(starts)), 0
+    while len(rows):
+        part = eight[starts[rows] + at] & _LOW_BYTES[np.minimum(sizes[rows] - at, 8)]
+        h[rows] = _scramble(h[rows] * np.uint64(0xA0761D6478BD642F) + part)
+        at += 8
+        rows = rows[sizes[rows] > at]
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    return h, np.searchsorted(starts, ends)
+
+
+_LOW_BYTES = np.array([2 ** (8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _scramble(h: np.ndarray) -> np.ndarray:
@@ -51,17 +69,26 @@ def _scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of ``size`` consecutive words; of all words if fewer."""
-    w = word_hashes(text)
-    if not len(w):
-        return w
-    size = min(size, len(w))
-    n = len(w) - size + 1
+def shingle_sets(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
+    """Sorted distinct hashes of ``size`` consecutive words of each text (of all its words
+    if it has fewer), A-Z lower-cased."""
+    words, ends = word_hashes([(t or "").encode("utf-8", "surrogatepass").lower()
+                               for t in texts])
+    n = max(0, len(words) - size + 1)
     h = np.zeros(n, np.uint64)
     for i in range(size):
-        h = _scramble(h + w[i:i + n] * _ODD[i])
-    return np.unique(h)
+        h = _scramble(h + words[i:i + n] * _ODD[i])
+    out, start = [], 0
+    for end in ends.tolist():
+        if end - start >= size or end == start:
+            out.append(np.unique(h[start:max(start, end - size + 1)]))
+        else:
+            few = np.zeros(1, np.uint64)
+            for i, w in enumerate(words[start:end]):
+                few = _scramble(few + w * _ODD[i])
+            out.append(few)
+        start = end
+    return out
 
 
 class MinHasher:
@@ -75,8 +102,12 @@ class MinHasher:
         self.offsets = rng.integers(0, 2 ** 63, size=n, dtype=np.uint64)
 
     def values(self, hashes: np.ndarray) -> np.ndarray:
-        low = np.array([(_scramble(hashes * f + o)).min()
-                        for f, o in zip(self.factors, self.offsets)], np.uint64)
+        low = np.empty(len(self.factors), np.uint64)
+        for at in range(0, len(hashes), 4096):  # pieces that stay in the processor's cache
+            part = hashes[at:at + 4096]
+            piece = np.array([_scramble(part * f + o).min()
+                              for f, o in zip(self.factors, self.offsets)], np.uint64)
+            low = np.minimum(low, piece) if at else piece
         out = np.zeros(self.shape[0], np.uint64)
         for r in range(self.shape[1]):
             out = _scramble(out * np.uint64(0x9E3779B97F4A7C15) + low.reshape(self.shape)[:, r])
@@ -88,8 +119,7 @@ def _sketch(size: int, collections: int, rows: int):
         hasher = MinHasher(collections, rows)
         for batch in batches:
             counts, digests, values = [], [], []
-            for text in batch.column("text"):
-                s = shingle_set(text.as_py(), size)
+            for s in shingle_sets(batch.column("text").to_pylist(), size):
                 counts.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 values.append(hasher.values(s).view(np.int64) if len(s) else None)
@@ -103,9 +133,9 @@ def _sketch(size: int, collections: int, rows: int):
 def _full_sets(size: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sets = shingle_sets(batch.column("text").to_pylist(), size)
                 same = [xxhash.xxh3_128_digest(s.tobytes()) == d.as_py()
                         for s, d in zip(sets, batch.column("digest"))]
                 keep = [i for i, ok in enumerate(same) if ok]  # of rows that share an id

@@ -5,7 +5,8 @@ units. Of the ``gram``-unit grams in every window the one with the smallest hash
 seed (the leftmost of equal ones), so equal windows have equal seeds at equal places, and
 only seeds - a small share of all positions - have to be compared:
 
-1. ``anchors``: seeds of every document, whole texts; those whose gram occurs once in the
+1. ``anchors``: seeds of every different text, whole texts (of equal texts the one with
+   the smallest id stands for all); those whose gram occurs once in the
    whole corpus are dropped (counts are combined map-side, the join back is a plain join
    that adaptive execution can split where a gram is hot).
 2. ``occurrences``: each remaining seed with a digest of its context, the ``window - gram``
@@ -34,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.minhash import _ODD, _scramble
+from kiln.llm.minhash import _ODD, _scramble, word_hashes
 from kiln.llm.store import Stage
 
 LAST = 2 ** 63 - 1  # the order of a null id: after all others
@@ -57,34 +58,36 @@ class Units:
     def width(self) -> int:
         return 8 if self.words else 1
 
-    def of(self, raw: bytes) -> np.ndarray:
+    def of(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all texts, one after the other, and where each text's end."""
         if self.words:
-            w = raw.split()
-            return np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
-        return np.frombuffer(raw, np.uint8)
+            return word_hashes(raws)
+        return np.frombuffer(b"".join(raws), np.uint8), np.cumsum([len(r) for r in raws])
 
     def grams(self, units: np.ndarray) -> np.ndarray:
         """Hashes of the grams at every position that has one."""
-        n = len(units) - self.gram + 1
-        h = np.zeros(max(0, n), np.uint64)
-        if n <= 0:
-            return h
+        n = max(0, len(units) - self.gram + 1)
+        h = np.zeros(n, np.uint64)
         if self.words:
             for i in range(self.gram):
                 h = _scramble(h + units[i:i + n] * _ODD[i])
-        else:  # eight bytes at a time
-            raw = np.ascontiguousarray(units)
-            eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        elif n:  # eight bytes at a time
+            eight = np.ndarray(len(units) - 7, "<u8", units, strides=(1,))
             for i in range(0, self.gram, 8):
                 h = _scramble(h + eight[i:i + n] * _ODD[i % 64])
         return h >> _GRAM_BITS
 
-    def seeds(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and gram hashes of the seeds of all windows."""
-        h = self.grams(units)
+    def seeds(self, units: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and gram hashes of the seeds of all windows inside one text."""
         if len(units) < self.window:
-            return np.zeros(0, np.int64), h[:0]
-        at = np.unique(sliding_argmin(h, self.window - self.gram + 1))
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        h = self.grams(units)
+        at = sliding_argmin(h, self.window - self.gram + 1)
+        crossing = np.zeros(len(at) + self.window, np.int32)
+        for end in ends[:-1].tolist():  # windows over the end of a text
+            crossing[max(0, end - self.window + 1):end] = 1
+        at = at[crossing[:len(at)] == 0]
+        at = at[np.flatnonzero(np.diff(at, prepend=-1))]
         return at, h[at]
 
 
@@ -113,12 +116,13 @@ def sliding_argmin(h: np.ndarray, width: int) -> np.ndarray:
 def pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as zstd-compressed UTF-8."""
     zip_ = zstandard.ZstdCompressor(level=3)
-    for b in batches:
+    for b in _slices(batches, 256):
         packed = [None if t is None else zip_.compress(t.encode("utf-8", "surrogatepass"))
                   for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), b.column("doc_id"), b.column("rest"), pa.array(packed, pa.binary())],
-            ["doc", "doc_id", "rest", "packed"])
+            [*(b.column(c) for c in ("doc", "doc_id", "text_hash", "size", "rest")),
+             pa.array(packed, pa.binary())],
+            ["doc", "doc_id", "text_hash", "size", "rest", "packed"])
 
 
 class Unpacker:
@@ -129,21 +133,23 @@ class Unpacker:
         return b"" if packed is None else self.zip.decompress(packed)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _anchors(units: Units):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = Unpacker()
-        for b in batches:
-            grams, places, keep = [], [], []
-            for i, packed in enumerate(b.column("packed")):
-                at, g = units.seeds(units.of(unpack(packed.as_py())))
-                if len(at):
-                    keep.append(i)
-                    grams.append(g.view(np.int64))
-                    places.append(at.astype(np.int32))
-            rows = pa.array(keep, pa.int64())
+        for b in _slices(batches, 128):
+            all_units, ends = units.of([unpack(x.as_py()) for x in b.column("packed")])
+            at, grams = units.seeds(all_units, ends)
+            text = np.searchsorted(ends, at, side="right")
+            start = np.r_[0, ends][text]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc").take(rows), pa.array(grams, pa.list_(pa.int64())),
-                 pa.array(places, pa.list_(pa.int32()))], ["doc", "grams", "places"])
+                [b.column("doc").take(pa.array(text)), pa.array(grams.view(np.int64)),
+                 pa.array((at - start).astype(np.int32))], ["doc", "gram", "at"])
     return work
 
 
@@ -153,35 +159,35 @@ def _contexts(units: Units, with_units: bool):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = Unpacker()
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                b = whole.slice(start, 256)
-                rows: list[tuple] = []
-                for doc, doc_id, packed, seeds in zip(
-                        b.column("doc").to_pylist(), b.column("doc_id").to_pylist(),
-                        b.column("packed").to_pylist(), b.column("seeds").to_pylist()):
-                    u = units.of(unpack(packed))
-                    raw, n = u.tobytes(), len(u)
-                    for s in seeds:
-                        at = s["at"]
-                        lo, hi = max(0, at - units.left), min(n, at + units.window)
-                        context = raw[lo * width:hi * width]
-                        if with_units:
-                            rows.append((s["gram"], s["context"], s["copies"], s["first_doc"],
-                                         at - lo, context))
-                        else:
-                            # where the context is cut short belongs to it
-                            digest = xxhash.xxh3_64_intdigest(context, seed=at - lo)
-                            rows.append((doc, doc_id, s["gram"], digest - 2 ** 63, at, at - lo,
-                                         hi - at))
-                names = ["gram", "context", "copies", "first_doc", "before", "units"] \
-                    if with_units else ["doc", "doc_id", "gram", "context", "at", "before", "after"]
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()] \
-                    if with_units else [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(),
-                                        pa.int32(), pa.int32()]
-                cols = zip(*rows) if rows else [()] * len(names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, kinds)], names)
+        for b in _slices(batches, 128):
+            rows: list[tuple] = []
+            all_units, ends = units.of([unpack(x.as_py()) for x in b.column("packed")])
+            raw = all_units.tobytes()
+            first = 0
+            for doc, doc_id, end, seeds in zip(
+                    b.column("doc").to_pylist(), b.column("doc_id").to_pylist(), ends.tolist(),
+                    b.column("seeds").to_pylist()):
+                for s in seeds:
+                    at = first + s["at"]
+                    lo, hi = max(first, at - units.left), min(end, at + units.window)
+                    context = raw[lo * width:hi * width]
+                    if with_units:
+                        rows.append((s["gram"], s["context"], s["copies"], s["first_doc"],
+                                     at - lo, context))
+                    else:
+                        # where the context is cut short belongs to it
+                        digest = xxhash.xxh3_64_intdigest(context, seed=at - lo)
+                        rows.append((doc, doc_id, s["gram"], digest - 2 ** 63, s["at"], at - lo,
+                                     hi - at))
+                first = end
+            names = ["gram", "context", "copies", "first_doc", "before", "units"] \
+                if with_units else ["doc", "doc_id", "gram", "context", "at", "before", "after"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()] \
+                if with_units else [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(),
+                                    pa.int32(), pa.int32()]
+            cols = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, kinds)], names)
     return work
 
 
@@ -232,6 +238,8 @@ class RepeatFinder:
         self.texts = self._bucketed(docs.select(
             F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc"),
             F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+            F.xxhash64(F.col(text_col)).alias("text_hash"),
+            F.coalesce(F.length(F.col(text_col)), F.lit(0)).alias("size"),
             F.struct(F.lit(0).alias("_"), *(others if with_rest else [])).alias("rest")))
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
@@ -244,19 +252,31 @@ class RepeatFinder:
          .option("path", self.stage.path("texts")).saveAsTable(table))
         return self.spark.table(table)
 
-    def occurrences(self) -> DataFrame:
-        found = self.texts.select("doc", "packed").mapInArrow(
-            _anchors(self.units), "doc long, grams array<long>, places array<int>")
-        anchors = found.select("doc", F.explode(F.arrays_zip("grams", "places")).alias("s")) \
-            .select("doc", F.col("s.grams").alias("gram"), F.col("s.places").alias("at"))
+    def copies(self) -> tuple[DataFrame, DataFrame]:
+        """Texts that occur once or come first among equal ones (``doc``), and the rows of
+        texts with several copies: ``doc, later`` (later: of a larger id than the first)."""
+        order = F.coalesce("doc_id", F.lit(LAST))
+        rows = self.texts.select("doc", "text_hash", "size", order.alias("o"))
+        classes = self.stage.put(
+            rows.groupBy("text_hash", "size").agg(F.count("*").alias("n"),
+                                                  F.min(F.struct("o", "doc")).alias("first")),
+            "copies")
+        copied = (rows.join(classes.filter("n > 1"), ["text_hash", "size"])
+                  .groupBy("doc").agg(F.max(F.col("o") > F.col("first.o")).alias("later")))
+        return classes.select(F.col("first.doc").alias("doc")), copied
+
+    def occurrences(self, firsts: DataFrame) -> DataFrame:
+        """Seeds of the texts in ``firsts`` whose gram occurs twice or more."""
+        anchors = self.texts.select("doc", "packed").join(firsts, "doc", "left_semi").mapInArrow(
+            _anchors(self.units), "doc long, gram long, at int")
         shared = self.stage.put(
             anchors.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"),
             "shared-grams")
         kept = anchors.join(shared, "gram").groupBy("doc").agg(
             F.collect_set(F.struct("gram", "at")).alias("seeds"))  # of one document
         out = self.stage.put(
-            self.texts.drop("rest").join(kept, "doc").mapInArrow(_contexts(self.units, False), _OCCURRENCE),
-            "occurrences")
+            self.texts.select("doc", "doc_id", "packed").join(kept, "doc").mapInArrow(
+                _contexts(self.units, False), _OCCURRENCE), "occurrences")
         self.stage.drop(shared)
         return out
 
@@ -271,14 +291,14 @@ class RepeatFinder:
 
     def solve(self, contexts: DataFrame, solver: Solver, schema: str,
               oversize: Callable[[DataFrame], DataFrame], max_group: int,
-              rows_at_once: int = 30_000) -> DataFrame:
+              rows_at_once: int = 10_000) -> DataFrame:
         """The solver's rows for the contexts of grams that have several contexts."""
         sizes = self.stage.put(contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"))
                                .filter("n_contexts > 1"), "group-sizes")
         some = contexts.join(sizes, "gram")
         fetched = some.groupBy(F.col("place.doc").alias("doc")).agg(F.collect_list(F.struct(
             "gram", "context", "copies", "first_doc", F.col("place.at").alias("at"))).alias("seeds"))
-        rows = self.texts.drop("rest").join(fetched, "doc").mapInArrow(_contexts(self.units, True), _CONTEXT)
+        rows = self.texts.select("doc", "doc_id", "packed").join(fetched, "doc").mapInArrow(_contexts(self.units, True), _CONTEXT)
         # documents that share an id and a text come back twice
         many = sizes.filter(F.col("n_contexts") > max_group)
         rows = self.stage.put(rows, "context-units")

@@ -31,17 +31,20 @@ class Stage:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/kiln-llm/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        # Texts can be very long: fewer rows travel to Python workers at once.
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
 
     def path(self, name: str) -> str:
         self._n += 1
         return f"{self.root}/{self._n:03d}-{name}"
 
-    def put(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    def put(self, df: DataFrame, name: str) -> DataFrame:
         where = self.path(name)
-        writer = df.write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(where)
+        # Spark deletes the shuffle files of finished steps when the driver collects their
+        # plans; asking for it here keeps only the current step's files on the disks.
+        self.spark.sparkContext._jvm.System.gc()
+        df.write.parquet(where)
         back = self.spark.read.schema(df.schema).parquet(where)
         back._kiln_path = where
         return back

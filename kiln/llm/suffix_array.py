@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.seeds import RepeatFinder, Units, Unpacker
-from kiln.llm.suffix_tree import merged
+from kiln.llm.suffix_tree import merged, whole_text
 
 
 def _padded(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +103,8 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
     struct ``rest`` holds the other columns."""
     units = Units(words=False, window=window, gram=gram)
     finder = RepeatFinder(docs, units, id_col, text_col, "suffix-array", with_rest)
-    occurrences = finder.occurrences()
+    firsts, copies = finder.copies()
+    occurrences = finder.occurrences(firsts)
     contexts = finder.contexts(occurrences)
 
     def by_window(rows: DataFrame) -> DataFrame:
@@ -127,15 +128,19 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
              .select("doc", (F.col("at") - F.col("reach_left")).cast("int").alias("start"),
                      (F.col("at") + F.col("reach_right")).cast("int").alias("end"))
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    return finder.texts.join(spans, "doc", "left").select(
-        "doc_id", "rest", "packed", "spans")
+    # every string of a text that has copies starts in another one as well
+    whole = copies.select("doc", F.lit(True).alias("whole"))
+    return finder.texts.join(spans, "doc", "left").join(whole, "doc", "left").select(
+        "doc_id", "rest", "packed",
+        F.when(F.col("whole"), F.array(F.struct(F.lit(0).alias("start"), F.lit(-window).alias("end"))))
+        .otherwise(F.col("spans")).alias("spans"))
 
 
 def kept_bytes(packed: bytes | None, spans: list[dict] | None,
                unpack: Unpacker) -> tuple[int, int, int, bytes]:
     """Bytes, removed bytes, removed stretches, and the bytes that stay."""
     raw = unpack(packed)
-    gone = merged(spans)
+    gone = merged(whole_text(spans, len(raw)))
     at, kept = 0, []
     for start, end in gone:
         kept.append(raw[at:start])

@@ -113,10 +113,11 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 def repeated_words(docs: DataFrame, window: int = 13, gram: int = 5, max_group: int = 4096,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, packed, spans`` for every row: the zstd-compressed text and the stretches
-    (start, end) of words to remove, which may overlap."""
+    (start, end) of words to remove, which may overlap; ``kept_words`` reads them."""
     units = Units(words=True, window=window, gram=gram)
     finder = RepeatFinder(docs, units, id_col, text_col, "suffix-tree")
-    occurrences = finder.occurrences()
+    firsts, copied = finder.copies()
+    occurrences = finder.occurrences(firsts)
     contexts = finder.contexts(occurrences)
     n = units.left + 1
 
@@ -141,8 +142,19 @@ def repeated_words(docs: DataFrame, window: int = 13, gram: int = 5, max_group:
              .select("doc", "doc_id", "at", "before", "after", "firsts")
              .mapInArrow(_window_spans(units), "doc long, start int, end int")
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
-    return finder.texts.join(spans, "doc", "left").select(
-        "doc_id", "packed", "spans")
+    # a copy of a text that a smaller id has loses all its windows
+    later = copied.filter("later").select("doc", F.lit(True).alias("later"))
+    return finder.texts.join(spans, "doc", "left").join(later, "doc", "left").select(
+        "doc_id", "packed",
+        F.when(F.col("later"), F.array(F.struct(F.lit(0).alias("start"), F.lit(-window).alias("end"))))
+        .otherwise(F.col("spans")).alias("spans"))
+
+
+def whole_text(spans: list[dict] | None, units: int) -> list[dict] | None:
+    """A span that ends at ``-window`` covers all of a text of a window or more."""
+    if spans and spans[0]["end"] < 0:
+        return [{"start": 0, "end": units}] if units >= -spans[0]["end"] else []
+    return spans
 
 
 def kept_words(packed: bytes | None, spans: list[dict] | None,
@@ -150,7 +162,7 @@ def kept_words(packed: bytes | None, spans: list[dict] | None,
     """Words, removed words, and the words that stay, unchanged."""
     words = unpack(packed).split()
     kept, at, gone = [], 0, 0
-    for start, end in merged(spans):
+    for start, end in merged(whole_text(spans, len(words))):
         kept += words[at:start]
         gone += end - start
         at = end
