@@ -54,6 +54,11 @@ class Units:
     def left(self) -> int:
         return self.window - self.gram
 
+    @property
+    def texts_at_once(self) -> int:
+        """Few enough for their hashes to stay in the processor's cache."""
+        return 128 if self.words else 16
+
     @property
     def width(self) -> int:
         return 8 if self.words else 1
@@ -142,7 +147,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 def _anchors(units: Units):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = Unpacker()
-        for b in _slices(batches, 128):
+        for b in _slices(batches, units.texts_at_once):
             all_units, ends = units.of([unpack(x.as_py()) for x in b.column("packed")])
             at, grams = units.seeds(all_units, ends)
             text = np.searchsorted(ends, at, side="right")
@@ -295,23 +300,27 @@ class RepeatFinder:
         """The solver's rows for the contexts of grams that have several contexts."""
         sizes = self.stage.put(contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"))
                                .filter("n_contexts > 1"), "group-sizes")
-        some = contexts.join(sizes, "gram")
-        fetched = some.groupBy(F.col("place.doc").alias("doc")).agg(F.collect_list(F.struct(
-            "gram", "context", "copies", "first_doc", F.col("place.at").alias("at"))).alias("seeds"))
-        rows = self.texts.select("doc", "doc_id", "packed").join(fetched, "doc").mapInArrow(_contexts(self.units, True), _CONTEXT)
-        # documents that share an id and a text come back twice
-        many = sizes.filter(F.col("n_contexts") > max_group)
-        rows = self.stage.put(rows, "context-units")
-        normal = rows.join(many, "gram", "left_anti")
+
+        def with_units(grams: DataFrame) -> DataFrame:
+            fetched = contexts.join(grams.select("gram"), "gram").groupBy(
+                F.col("place.doc").alias("doc")).agg(F.collect_list(F.struct(
+                    "gram", "context", "copies", "first_doc", F.col("place.at").alias("at")))
+                .alias("seeds"))
+            # texts that share document key and place come back twice: solvers allow it
+            return self.texts.select("doc", "doc_id", "packed").join(fetched, "doc").mapInArrow(
+                _contexts(self.units, True), _CONTEXT)
+
         from pyspark.sql.types import _parse_datatype_string
         from pyspark.sql.pandas.types import to_arrow_type
         fields = _parse_datatype_string(schema).fields
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        solved = (normal.repartition(parts, "gram").sortWithinPartitions("gram", "context")
+        rows = with_units(sizes.filter(F.col("n_contexts") <= max_group))
+        solved = (rows.repartition(parts, "gram").sortWithinPartitions("gram", "context")
                   .mapInArrow(_solve(self.units, solver, [to_arrow_type(f.dataType) for f in fields],
                                      [f.name for f in fields], rows_at_once), schema))
+        many = sizes.filter(F.col("n_contexts") > max_group)
         if not many.isEmpty():
-            solved = solved.unionByName(oversize(rows.join(many.select("gram"), "gram")))
+            solved = solved.unionByName(oversize(with_units(many)))
         return solved
 
     def window_rows(self, rows: DataFrame) -> DataFrame:

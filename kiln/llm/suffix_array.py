@@ -124,10 +124,14 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
         F.col("after").cast("long").alias("reach_right"))
     reach = solved.unionByName(copied).groupBy("gram", "context").agg(
         F.max("reach_left").alias("reach_left"), F.max("reach_right").alias("reach_right"))
-    spans = (occurrences.join(finder.stage.put(reach, "reach"), ["gram", "context"])
+    reach = finder.stage.put(reach, "reach")
+    finder.stage.drop(contexts)
+    spans = (occurrences.join(reach, ["gram", "context"])
              .select("doc", (F.col("at") - F.col("reach_left")).cast("int").alias("start"),
                      (F.col("at") + F.col("reach_right")).cast("int").alias("end"))
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    spans = finder.stage.put(spans, "spans")
+    finder.stage.drop(occurrences, reach)
     # every string of a text that has copies starts in another one as well
     whole = copies.select("doc", F.lit(True).alias("whole"))
     return finder.texts.join(spans, "doc", "left").join(whole, "doc", "left").select(

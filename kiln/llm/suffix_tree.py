@@ -142,6 +142,8 @@ def repeated_words(docs: DataFrame, window: int = 13, gram: int = 5, max_group:
              .select("doc", "doc_id", "at", "before", "after", "firsts")
              .mapInArrow(_window_spans(units), "doc long, start int, end int")
              .groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    spans = finder.stage.put(spans, "spans")
+    finder.stage.drop(occurrences, contexts, solved)
     # a copy of a text that a smaller id has loses all its windows
     later = copied.filter("later").select("doc", F.lit(True).alias("later"))
     return finder.texts.join(spans, "doc", "left").join(later, "doc", "left").select(
