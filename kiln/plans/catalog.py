@@ -412,13 +412,16 @@ def q_sort_nulls_last(spark, d):
 
 
 # ---------------------------------------------------------------- sources / sinks
+from kiln.sources.csv import CSV_DIALECT  # noqa: E402
+
+
 def _scratch(spark, name):
     return staging_root(spark, f"{name}-{datetime.now().strftime('%Y%m%d%H%M%S%f')}")
 
 
 def _csv_writer(df):
     # Keep cells byte-exact: no whitespace trimming on write.
-    return (df.write.mode("overwrite").option("header", True)
+    return (df.write.mode("overwrite").options(**CSV_DIALECT)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 

@@ -162,41 +162,6 @@ DASHBOARD_COLUMNS = [
 ]
 
 
-def _ride_details(p: DataFrame, f: DataFrame) -> DataFrame:
-    """Payment and feedback detail rows per ride, without pairing every payment with
-    every feedback row.
-
-    Where a ride has at most one feedback row (or at most one payment) the rows are
-    exactly those of ``payments LEFT JOIN feedback`` (one side is attached to each row of
-    the other, an N:1 join). Where a ride has several of both, its payments and its
-    feedback rows are listed as separate rows (the other side null) instead of their
-    cross product. Every join is N:1 on ride_id or a semi join.
-    """
-    pc = p.groupBy("ride_id").agg(F.count(F.lit(1)).alias("np"))
-    fc = f.groupBy("ride_id").agg(F.count(F.lit(1)).alias("nf"))
-    rc = pc.join(fc, "ride_id", "full").select(
-        "ride_id", F.coalesce("np", F.lit(0)).alias("np"), F.coalesce("nf", F.lit(0)).alias("nf"))
-    f_one = f.join(rc.where(F.col("nf") == 1).select("ride_id"), "ride_id", "left_semi")
-    p_one = p.join(rc.where(F.col("np") == 1).select("ride_id"), "ride_id", "left_semi")
-    fcols = [c for c in f.columns if c != "ride_id"]
-    pcols = [c for c in p.columns if c != "ride_id"]
-    null_f = [F.lit(None).cast(f.schema[c].dataType).alias(c) for c in fcols]
-    null_p = [F.lit(None).cast(p.schema[c].dataType).alias(c) for c in pcols]
-
-    def rides(cond):
-        return rc.where(cond).select("ride_id")
-
-    a = (p.join(rides(F.col("nf") <= 1), "ride_id", "left_semi")
-         .join(f_one, "ride_id", "left").select("ride_id", *pcols, *fcols))
-    a_nopay = f_one.join(rides(F.col("np") == 0), "ride_id", "left_semi").select("ride_id", *null_p, *fcols)
-    b = (f.join(rides((F.col("nf") > 1) & (F.col("np") <= 1)), "ride_id", "left_semi")
-         .join(p_one, "ride_id", "left").select("ride_id", *pcols, *fcols))
-    both = rides((F.col("nf") > 1) & (F.col("np") > 1))
-    c_pay = p.join(both, "ride_id", "left_semi").select("ride_id", *pcols, *null_f)
-    c_fb = f.join(both, "ride_id", "left_semi").select("ride_id", *null_p, *fcols)
-    return a.unionByName(a_nopay).unionByName(b).unionByName(c_pay).unionByName(c_fb)
-
-
 def _checkpoint(df: DataFrame) -> DataFrame:
     from kiln.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
@@ -211,8 +176,8 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
 
     The captain profile is looked up once per row (captains are unique on their id), so
     the table does not multiply each ride by every ride of the same captain, and a
-    ride-less captain keeps its id in ``captain_id``. Payment and feedback details follow
-    ``_ride_details`` (no per-ride cross product).
+    ride-less captain keeps its id in ``captain_id``. A ride's payments and feedback rows
+    are joined on the ride, for every ride alike: max(payments, 1) * max(feedback, 1) rows.
     """
     u = users.select("user_id", F.col("name").alias("user_name"), "gender",
                      F.col("age").alias("user_age"), "signup_date", F.col("city").alias("user_city"))
@@ -225,7 +190,7 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
                         "issue_category", "comments")
     ur = left_join_many(u, r, "user_id")
     # The captain lookup reads the detail rows twice (join, and the ids in use): stage them.
-    rwf = stage(left_join_many(ur, _ride_details(p, f), "ride_id"))
+    rwf = stage(left_join_many(left_join_many(ur, p, "ride_id"), f, "ride_id"))
     c = captains.select(F.col("captain_id").alias("_cap_id"), F.col("name").alias("captain_name"),
                         F.col("age").alias("captain_age"), F.col("city").alias("captain_city"),
                         F.col("rating").alias("captain_overall_rating"))
@@ -239,13 +204,6 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
     return full.select(*DASHBOARD_COLUMNS)
 
 
-def _detail_rows(np_: Column, nf: Column) -> Column:
-    """Rows a ride contributes to the dashboard (see ``_ride_details``); equals
-    max(np,1) * max(nf,1) whenever either count is at most one."""
-    return F.when((np_ > 1) & (nf > 1), np_ + nf) \
-        .otherwise(F.greatest(np_, F.lit(1)) * F.greatest(nf, F.lit(1)))
-
-
 def dashboard_fanout_size(users: DataFrame, rides: DataFrame, payments: DataFrame,
                           feedback: DataFrame, captains: DataFrame) -> DataFrame:
     """Size of a dashboard that joins each ride row to *every* ride of its captain,
@@ -261,7 +219,7 @@ def dashboard_fanout_size(users: DataFrame, rides: DataFrame, payments: DataFram
     rr = rides.join(users.select("user_id"), "user_id", "left_semi")
     left = (rr.select("ride_id", "captain_id")
             .join(per_ride_pay, "ride_id", "left").join(per_ride_fb, "ride_id", "left")
-            .select("captain_id", _detail_rows(F.coalesce("np", F.lit(0)), F.coalesce("nf", F.lit(0))).alias("rows"))
+            .select("captain_id", (F.coalesce("np", F.lit(1)) * F.coalesce("nf", F.lit(1))).alias("rows"))
             .groupBy("captain_id").agg(F.sum("rows").alias("left_rows")))
     cap_rides = rides.groupBy("captain_id").agg(F.count(F.lit(1)).alias("nr"))
     right = captains.select("captain_id").join(cap_rides, "captain_id", "left") \

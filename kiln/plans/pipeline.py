@@ -38,6 +38,7 @@ class PipelineConfig:
     export_dir: str | None = None          # publish gold snapshots here (CSV)
     dashboard: bool = True
     null_tokens: list[str] | None = None
+    multi_line: tuple[str, ...] = ("feedback",)  # tables whose cells may hold line breaks
 
 
 def _bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
@@ -48,12 +49,9 @@ def _bronze(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
         if cfg.sf_dir:
             df = TD.BRONZE_BUILDERS[name](spark, cfg.sf_dir)
         else:
-            # captains are required by the cleaners; the others may be absent
+            # a missing file stops the run: an empty table would pass for a complete result
             df = read_raw_csv(spark, f"{cfg.raw_dir}/{name}.csv", spec.bronze_schema(), cfg.null_tokens,
-                              on_missing="fail" if name in ("users", "captains") else "skip")
-            if df is None:
-                df = spark.createDataFrame([], spec.bronze_schema()).withColumn(
-                    "_seq", F.lit(None).cast("bigint"))
+                              multi_line=name in cfg.multi_line)
         path = f"{layer_path(cfg.root, 'bronze', name)}/batch_id={cfg.batch_id}"
         write_table(df, path)
         out[name] = spark.read.parquet(path)

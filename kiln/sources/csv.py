@@ -3,8 +3,6 @@ and each row gets a landing-order key for keep-first rules."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,32 +47,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(jpath)) if any(ch in path for ch in "*?[") else fs.exists(jpath)
 
 
+# Quotes inside a quoted cell are doubled, as spreadsheets and data frames write them.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
                  null_tokens: list[str] | None = None, on_missing: str = "fail",
-                 with_seq: bool = True) -> DataFrame | None:
+                 with_seq: bool = True, multi_line: bool = False) -> DataFrame | None:
     """Read a headered CSV with every column as text.
 
-    ``on_missing``: "fail" raises, "skip" returns None. A header-only or empty file gives
-    an empty frame with the declared columns.
+    Columns are found by the names in the header, in any order; extra ones are ignored and
+    a missing declared column raises. ``multi_line`` allows line breaks inside quoted
+    cells, at the price that a file is read by one task. ``on_missing``: "fail" raises,
+    "skip" returns None. A header-only or empty file gives an empty frame with the
+    declared columns.
     """
     if not _exists(spark, path):
         if on_missing == "skip":
             return None
         raise MissingSourceError(path)
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("multiLine", False).csv(path))
-    if with_seq:
-        df = df.withColumn("_seq", landing_order())
+    options = {**CSV_DIALECT, "mode": "PERMISSIVE", "multiLine": multi_line}
+    names = spark.read.options(**options).option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if names and missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    # every column of the file as text, bound by position to its own header
+    layout = T.StructType([T.StructField(n, T.StringType()) for n in names]) if names else schema
+    df = spark.read.schema(layout).options(**options).option("enforceSchema", True).csv(path)
+    df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields],
+                   *([landing_order().alias("_seq")] if with_seq else []))
     return normalise_nulls(df, null_tokens, [f.name for f in schema.fields])
-
-
-def read_raw_tables(spark: SparkSession, root: str, specs, on_missing: str = "skip",
-                    null_tokens: list[str] | None = None) -> dict[str, DataFrame]:
-    """Load every table of a registry from ``<root>/<name>.csv``; missing ones skipped."""
-    out = {}
-    for spec in specs:
-        df = read_raw_csv(spark, os.path.join(root, f"{spec.name}.csv"), spec.bronze_schema(),
-                          null_tokens, on_missing)
-        if df is not None:
-            out[spec.name] = df
-    return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from kiln.sources.csv import CSV_DIALECT
+
 
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
@@ -29,7 +31,7 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Replace a CSV snapshot (header row). ``single_file`` funnels through one task, so
     use it only for small outputs such as the reconciliation report."""
     out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True)
+    (out.write.mode("overwrite").options(**CSV_DIALECT)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

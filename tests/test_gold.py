@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from kiln.plans import gold as G
 from kiln.plans import reconcile as R
 
@@ -71,12 +73,11 @@ def test_dashboard_grain(spark):
     u, c, r, p, f = _silver(spark)
     rows = G.dashboard(u, r, p, f, c).collect()
     assert len(rows[0]) == 30
-    # r1: 2 payments and 2 feedback rows listed side by side (no cross product) = 4,
-    # r2: 1 x 1, r3: 1 (no payment/feedback), u3: 1, c3: 1
+    # r1: 2 payments x 2 feedback rows = 4, r2: 1 x 1, r3: 1 (no payment/feedback), u3: 1, c3: 1
     assert len(rows) == 8
     r1 = [x for x in rows if x["ride_id"] == "r1"]
-    assert sorted((x["payment_id"] or "", x["feedback_id"] or "") for x in r1) == [
-        ("", "f1"), ("", "f2"), ("p1", ""), ("p2", "")]
+    assert sorted((x["payment_id"], x["feedback_id"]) for x in r1) == [
+        ("p1", "f1"), ("p1", "f2"), ("p2", "f1"), ("p2", "f2")]
     r2 = [x for x in rows if x["ride_id"] == "r2"]
     assert [(x["payment_id"], x["feedback_id"]) for x in r2] == [("p3", "f3")]
     c3 = [x for x in rows if x["captain_name"] == "Cap3"][0]
@@ -86,6 +87,16 @@ def test_dashboard_grain(spark):
     assert fan["c1"]["left_rows"] == 5 and fan["c1"]["captain_rows"] == 2 and fan["c1"]["fanout_rows"] == 10
 
 
+def test_dashboard_pairs_three_payments_with_two_feedback_rows(spark):
+    u, c, r, p, f = _silver(spark)
+    p3 = p.unionByName(p.where("payment_id = 'p1'").withColumn("payment_id", F.lit("p9")))
+    rows = [x for x in G.dashboard(u, r, p3, f, c).collect() if x["ride_id"] == "r1"]
+    assert sorted((x["payment_id"], x["feedback_id"]) for x in rows) == [
+        (a, b) for a in ("p1", "p2", "p9") for b in ("f1", "f2")]
+    fan = {x["captain_id"]: x for x in G.dashboard_fanout_size(u, r, p3, f, c).collect()}
+    assert fan["c1"]["left_rows"] == 7
+
+
 def test_dashboard_matches_join_when_one_side_single(spark):
     """With at most one feedback row per ride the rows equal payments LEFT JOIN feedback."""
     u, c, r, p, f = _silver(spark)

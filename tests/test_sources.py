@@ -50,3 +50,36 @@ def test_enforce_fails_on_violation(spark):
     with pytest.raises(ExpectationError):
         enforce(df, "users", checks)
     enforce(df.where(F.col("age") > 0), "users", checks)
+
+
+FEEDBACK = TABLES["feedback"].bronze_schema()
+
+
+def test_columns_are_found_by_header_name(spark):
+    p = _write("name,extra,user_id,gender,age,signup_date,city\nAnn,x,u1,f,30,2023-01-01,Rome\n")
+    row = read_raw_csv(spark, p, TABLES["users"].bronze_schema()).collect()[0]
+    assert (row["user_id"], row["name"], row["city"]) == ("u1", "Ann", "Rome")
+
+
+def test_missing_column_fails(spark):
+    with pytest.raises(ValueError):
+        read_raw_csv(spark, _write("user_id,name\nu1,Ann\n"), TABLES["users"].bronze_schema())
+
+
+def test_doubled_quotes_and_line_breaks_in_cells(spark):
+    head = ",".join(f.name for f in FEEDBACK.fields)
+    cells = {f.name: "1" for f in FEEDBACK.fields}
+    cells["comments"] = '"said ""hi, there"" ok\nline two"'
+    p = _write(head + "\n" + ",".join(cells.values()) + "\n")
+    rows = read_raw_csv(spark, p, FEEDBACK, multi_line=True).collect()
+    assert [r["comments"] for r in rows] == ['said "hi, there" ok\nline two']
+
+
+def test_missing_payments_stop_the_pipeline(spark):
+    from kiln.plans.pipeline import PipelineConfig, run
+    d = tempfile.mkdtemp(prefix="kiln-raw-")
+    for name in ("users", "captains", "rides", "feedback"):
+        with open(os.path.join(d, f"{name}.csv"), "w") as f:
+            f.write(",".join(c.name for c in TABLES[name].bronze_schema().fields) + "\n")
+    with pytest.raises(MissingSourceError):
+        run(spark, PipelineConfig(root=tempfile.mkdtemp(prefix="kiln-out-"), raw_dir=d))
