@@ -223,7 +223,7 @@ class _Dedup:
         links = self._verify(pairs, reps)
         roots = components(stage, links)
 
-        used, spread = None, 8
+        used, spread = None, 64
         while True:  # large buckets whose members are not all connected yet
             members = many.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
                 "key", "rep", "n", F.coalesce("root", "rep").alias("root"))
@@ -274,7 +274,7 @@ class _Dedup:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, collections: int = 16,
-                    rows: int = 3, small_bucket: int = 32, id_col: str = "doc_id",
+                    rows: int = 3, small_bucket: int = 64, id_col: str = "doc_id",
                     text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, links)``: ``doc_id, n_shingles, component_id, kept, text_hash`` for every row
     (the hash tells rows apart that share an id), and confirmed links between the smallest ids of equal sets. Two sets are linked when
