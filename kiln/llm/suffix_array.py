@@ -109,8 +109,10 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
 
     def by_window(rows: DataFrame) -> DataFrame:
         windows = finder.stage.put(finder.window_rows(rows), "windows")
-        twice = windows.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1")
-        return (windows.join(finder.stage.put(twice.select("window"), "twice"), "window")
+        # a window that holds several seeds is in the contexts of each: count it per seed
+        key = ["window", "gram", "back"]
+        twice = windows.groupBy(*key).agg(F.sum("copies").alias("n")).filter("n > 1")
+        return (windows.join(finder.stage.put(twice.select(*key), "twice"), key)
                 .groupBy("gram", "context").agg(
                     F.max("back").cast("long").alias("reach_left"),
                     F.max(F.lit(window) - F.col("back")).cast("long").alias("reach_right")))
