@@ -13,12 +13,14 @@ Steps and their bounds:
 * Only sets that share at least two collection values with other sets emit table keys (a
   pair of collections cannot agree where one of them is unique), which spares nearly all
   documents the 120 keys.
-* Buckets of up to ``small_bucket`` sets compare all pairs. Larger ones are compared with
-  pivots, round by round: each member with the pivot unless both are already connected or
-  their sizes rule a link out. A bucket is done when all members are connected or every
-  member has been a pivot, so no link between components is lost; near copies of one text
-  are connected after the first rounds. What is left then are mostly different sets, each of
-  which has to be a pivot anyway: pivots per bucket grow sixteenfold each round.
+* Buckets are compared with pivots, round by round: each member with the pivot unless both
+  are already connected or their sizes rule a link out. First every bucket has one pivot,
+  which connects most groups of copies by one comparison a member. Of the buckets that are
+  not connected then, those of up to ``small_bucket`` sets compare all that is left; in larger
+  ones pivots per bucket grow sixteenfold each round. A bucket is done when its members that
+  were not a pivot yet are connected, so no link between components is lost.
+* Before whole sets travel, a pair compares one byte of each of its 48 minhashes. Pairs that
+  agree in so few that a linked pair would do so once in ten million are not followed up.
 
 Defined results: null and word-less texts have the empty set and link with nothing; rows
 with a null id link with nothing (component null, not kept); rows that share an id share
@@ -28,6 +30,7 @@ it in the result, each by its own text; repeated rows get the same result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +96,8 @@ def shingle_sets(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
 
 
 class MinHasher:
-    """Values of the collections of a set: each mixes ``rows`` minhashes."""
+    """Values of the collections of a set, each mixing ``rows`` minhashes, and the lowest
+    byte of every minhash."""
 
     def __init__(self, collections: int, rows: int, seed: int = 17):
         rng = np.random.default_rng(seed)
@@ -102,7 +106,7 @@ class MinHasher:
         self.factors = rng.integers(1, 2 ** 63, size=n, dtype=np.uint64) * 2 + 1
         self.offsets = rng.integers(0, 2 ** 63, size=n, dtype=np.uint64)
 
-    def values(self, hashes: np.ndarray) -> np.ndarray:
+    def values(self, hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
         low = np.full(len(self.factors), 2 ** 64 - 1, np.uint64)
         for at in range(0, len(hashes), 256):  # pieces that stay in the processor's cache
             h = hashes[at:at + 256] * self.factors[:, None]
@@ -114,22 +118,46 @@ class MinHasher:
         out = np.zeros(self.shape[0], np.uint64)
         for r in range(self.shape[1]):
             out = _scramble(out * np.uint64(0x9E3779B97F4A7C15) + low.reshape(self.shape)[:, r])
-        return out
+        return out, low.astype(np.uint8).tobytes()
+
+
+def least_agreement(percent: int, n: int, risk: float = 1e-7) -> int:
+    """The most of ``n`` minhashes that can be asked to agree, so that a pair of similarity
+    ``percent`` falls short with a probability of at most ``risk``."""
+    p, tail = percent / 100, 0.0
+    for k in range(n + 1):
+        tail += comb(n, k) * p ** k * (1 - p) ** (n - k)
+        if tail > risk:
+            return k
+    return n
+
+
+def _agreeing(least: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
+                    .reshape(batch.num_rows, -1) for c in ("xa", "xb"))
+            keep = pa.array((x == y).sum(axis=1) >= least)
+            yield batch.select(["a", "b"]).filter(keep)
+    return work
 
 
 def _sketch(size: int, collections: int, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(collections, rows)
         for batch in batches:
-            counts, digests, values = [], [], []
+            counts, digests, values, bytes_ = [], [], [], []
             for s in shingle_sets(batch.column("text").to_pylist(), size):
                 counts.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                values.append(hasher.values(s).view(np.int64) if len(s) else None)
+                vals, low = hasher.values(s) if len(s) else (None, None)
+                values.append(vals if vals is None else vals.view(np.int64))
+                bytes_.append(low)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "n_shingles", "digest", "vals"])
+                 pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64())),
+                 pa.array(bytes_, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "digest", "vals", "low"])
     return work
 
 
@@ -179,7 +207,12 @@ class _Dedup:
 
     def _verify(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         """The links among ``a, b`` pairs, confirmed on the full sets."""
-        pairs = self.stage.put(pairs.distinct(), "candidates")
+        met = self.stage.put(pairs.distinct(), "met")
+        low = reps.select("rep", "low")
+        least = least_agreement(self.percent, self.collections * self.rows)
+        pairs = self.stage.put(
+            met.join(low.toDF("a", "xa"), "a").join(low.toDF("b", "xb"), "b")
+            .mapInArrow(_agreeing(least), "a long, b long"), "candidates")
         wanted = self.stage.put(
             pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
             .distinct().join(reps.select("rep", "first_id", "digest"), "rep"), "wanted")
@@ -194,7 +227,7 @@ class _Dedup:
                  .filter(100 * F.col("common") >= self.percent
                          * (F.size("sa") + F.size("sb") - F.col("common"))))
         out = self.stage.put(links.select("a", "b"), "links")
-        self.stage.drop(pairs, wanted, sets)
+        self.stage.drop(met, pairs, wanted, sets)
         return out
 
     def _merge(self, roots: DataFrame, found: DataFrame) -> DataFrame:
@@ -214,42 +247,36 @@ class _Dedup:
         hashed = self.docs.withColumn("text_hash", F.xxhash64("text"))
         sketches = stage.put(hashed.mapInArrow(
             _sketch(self.size, self.collections, self.rows),
-            "doc_id long, text_hash long, n_shingles long, digest binary, vals array<long>"), "sketches")
+            "doc_id long, text_hash long, n_shingles long, digest binary, vals array<long>,"
+            " low binary"), "sketches")
         reps = (sketches.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest")
                 .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
-                     F.first("vals").alias("vals")))
+                     F.first("vals").alias("vals"), F.first("low").alias("low")))
         reps = stage.put(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
 
         keys = self._pair_keys(reps)
-        sizes = stage.put(keys.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("p"))
-                          .filter("c > 1"), "buckets")
-        few = keys.join(sizes.filter(F.col("c") <= self.small).select("key"), "key")
-        pairs = (few.select("key", F.col("rep").alias("a"), F.col("n").alias("na"))
-                 .join(few.select("key", F.col("rep").alias("b"), F.col("n").alias("nb")), "key")
-                 .filter(F.col("a") < F.col("b")).filter(self._plausible("na", "nb"))
-                 .select("a", "b"))
-        large = sizes.filter(F.col("c") > self.small)
-        many = stage.put(keys.join(large.select("key"), "key"), "large-buckets")
-        pivots = large.select("key", F.col("p").alias("a")).join(
-            reps.select(F.col("rep").alias("a"), F.col("n").alias("na")), "a")
-        pairs = pairs.unionByName(
-            pivots.join(many.select("key", F.col("rep").alias("b"), F.col("n").alias("nb")), "key")
-            .filter(F.col("a") < F.col("b")).filter(self._plausible("na", "nb")).select("a", "b"))
-        links = self._verify(pairs, reps)
+        sizes = keys.groupBy("key").agg(
+            F.count("*").alias("c"), F.min(F.struct("rep", "n")).alias("p")).filter("c > 1")
+        rest = stage.put(keys.join(sizes, "key").filter("rep <> p.rep").select(
+            "key", "rep", "n", "c", F.col("p.rep").alias("a"), F.col("p.n").alias("na")), "buckets")
+        stage.drop(keys)
+        links = self._verify(rest.filter(self._plausible("n", "na"))
+                             .select("a", F.col("rep").alias("b")), reps)
         roots = components(stage, links)
 
-        used, spread = large.select("key", F.col("p").alias("rep")), 64
-        while True:  # large buckets whose members are not all connected yet
-            members = many.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-                "key", "rep", "n", F.coalesce("root", "rep").alias("root"))
-            members = stage.put(members, "members")
+        # members that were no pivot yet; each was compared with all pivots of its bucket
+        rest, spread = rest.filter("c > 2").select("key", "rep", "n", "c"), 64
+        while True:
+            members = rest.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+                "key", "rep", "n", "c", F.coalesce("root", "rep").alias("root"))
             still = (members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
                      .filter("x <> y").select("key"))
-            # the next pivots: per bucket the smallest unused member of each of `spread` shares
-            fresh = members.join(still, "key").join(used, ["key", "rep"], "left_anti")
-            share = F.pmod(F.xxhash64("rep"), F.lit(spread))
+            members = stage.put(members.join(still, "key"), "members")
+            # the next pivots: all of a small bucket, else the smallest of each of `spread` shares
+            share = F.when(F.col("c") <= self.small, F.col("rep")).otherwise(
+                F.pmod(F.xxhash64("rep"), F.lit(spread)))
             pivots = stage.put(
-                fresh.groupBy("key", share.alias("share"))
+                members.groupBy("key", share.alias("share"))
                 .agg(F.min(F.struct("rep", "n", "root")).alias("p"))
                 .select("key", F.col("p.rep").alias("a"), F.col("p.n").alias("na"),
                         F.col("p.root").alias("ra")), "pivots")
@@ -259,10 +286,11 @@ class _Dedup:
                      .filter((F.col("root") != F.col("ra")) & self._plausible("n", "na"))
                      .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")))
             found = self._verify(pairs, reps)
-            used = used.unionByName(pivots.select("key", F.col("a").alias("rep")))
             if not found.isEmpty():
                 links = links.unionByName(found)
                 roots = self._merge(roots, found)
+            rest = members.join(pivots.select("key", F.col("a").alias("rep")), ["key", "rep"],
+                                "left_anti").select("key", "rep", "n", "c")
             spread *= 16
 
         named = roots.join(reps.select(F.col("rep").alias("node"), "first_id"), "node")
