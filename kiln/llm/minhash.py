@@ -13,12 +13,15 @@ Steps and their bounds:
 * Only sets that share at least two collection values with other sets emit table keys (a
   pair of collections cannot agree where one of them is unique), which spares nearly all
   documents the 120 keys.
-* Buckets are compared with pivots, round by round: each member with the pivot unless both
-  are already connected or their sizes rule a link out. First every bucket has one pivot,
-  which connects most groups of copies by one comparison a member. Of the buckets that are
-  not connected then, those of up to ``small_bucket`` sets compare all that is left; in larger
-  ones pivots per bucket grow sixteenfold each round. A bucket is done when its members that
-  were not a pivot yet are connected, so no link between components is lost.
+* Shingles that no other set of any bucket holds are counted for every set. They are part of
+  the difference of each pair, which rules most pairs out that are alike but not alike enough:
+  ``(100 - percent) * (n_a + n_b) >= (100 + percent) * (own_a + own_b)`` holds for all links.
+* Of buckets with the same members, one is compared. Buckets are compared with pivots, round
+  by round: each member with the pivot unless both are already connected or the bound or
+  their sizes rule a link out. First every bucket has one pivot, the set with the least of
+  its own, which connects most groups of copies by one comparison a member; then pivots per
+  bucket grow eightfold each round. A bucket is done when its members that were not a pivot
+  yet are connected or ruled out, so no link between components is lost.
 * Before whole sets travel, a pair compares one byte of each of its 48 minhashes. Pairs that
   agree in so few that a linked pair would do so once in ten million are not followed up.
 
@@ -178,12 +181,11 @@ def _full_sets(size: int):
 
 
 class _Dedup:
-    def __init__(self, docs: DataFrame, percent: int, size: int, collections: int, rows: int,
-                 small_bucket: int):
+    def __init__(self, docs: DataFrame, percent: int, size: int, collections: int, rows: int):
         self.spark = docs.sparkSession
         self.stage = Stage(self.spark, "minhash")
         self.docs, self.percent, self.size = docs, percent, size
-        self.collections, self.rows, self.small = collections, rows, small_bucket
+        self.collections, self.rows = collections, rows
 
     def _pair_keys(self, reps: DataFrame) -> DataFrame:
         """``key, rep, n`` for the sets that share at least two collection values."""
@@ -201,11 +203,41 @@ class _Dedup:
         self.stage.drop(shared)
         return keys
 
+    def _distinct_buckets(self, members: DataFrame, *aggregates) -> DataFrame:
+        """``key`` and ``aggregates`` of one bucket for each set of members."""
+        marks = [F.count("*").alias("m0")] + [
+            F.sum(F.xxhash64("rep", F.lit(i)).cast("decimal(38,0)")).alias(f"m{i}") for i in (1, 2)]
+        each = members.groupBy("key").agg(*aggregates, *marks)
+        names = each.columns[1:-3]
+        return (each.groupBy("m0", "m1", "m2").agg(F.min(F.struct("key", *names)).alias("one"))
+                .select("one.*"))
+
     def _plausible(self, n_a: str, n_b: str):
         """Sizes alone do not rule the link out."""
         return (100 * F.least(n_a, n_b)) >= (self.percent * F.greatest(n_a, n_b))
 
-    def _verify(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    def _whole_sets(self, buckets: DataFrame, reps: DataFrame) -> DataFrame:
+        """``rep, shingles`` of the sets in any bucket."""
+        wanted = self.stage.put(buckets.select("rep").distinct().join(
+            reps.select("rep", "first_id", "digest"), "rep"), "wanted")
+        texts = self.docs.join(wanted, self.docs["doc_id"] == wanted["first_id"]).select(
+            "rep", "digest", "text")
+        sets = self.stage.put(texts.mapInArrow(_full_sets(self.size),
+                                               "rep long, shingles array<long>"), "sets")
+        self.stage.drop(wanted)
+        return sets
+
+    def _slack(self, sets: DataFrame) -> DataFrame:
+        """``rep, slack``: two sets whose slacks add up to less than 0 are no link."""
+        own = (sets.select("rep", F.explode("shingles").alias("s")).groupBy("s")
+               .agg(F.count("*").alias("c"), F.min("rep").alias("rep")).filter("c = 1")
+               .groupBy("rep").agg(F.count("*").alias("own")))
+        return sets.select("rep", F.size("shingles").alias("n")).distinct().join(
+            own, "rep", "left").select("rep", (
+                (100 - self.percent) * F.col("n").cast("long")
+                - (100 + self.percent) * F.coalesce("own", F.lit(0))).alias("slack"))
+
+    def _verify(self, pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
         """The links among ``a, b`` pairs, confirmed on the full sets."""
         met = self.stage.put(pairs.distinct(), "met")
         low = reps.select("rep", "low")
@@ -213,13 +245,9 @@ class _Dedup:
         pairs = self.stage.put(
             met.join(low.toDF("a", "xa"), "a").join(low.toDF("b", "xb"), "b")
             .mapInArrow(_agreeing(least), "a long, b long"), "candidates")
-        wanted = self.stage.put(
-            pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-            .distinct().join(reps.select("rep", "first_id", "digest"), "rep"), "wanted")
-        texts = self.docs.join(wanted, self.docs["doc_id"] == wanted["first_id"]).select(
-            "rep", "digest", "text")
-        sets = self.stage.put(texts.mapInArrow(_full_sets(self.size),
-                                               "rep long, shingles array<long>"), "sets")
+        ends = self.stage.put(
+            pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ends")
+        sets = sets.join(ends, "rep", "left_semi")
         common = F.size(F.array_intersect("sa", "sb"))
         links = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -227,7 +255,7 @@ class _Dedup:
                  .filter(100 * F.col("common") >= self.percent
                          * (F.size("sa") + F.size("sb") - F.col("common"))))
         out = self.stage.put(links.select("a", "b"), "links")
-        self.stage.drop(met, pairs, wanted, sets)
+        self.stage.drop(met, pairs, ends)
         return out
 
     def _merge(self, roots: DataFrame, found: DataFrame) -> DataFrame:
@@ -255,43 +283,49 @@ class _Dedup:
         reps = stage.put(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
 
         keys = self._pair_keys(reps)
-        sizes = keys.groupBy("key").agg(
-            F.count("*").alias("c"), F.min(F.struct("rep", "n")).alias("p")).filter("c > 1")
-        rest = stage.put(keys.join(sizes, "key").filter("rep <> p.rep").select(
-            "key", "rep", "n", "c", F.col("p.rep").alias("a"), F.col("p.n").alias("na")), "buckets")
+        sizes = self._distinct_buckets(keys, F.count("*").alias("c")).filter("c > 1")
+        shared = stage.put(keys.join(sizes.select("key"), "key"), "shared-keys")
         stage.drop(keys)
-        links = self._verify(rest.filter(self._plausible("n", "na"))
-                             .select("a", F.col("rep").alias("b")), reps)
-        roots = components(stage, links)
-
-        # members that were no pivot yet; each was compared with all pivots of its bucket
-        rest, spread = rest.filter("c > 2").select("key", "rep", "n", "c"), 64
+        sets = self._whole_sets(shared, reps)
+        slack = stage.put(self._slack(sets), "slack")
+        rest = stage.put(shared.join(slack, "rep"), "buckets")
+        stage.drop(shared, slack)
+
+        links = self.spark.createDataFrame([], "a long, b long")
+        roots = self.spark.createDataFrame([], "node long, root long")
+        spread = 1
         while True:
-            members = rest.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
-                "key", "rep", "n", "c", F.coalesce("root", "rep").alias("root"))
-            still = (members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-                     .filter("x <> y").select("key"))
-            members = stage.put(members.join(still, "key"), "members")
-            # the next pivots: all of a small bucket, else the smallest of each of `spread` shares
-            share = F.when(F.col("c") <= self.small, F.col("rep")).otherwise(
-                F.pmod(F.xxhash64("rep"), F.lit(spread)))
+            # members that were no pivot yet; each was compared with all pivots of its bucket
+            members = stage.put(
+                rest.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+                    "key", "rep", "n", "slack", F.coalesce("root", "rep").alias("root")), "members")
+            still = (self._distinct_buckets(members, F.min("root").alias("x"),
+                                            F.max("root").alias("y"), F.max("slack").alias("top"))
+                     .filter("x <> y").select("key", "top"))
+            stage.drop(rest)
+            rest = stage.put(members.join(still, "key").filter("slack + top >= 0").drop("top"),
+                             "unconnected")
+            stage.drop(members)
+            # the next pivots: of each of `spread` shares of a bucket the one with the most slack
+            share = F.pmod(F.xxhash64("rep"), F.lit(spread))
             pivots = stage.put(
-                members.groupBy("key", share.alias("share"))
-                .agg(F.min(F.struct("rep", "n", "root")).alias("p"))
+                rest.groupBy("key", share.alias("share"))
+                .agg(F.min(F.struct((-F.col("slack")).alias("less"), "rep", "n", "root")).alias("p"))
                 .select("key", F.col("p.rep").alias("a"), F.col("p.n").alias("na"),
-                        F.col("p.root").alias("ra")), "pivots")
+                        F.col("p.root").alias("ra"), (-F.col("p.less")).alias("sa")), "pivots")
             if pivots.isEmpty():
                 break
-            pairs = (members.join(pivots, "key")
-                     .filter((F.col("root") != F.col("ra")) & self._plausible("n", "na"))
+            pairs = (rest.join(pivots, "key")
+                     .filter((F.col("root") != F.col("ra")) & self._plausible("n", "na")
+                             & (F.col("slack") + F.col("sa") >= 0))
                      .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")))
-            found = self._verify(pairs, reps)
+            found = self._verify(pairs, reps, sets)
             if not found.isEmpty():
                 links = links.unionByName(found)
                 roots = self._merge(roots, found)
-            rest = members.join(pivots.select("key", F.col("a").alias("rep")), ["key", "rep"],
-                                "left_anti").select("key", "rep", "n", "c")
-            spread *= 16
+            used = pivots.select("key", F.col("a").alias("rep"))
+            rest = rest.join(used, ["key", "rep"], "left_anti").drop("root")
+            spread *= 8
 
         named = roots.join(reps.select(F.col("rep").alias("node"), "first_id"), "node")
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -315,10 +349,10 @@ class _Dedup:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, collections: int = 16,
-                    rows: int = 3, small_bucket: int = 64, id_col: str = "doc_id",
+                    rows: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, links)``: ``doc_id, n_shingles, component_id, kept, text_hash`` for every row
     (the hash tells rows apart that share an id), and confirmed links between the smallest ids of equal sets. Two sets are linked when
     ``100 * common >= percent * union``."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return _Dedup(texts, percent, shingle, collections, rows, small_bucket).run()
+    return _Dedup(texts, percent, shingle, collections, rows).run()

@@ -104,8 +104,7 @@ def _components(ids, links):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("small_bucket", [64, 1])
-def test_minhash_components(spark, small_bucket):
+def test_minhash_components(spark):
     rng = random.Random(1)
     base = [" ".join(f"v{rng.randint(0, 999)}" for _ in range(60)) for _ in range(4)]
     texts = [None, "", "few words", "Few  WORDS"]
@@ -123,7 +122,7 @@ def test_minhash_components(spark, small_bucket):
     links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j]
              and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
     want = _components(range(len(sets)), links)
-    rows = minhash.near_duplicates(df, percent=85, small_bucket=small_bucket)[0].collect()
+    rows = minhash.near_duplicates(df, percent=85)[0].collect()
     assert {r.doc_id: r.component_id for r in rows} == want
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (want[r.doc_id] == r.doc_id)
                for r in rows)
