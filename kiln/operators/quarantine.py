@@ -4,7 +4,7 @@ A labelled frame is the input plus a ``reason`` column: null while the row is al
 otherwise the first rule it failed. Every step only labels rows, so the whole chain is
 one lazy plan; ``split`` then yields the clean rows and the audited rejects as two
 filters of the same frame. No id set ever reaches the driver: membership checks are
-joins, duplicate ranking is an aggregate plus a join on a unique pair.
+joins, duplicate ranking is an aggregate plus a join on a unique row number.
 """
 
 from __future__ import annotations
@@ -72,21 +72,23 @@ def reject_duplicates(df: DataFrame, key: str, reason: str, order: str = SEQ,
 
     Only rows alive at this point compete, so an invalid first copy never shadows a valid
     later one. The first occurrence is found by a partially aggregated ``min`` per key and
-    re-attached by a join on the unique (key, order) pair: even a key that holds a third of
-    all rows is spread over every partition instead of landing in one window task.
-    Null keys count as equal to each other.
+    re-attached by a join on a number unique to the row: even a key that holds a third of
+    all rows is spread over every partition instead of landing in one window task, and of
+    rows that share key and order exactly one stays. Null keys count as equal to each other.
+    ``df`` is read twice and should be a table or a staged frame, whose rows are numbered alike.
     """
     n = next(_ids)
-    k, s, first = f"_dd{n}_key", f"_dd{n}_seq", f"_dd{n}_first"
-    firsts = (alive(df).groupBy(key).agg(F.min(order).alias(s))
-              .select(F.col(key).alias(k), F.col(s), F.lit(True).alias(first)))
-    joined = df.join(firsts, df[key].eqNullSafe(firsts[k]) & (df[order] == firsts[s]), "left")
+    tie, t, first = f"_dd{n}_row", f"_dd{n}_min", f"_dd{n}_first"
+    numbered = df.withColumn(tie, F.monotonically_increasing_id())
+    firsts = (alive(numbered).groupBy(key).agg(F.min(F.struct(order, tie)).alias("_f"))
+              .select(F.col(f"_f.{tie}").alias(t), F.lit(True).alias(first)))
+    joined = numbered.join(firsts, numbered[tie] == firsts[t], "left")
     dup = alive_cond() & F.col(first).isNull()
     if audit:
         out = reject_if(joined, dup, reason)
     else:
         out = joined.withColumn(DROP, F.col(DROP) | dup)
-    return out.drop(k, s, first)
+    return out.drop(tie, t, first)
 
 
 def split(labelled: DataFrame, clean_cols: list, audit_cols: list[str],

@@ -20,7 +20,7 @@ from kiln.functions.exprs import (
     to_number, truncate_int,
 )
 from kiln.operators import expectations as X
-from kiln.operators.aggregates import avg_nonzero, median_of, mode_by, mode_of
+from kiln.operators.aggregates import avg_nonzero, exact_median, median_of, mode_by, mode_of
 from kiln.operators.conform import conform
 from kiln.operators.joins import full_join_lookup, left_join_many
 from kiln.operators.quarantine import (
@@ -387,8 +387,8 @@ def q_recent_30_days(spark, d):
 def q_median_global(spark, d):
     r = _b(spark, d, "rides").select(to_number("distance_km").alias("v"))
     p = _b(spark, d, "payments").select(to_number("fare").alias("v"))
-    return r.agg(F.lit("distance_km").alias("column_name"), F.median("v").alias("median_value")).unionByName(
-        p.agg(F.lit("fare").alias("column_name"), F.median("v").alias("median_value")))
+    return spark.createDataFrame([("distance_km", exact_median(r, "v")), ("fare", exact_median(p, "v"))],
+                                 "column_name string, median_value double")
 
 
 def q_mode_global(spark, d):

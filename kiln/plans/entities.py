@@ -44,14 +44,6 @@ FEEDBACK_RIDE_NOT_IN_RIDES = "ride_id_not_in_rides"
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def checkpoint_stage(df: DataFrame) -> DataFrame:
-    """Materialise a labelled frame in the shared checkpoint folder (reliable checkpoint:
-    survives executor loss, and cuts the lineage the statistics and both outputs reuse)."""
-    from kiln.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def parquet_stage(df: DataFrame) -> DataFrame:
     """Materialise a labelled frame as a parquet table under the shared checkpoint folder
     and continue from the written table (columnar, compressed, survives executor loss)."""
@@ -63,10 +55,6 @@ def parquet_stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def lazy_stage(df: DataFrame) -> DataFrame:
-    return df
-
-
 # Constant fills.
 UNKNOWN = "Unknown"
 NO_ISSUES = "No issues"
@@ -74,7 +62,7 @@ NO_COMMENTS = "No comments"
 
 
 def clean_users(bronze: DataFrame, run_ts: datetime | None = None,
-                audit_duplicates: bool = False, stage: Stage = lazy_stage) -> CleanResult:
+                audit_duplicates: bool = False, stage: Stage = parquet_stage) -> CleanResult:
     """Null id -> parse signup date -> keep first copy per id (silently by default)."""
     df = start(bronze)
     df = reject_if(df, F.col("user_id").isNull(), NULL_USER_ID)
@@ -89,7 +77,7 @@ def clean_users(bronze: DataFrame, run_ts: datetime | None = None,
 
 
 def clean_captains(bronze: DataFrame, run_ts: datetime | None = None,
-                   stage: Stage = lazy_stage) -> CleanResult:
+                   stage: Stage = parquet_stage) -> CleanResult:
     """Null id -> keep first -> coerce age/rating -> fill+trim city -> median fill
     (age truncated, rating half-even to 1 dp) -> reject blank name (after the medians)."""
     df = start(bronze)
@@ -109,7 +97,7 @@ def clean_captains(bronze: DataFrame, run_ts: datetime | None = None,
 
 
 def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
-                run_ts: datetime | None = None, stage: Stage = lazy_stage) -> CleanResult:
+                run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank keys -> date -> user and captain membership -> keep first -> median fill of
     distance/duration -> fill locations -> mode fill of status."""
     df = start(bronze)
@@ -137,7 +125,7 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
 
 
 def clean_payments(bronze: DataFrame, rides: DataFrame,
-                   run_ts: datetime | None = None, stage: Stage = lazy_stage) -> CleanResult:
+                   run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank ride -> ride membership -> median fill of fare -> zero fill of discounts."""
     df = start(bronze)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
@@ -155,7 +143,7 @@ def clean_payments(bronze: DataFrame, rides: DataFrame,
 
 
 def clean_feedback(bronze: DataFrame, rides: DataFrame,
-                   run_ts: datetime | None = None, stage: Stage = lazy_stage) -> CleanResult:
+                   run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank feedback id -> blank ride -> ride membership -> median fill of both ratings
     -> constant fill of issue and comment ('' counts as missing)."""
     df = start(bronze)
@@ -175,7 +163,7 @@ def clean_feedback(bronze: DataFrame, rides: DataFrame,
 
 
 def build_silver(bronze: dict[str, DataFrame], run_ts: datetime | None = None,
-                 stage: Stage = checkpoint_stage) -> dict[str, CleanResult]:
+                 stage: Stage = parquet_stage) -> dict[str, CleanResult]:
     """users, captains -> rides -> payments, feedback.
 
     ``stage`` materialises each labelled frame once (default: reliable checkpoint), so

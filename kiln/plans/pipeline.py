@@ -71,7 +71,7 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
         counts[f"audit.{name}"] = write_table(res.rejects, layer_path(cfg.root, "audit", name))
         return spark.read.parquet(layer_path(cfg.root, "silver", name))
 
-    stage = E.checkpoint_stage
+    stage = E.parquet_stage
     users = land("users", E.clean_users(bronze["users"], ts, stage=stage))
     captains = land("captains", E.clean_captains(bronze["captains"], ts, stage=stage))
     rides = land("rides", E.clean_rides(bronze["rides"], users, captains, ts, stage=stage))

@@ -4,7 +4,8 @@ The raw layer is "append what landed": a file source over ``<landing>/<table>/``
 ``trigger(availableNow=True)`` picks up only files it has not seen (the source log in
 the checkpoint remembers them), so re-running never duplicates rows. Each micro-batch is
 written to its own ``batch=<id>`` folder with overwrite, so a batch replayed after a
-failure replaces its own output: the landing is idempotent end to end.
+failure replaces its own output. The checkpoint lies beside the landed tables, so a later
+session goes on where the last one stopped.
 """
 
 from __future__ import annotations
@@ -15,14 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.schemas import TableSpec
-from kiln.session import ensure_checkpoint_dir
 from kiln.sources.csv import normalise_nulls
 
 
 def ingest_landing(spark: SparkSession, landing_dir: str, bronze_root: str, spec: TableSpec,
                    checkpoint: str | None = None, null_tokens: list[str] | None = None) -> int:
     """Land every new CSV file of ``spec`` and stop; returns the number of micro-batches."""
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "kiln-streams", spec.name)
+    ckpt = checkpoint or os.path.join(bronze_root, "_checkpoints", spec.name)
     src = (spark.readStream.schema(spec.bronze_schema()).option("header", True)
            .csv(os.path.join(landing_dir, spec.name)).select("*", "_metadata"))
     out = os.path.join(bronze_root, spec.name)

@@ -152,3 +152,14 @@ def test_clean_feedback(spark):
     assert f3["issue_category"] == "No issues" and f3["comments"] == "No comments"
     assert sorted((r["feedback_id"] or "", r["reason"]) for r in res.rejects.collect()) == [
         ("", "null_or_empty_feedback_id"), ("f1", "null_or_empty_ride_id"), ("f2", "ride_id_not_in_rides")]
+
+
+def test_keep_first_keeps_one_of_equal_copies(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.operators.quarantine import REASON, alive, reject_duplicates, start
+    rows = [("a", 1, "x")] * 3 + [("a", 0, "y"), ("a", 0, "y"), ("b", 5, "z"), (None, 2, "n"), (None, 2, "n")]
+    df = start(spark.createDataFrame(rows, "k string, o long, v string"))
+    out = reject_duplicates(df, "k", "dup", order="o")
+    assert sorted(map(str, (r["v"] for r in alive(out).collect()))) == ["n", "y", "z"]
+    assert out.where(F.col(REASON) == "dup").count() == 5

@@ -31,17 +31,16 @@ def test_pipeline_end_to_end(spark):
 def test_streaming_ingest_is_incremental(spark):
     land = tempfile.mkdtemp(prefix="kiln-land-")
     bronze = tempfile.mkdtemp(prefix="kiln-bronze-")
-    ckpt = tempfile.mkdtemp(prefix="kiln-stream-ckpt-")
     spec = TABLES["users"]
     os.makedirs(os.path.join(land, "users"))
     header = ",".join(spec.bronze_columns) + "\n"
     with open(os.path.join(land, "users", "a.csv"), "w") as f:
         f.write(header + "1,a,M,20,2023-01-01,X\n2,b,F,NA,2023-01-02,Y\n")
-    assert ingest_landing(spark, land, bronze, spec, ckpt) == 1
-    assert ingest_landing(spark, land, bronze, spec, ckpt) == 0      # nothing new: no duplicates
+    assert ingest_landing(spark, land, bronze, spec) == 1
+    assert ingest_landing(spark, land, bronze, spec) == 0      # nothing new: no duplicates
     with open(os.path.join(land, "users", "b.csv"), "w") as f:
         f.write(header + "3,c,M,30,2023-01-03,Z\n")
-    assert ingest_landing(spark, land, bronze, spec, ckpt) == 1
+    assert ingest_landing(spark, land, bronze, spec) == 1
     df = read_bronze(spark, bronze, spec)
     assert df.count() == 3
     assert df.where(F.col("user_id") == "2").first()["age"] is None
