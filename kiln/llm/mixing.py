@@ -3,14 +3,18 @@
 1. Targets: every source gets its weight's share of the whole; a target above
    ``max_epochs`` times its source's size stops there and the excess is reshared by weight.
 2. Blocks: the documents of a source are shuffled (hash order) and laid end to end; the
-   stream of words is cut into blocks of equal size. A document is one or more spans
-   (block, first word, words).
-3. Schedule: slot n of the mix is the golden-ratio point ``frac((n + 1/2) * 0.618...)``,
-   mapped through the cumulative targets to a source. Slots are ranked within their
-   source; slot r of a source takes its block ``r mod blocks`` in epoch ``r div blocks``.
-4. Mix: slots joined to the spans of their blocks.
-
-The golden-ratio points give every prefix of the mix the target proportions to within a
+   stream of words is cut into blocks of the source's own length, short enough that its
+   target takes at least ``least_slots`` of them (or blocks of one word). A document is one
+   or more spans (block, first word, words).
+3. Slots: a source gets all its blocks for every whole epoch that its target holds and the
+   nearest number of blocks for the rest, so it is at most half a block off its target.
+4. Schedule: slot n of N is the point ``(n * g + g // 2) mod N`` with ``g`` near N times the
+   golden ratio and without a common factor, mapped through the cumulative slots to a
+   source: every source gets exactly its slots. Slots are ranked within their source; slot
+   r of a source takes its block ``r mod blocks`` in epoch ``r div blocks``.
+5. Mix: slots joined to the spans of their blocks.
+
+The golden-ratio steps give every prefix of the mix the target proportions to within a
 few slots. Prefix sums and ranks are made in two levels (bucket totals, then inside a
 bucket), so a source with a third of all rows never meets in one task.
 
@@ -37,8 +41,6 @@ from kiln.llm.store import Stage
 # Fixed value: the fractional part of the golden ratio.
 GOLDEN = 0.6180339887498949
 _STEP = 1 << 20
-# frac(2**20 * golden ratio), from the exact value; keeps points of large n precise.
-GOLDEN_STEP = (_STEP * 0.61803398874989484820458683436563811772) % 1.0
 
 
 def word_count(text: Column) -> Column:
@@ -63,23 +65,57 @@ def targets(sizes: Sequence[int], weights: Sequence[float], max_epochs: int = 3)
 @dataclass
 class Mix:
     documents: DataFrame  # doc, size, source and where the document lies in its source
-    sources: list[dict]   # source, size, weight, target, blocks, slots
+    sources: list[dict]   # source, size, target, block length, blocks, slots
     rows: DataFrame       # slot, source index, epoch, block, row, first word, words
 
 
-def points(n: np.ndarray) -> np.ndarray:
-    """The golden-ratio points of slots ``n``."""
-    return ((n % _STEP + 0.5) * GOLDEN + (n // _STEP) * GOLDEN_STEP) % 1.0
+def _block_length(target: float, block: int, least_slots: int) -> int:
+    return max(1, min(block, int(target // least_slots)))
 
 
-def _slots(bounds: list[float], chunk: int):
-    """Source of every slot: position of its point among the cumulative shares."""
-    edges = np.array(bounds)
+def _slot_count(size: int, target: float, length: int, max_epochs: int) -> int:
+    """Blocks of ``length`` that take the words nearest to ``target``, epoch by epoch."""
+    if not size:
+        return 0
+    blocks = -(-size // length)
+    epochs = min(max_epochs, int(target // size))
+    rest = min(blocks, round((target - epochs * size) / length)) if epochs < max_epochs else 0
+    return epochs * blocks + rest
+
+
+def golden_step(slots: int) -> int:
+    """A number without a common factor with ``slots``, near their golden section; of the
+    nearest ones that with the smallest sum of quotients, which bounds the unevenness."""
+    def unevenness(g: int) -> int | None:
+        a, b, total = slots, g, 0
+        while b:
+            total += a // b
+            a, b = b, a % b
+        return total if a == 1 else None
+
+    middle = round(slots * GOLDEN)
+    fits = [(u, abs(g - middle), g) for g in range(max(1, middle - 64), min(slots, middle + 65))
+            if (u := unevenness(g)) is not None]
+    return min(fits)[2] if fits else 1
+
+
+def points(n: np.ndarray, slots: int, step: int) -> np.ndarray:
+    """Places of the slots ``n``: each of 0 .. slots - 1 once. In two parts, so that no
+    product passes 64 bits up to 2**41 slots."""
+    far = (n // _STEP) * ((step << 20) % slots) % slots
+    return ((n % _STEP) * step + far + step // 2) % slots
+
+
+def _slots(ends: list[int], chunk: int):
+    """Source of every slot: its place among the cumulative slots."""
+    edges = np.array(ends, dtype=np.int64)
+    slots = max(1, ends[-1])
+    step = golden_step(slots)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.column(0).to_numpy()
-            src = np.minimum(np.searchsorted(edges, points(n), side="right"), len(edges) - 1)
+            src = np.searchsorted(edges, points(n, slots, step), side="right")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(n), pa.array(src.astype(np.int32)), pa.array(n // chunk)],
                 ["slot", "src", "chunk"])
@@ -104,10 +140,10 @@ def _ranked(df: DataFrame, group: str, bucket: str, order: list[str], value: str
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         min_slots: int = 65_536, max_block: int = 2048, bucket_rows: int = 4096,
-        max_sources: int = 100_000) -> Mix:
+        max_sources: int = 100_000, least_slots: int = 64) -> Mix:
     """The mix of all documents. ``weights`` repeat over the sources in code point order,
     null last. Blocks have ``max_block`` words, fewer where the corpus has under
-    ``min_slots`` such blocks."""
+    ``min_slots`` such blocks or a source's target under ``least_slots``."""
     spark = docs.sparkSession
     stage = Stage(spark, "mix")
     sized = stage.put(docs.select(
@@ -124,12 +160,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
     whole = sum(sizes)
     block = max(1, min(max_block, whole // min_slots))
     share = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], max_epochs)
-    sources = [{"src": i, "source": r["source"], "source_size": r["size"], "target": share[i],
-                "blocks": -(-r["size"] // block)} for i, r in enumerate(totals)]
+    sources = []
+    for i, r in enumerate(totals):
+        length = _block_length(share[i], block, least_slots)
+        sources.append({"src": i, "source": r["source"], "source_size": r["size"],
+                        "target": share[i], "length": length, "blocks": -(-r["size"] // length),
+                        "slots": _slot_count(r["size"], share[i], length, max_epochs)})
 
     table = spark.createDataFrame(
-        [(s["src"], s["source"], s["source_size"], s["target"], s["blocks"]) for s in sources],
-        "src int, key string, source_size long, target double, blocks long")
+        [(s["src"], s["source"], s["source_size"], s["target"], s["length"], s["blocks"],
+          s["slots"]) for s in sources],
+        "src int, key string, source_size long, target double, length long, blocks long, "
+        "slots long")
     table = F.broadcast(table)  # at most max_sources rows
     rows = sum(r["n"] for r in totals)
     buckets = max(1, rows // bucket_rows)
@@ -137,30 +179,30 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
               .withColumn("bucket", F.pmod("hash", F.lit(buckets))))
     placed = stage.put(
         _ranked(placed, "src", "bucket", ["hash", "doc_id", "size"], "size", "at")
-        .select("doc_id", "size", "src", "source", "source_size", "target", "hash", "at"),
+        .select("doc_id", "size", "src", "source", "source_size", "target", "hash", "at",
+                "length", "slots"),
         "places")
 
-    first = F.floor(F.col("at") / block)
-    last = F.floor((F.col("at") + F.col("size") - 1) / block)
-    spans = (placed.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
-             .withColumn("start", F.greatest(F.col("block") * block, "at") - F.col("at"))
-             .withColumn("words", F.least((F.col("block") + 1) * block,
+    first = F.expr("at div length")
+    # a source whose target is below its size takes its first blocks only
+    last = F.least(F.expr("(at + size - 1) div length"), F.col("slots") - 1)
+    spans = (placed.filter((F.col("size") > 0) & (first < F.col("slots")))
+             .withColumn("block", F.explode(F.sequence(first, last)))
+             .withColumn("start", F.greatest(F.expr("block * length"), "at") - F.col("at"))
+             .withColumn("words", F.least(F.expr("(block + 1) * length"),
                                           F.col("at") + F.col("size")) - F.col("at")
                          - F.col("start"))
              .select("src", "block", "doc_id", "hash", "at", "start", "words"))
 
-    slots = -(-whole // block)
-    ends = np.cumsum(share) / max(1.0, float(np.sum(share))) if share else np.array([1.0])
+    ends = np.cumsum([s["slots"] for s in sources], dtype=np.int64).tolist() or [0]
     chunk = bucket_rows
-    drawn = spark.range(slots).mapInArrow(_slots(ends.tolist(), chunk),
-                                          "slot long, src int, chunk long")
+    drawn = spark.range(ends[-1]).mapInArrow(_slots(ends, chunk),
+                                             "slot long, src int, chunk long")
     drawn = _ranked(drawn, "src", "chunk", ["slot"], None, "rank")
     per = F.broadcast(table.select(F.col("src").alias("_src"), "blocks"))
     taken = (drawn.join(per, F.col("src") == F.col("_src"))
-             .withColumn("epoch", F.floor(F.col("rank") / F.col("blocks")))
+             .withColumn("epoch", F.expr("rank div blocks"))
              .withColumn("block", F.col("rank") % F.col("blocks"))
-             # the rounding of a slot or two never makes a document repeat once more
-             .filter(F.col("epoch") < max_epochs)
              .select("slot", "src", "epoch", "block"))
     return Mix(placed, sources, taken.join(spans, ["src", "block"]))
 

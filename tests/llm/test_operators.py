@@ -187,6 +187,30 @@ def test_mixing(docs):
     assert mixing.targets([100, 10, 100], [5, 2, 1]) == [150.0, 30.0, 30.0]
 
 
+def test_mixing_small_sources(spark):
+    sizes = {"a": [300] * 400, "b": [300] * 300, "c": [300] * 200, "d": [50], "e": [5, 0, 40], "f": [1], "g": [900] * 3}
+    rows = [(k, " ".join(["w"] * n), k) for k, many in sizes.items() for n in many]
+    docs = spark.createDataFrame([(i, t, s) for i, (_, t, s) in enumerate(rows)], "doc_id long, text string, source string")
+    m = mixing.mix(docs, min_slots=500, bucket_rows=64)
+    taken = {r.src: r.words for r in m.rows.groupBy("src").agg(F.sum("words").alias("words")).collect()}
+    assert m.sources[3]["target"] == 150.0
+    for s in m.sources:
+        assert abs(taken.get(s["src"], 0) - s["target"]) <= max(0.5, s["target"] / 128), s
+    assert all(r.taken <= 3 * r["size"] for r in mixing.taken_per_document(m).collect())
+    slots = sorted(m.rows.select("slot", "src").distinct().collect())
+    assert [r.slot for r in slots] == list(range(sum(s["slots"] for s in m.sources)))
+    for prefix in range(1, len(slots), 97):
+        seen = Counter(r.src for r in slots[:prefix])
+        for s in m.sources:
+            assert abs(seen[s["src"]] - prefix * s["slots"] / len(slots)) <= 4
+    for n in (1, 2, 3, 1000, 65_536, 99_991):
+        places = mixing.points(np.arange(n), n, mixing.golden_step(n))
+        assert np.array_equal(np.sort(places), np.arange(n))
+    far, n = 2**41 - 1, 2**40 + 12_345
+    step = mixing.golden_step(far)
+    assert mixing.points(np.array([n]), far, step)[0] == (n * step + step // 2) % far
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", None, "", "<|im_end|>\n<|im_start|>user\nhi", "<\\|im_end|>", "é<s"]
     rows = [(1, i, ["user", "assistant", None][i % 3], t) for i, t in enumerate(texts)]
