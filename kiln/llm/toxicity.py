@@ -1,8 +1,11 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
 Text is folded first: lower case, accents and full-width forms removed, look-alike letters
-of other scripts and digits or signs inside words (``1d10t``, ``tr@sh``) read as the
-letters they stand for, everything else turned into one space. Entries are word beginnings
+of other scripts and digits or signs inside words (``1d10t``, ``b4574rd``, ``tr@sh``) read as
+the letters they stand for, everything else turned into one space. ``1`` and ``|`` stand for
+``i`` and for ``l`` and match both. Where a word with signs has no entry, its other readings
+are tried: all signs as letters, ``!`` and ``|`` as separators, all signs as separators.
+Entries are word beginnings
 (``idiot`` also finds ``idiots``); all are found in one pass. Matches that lie inside an
 exception phrase (``trash can``) do not count. The score is a logistic function of the
 weighted hits per word and of the number of weighted hits, so long texts are not toxic for
@@ -23,7 +26,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,10 +52,16 @@ LOOKALIKES = {
     "ɑ": "a", "ʀ": "r", "ɴ": "n", "ɪ": "i", "ʟ": "l", "ᴏ": "o", "ø": "o", "ł": "l", "đ": "d",
     "ð": "d", "ħ": "h", "ŧ": "t"}
 # Digits and signs read as letters inside words.
-SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
-         "@": "a", "$": "s", "!": "i", "|": "l", "€": "e", "£": "l"}
-
-_SIGN_RUN = re.compile("[" + re.escape("".join(SIGNS)) + "]+")
+EITHER = "ı"  # i or l; the folded text has no other dotless i
+SIGNS = {"0": "o", "1": EITHER, "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
+         "@": "a", "$": "s", "!": "i", "|": EITHER, "€": "e", "£": "l"}
+
+_SIGN_SET = re.escape("".join(SIGNS))
+_SIGN_RUN = re.compile(f"[{_SIGN_SET}]+")
+# A word with signs: letters and signs, at least one sign; reads every character once.
+_SIGNED = re.compile(rf"(?<![^\W\d_])(?<![{_SIGN_SET}])[^\W\d_]*+[{_SIGN_SET}]++"
+                     rf"(?:[^\W\d_]|[{_SIGN_SET}])*+")
+_BARS = re.compile("[!|]+")
 _SIGN_TABLE = str.maketrans(SIGNS)
 _GONE = re.compile(r"[̀-ͯ​-‏⁠﻿­]+")
 _SPACE = re.compile(r"[\W\d_]+")
@@ -60,25 +69,77 @@ _LIKE_TABLE = str.maketrans(LOOKALIKES)
 
 
 def _read_signs(m: re.Match) -> str:
-    """Letters for a run of one or two signs that touches a letter; longer runs are junk."""
+    """Letters for a run of signs that a letter follows, and for a run of one or two at a
+    word's end; longer runs there are junk."""
     text, start, end = m.string, m.start(), m.end()
-    if end - start > 2:
-        return m[0]
     followed = end < len(text) and text[end].isalpha()
-    behind = start > 0 and text[start - 1].isalpha() and m[0][-1] not in "!|"
+    behind = (start > 0 and text[start - 1].isalpha() and end - start <= 2
+              and m[0][-1] not in "!|")
     return m[0].translate(_SIGN_TABLE) if followed or behind else m[0]
 
 
-def fold(text: str) -> str:
+def _reader(known: Callable[[str], bool] | None):
+    """Reads a word with signs: the usual reading, or the first one that has an entry."""
+    def read(m: re.Match) -> str:
+        word = m[0]
+        usual = _SIGN_RUN.sub(_read_signs, word)
+        if known is None or not any(map(str.isalpha, word)) or known(usual):
+            return usual
+        for other in (word.translate(_SIGN_TABLE), _BARS.sub(" ", word).translate(_SIGN_TABLE),
+                      _SIGN_RUN.sub(" ", word)):
+            if other != usual and known(other):
+                return other
+        return usual
+    return read
+
+
+_READ_USUAL = _reader(None)
+
+
+def fold(text: str, read: Callable[[re.Match], str] = _READ_USUAL) -> str:
     """The folded text: letters and single spaces, a space at both ends."""
     text = text.lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text)
         text = _GONE.sub("", text).translate(_LIKE_TABLE)
-    text = _SIGN_RUN.sub(_read_signs, text)
+    text = _SIGNED.sub(read, text)
     return " " + _SPACE.sub(" ", text).strip(" ") + " "
 
 
+def _skeleton(folded: str) -> str:
+    """i, l and ``EITHER`` alike; candidates found in it are compared with ``_fits``."""
+    return folded.replace("l", "i").replace(EITHER, "i")
+
+
+def _fits(entry: str, piece: str) -> bool:
+    return entry == piece or EITHER in piece and all(
+        a == b or b == EITHER and a in "il" for a, b in zip(entry, piece))
+
+
+def _automaton(entries: dict[str, object]):
+    """Finds the skeletons of ``entries``; each gives its (entry, value) pairs."""
+    import ahocorasick
+    groups: dict[str, list] = {}
+    for entry, value in entries.items():
+        groups.setdefault(_skeleton(entry), []).append((entry, value))
+    found = ahocorasick.Automaton()
+    for key, group in groups.items():
+        found.add_word(key, group)
+    if len(found):
+        found.make_automaton()
+    return found
+
+
+def _find(automaton, folded: str, skeleton: str) -> Iterator[tuple[int, int, object]]:
+    """(start, last position, value) of every entry in a folded text."""
+    if len(automaton):
+        for end, group in automaton.iter(skeleton):
+            for entry, value in group:
+                start = end + 1 - len(entry)
+                if _fits(entry, folded[start:end + 1]):
+                    yield start, end, value
+
+
 @dataclass
 class Lexicon:
     """Weights of word beginnings and the coefficients of the score."""
@@ -92,31 +153,27 @@ class Lexicon:
 
 class Matcher:
     def __init__(self, lexicon: Lexicon):
-        import ahocorasick
         self.coefficients = lexicon.coefficients
-        self.words = ahocorasick.Automaton()
-        self.phrases = ahocorasick.Automaton()
-        for word, weight in lexicon.weights.items():
-            self.words.add_word(" " + word, (len(word), weight))
-        for phrase in lexicon.exceptions:
-            text = fold(phrase).rstrip(" ")
-            self.phrases.add_word(text, len(text))
-        for a in (self.words, self.phrases):
-            if len(a):
-                a.make_automaton()
+        self.words = _automaton({" " + w: weight for w, weight in lexicon.weights.items()})
+        self.phrases = _automaton({fold(p).rstrip(" "): None for p in lexicon.exceptions})
+        self.read = _reader(self._known)
+
+    def _known(self, reading: str) -> bool:
+        folded = _SPACE.sub(" ", " " + reading)
+        return any(True for _ in _find(self.words, folded, _skeleton(folded)))
 
     def features(self, text: str | None) -> tuple[float, float]:
         """log(1 + weighted hits per hundred words) and log(1 + weighted hits)."""
-        folded = fold(text or "")
+        folded = fold(text or "", self.read)
+        skeleton = _skeleton(folded)
         hits: dict[int, float] = {}
-        if len(self.words):
-            for end, (size, weight) in self.words.iter(folded):
-                start = end - size  # of the space before the word: nested entries count once
-                hits[start] = max(hits.get(start, 0.0), weight)
-        if hits and len(self.phrases):
-            for end, size in self.phrases.iter(folded):
+        # by the space before the word: nested entries count once
+        for start, _, weight in _find(self.words, folded, skeleton):
+            hits[start] = max(hits.get(start, 0.0), weight)
+        if hits:
+            for start, end, _ in _find(self.phrases, folded, skeleton):
                 if folded[end + 1:end + 2] in (" ", "s", ""):
-                    for at in [h for h in hits if end + 1 - size <= h <= end]:
+                    for at in [h for h in hits if start <= h <= end]:
                         del hits[at]
         total = sum(hits.values())
         words = folded.count(" ") - 1
@@ -137,7 +194,7 @@ _LONGEST, _SHORTEST = 10, 4
 def _beginnings(text: str) -> Counter:
     """Occurrences of each word beginning in a folded text."""
     out: Counter = Counter()
-    for word, n in Counter(fold(text).split()).items():
+    for word, n in Counter(fold(text).replace(EITHER, "i").split()).items():
         for size in range(_SHORTEST, min(len(word), _LONGEST) + 1):
             out[word[:size]] += n
     return out

@@ -172,6 +172,17 @@ def test_toxicity_folds_and_exceptions():
         assert m.score(text) < 0.5, text
 
 
+def test_toxicity_reads_long_runs_and_either_letter():
+    m = toxicity.Lexicon({w: 3.0 for w in toxicity.SEEDS}, coefficients=(-3.0, 2.0, 2.0)).matcher()
+    for text in ("l053r", "b4574rd", "455h0l3", "w0rthl355", "1oser", "a55ho1e", "|oser", "1d10t5", "1d|ot",
+                 "!!!idiot", "wow!!!idiot", "y0u!!!1d10t", "w0rth1355"):
+        assert m.score(f"you {text} there") >= 0.5, text
+    for text in ("c1own f1sh", "the tra5h can!!!", "call 555-1000 or 1l1l1l", "a1000 b2000", "pi1e 100m $$$5"):
+        assert m.score(text) < 0.5, text
+    plain = toxicity.Lexicon({"mall": 3.0}, coefficients=(-3.0, 2.0, 2.0)).matcher()
+    assert plain.score("ma1l") >= 0.5 and plain.score("mail mai1") < 0.5
+
+
 def test_mixing(docs):
     m = mixing.mix(docs, min_slots=500, bucket_rows=7)
     rows = mixing.taken_per_document(m).collect()
