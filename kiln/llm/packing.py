@@ -19,6 +19,7 @@ repeated rows are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -96,6 +97,18 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return out
 
 
+# The white space that the tokenizer's \s matches. str.split() cuts there and at \x1c-\x1f,
+# which have ids of their own.
+_WHITE = re.compile("[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+def _pieces(text: str) -> list[str]:
+    if _SEPARATORS.search(text):
+        return [w for w in _WHITE.split(text) if w]
+    return text.split()
+
+
 class Encoder:
     """Token ids by a tokenizer whose pre-tokenizer never crosses white space: ids of each
     white-space-separated piece are remembered, since most pieces repeat."""
@@ -103,12 +116,11 @@ class Encoder:
     def __init__(self, path: str, remember: int = 400_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.seen: dict[str, tuple[int, ...]] = {}
         self.remember = remember
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.split() for t in texts]
+        parts = [_pieces(t) for t in texts]
         seen = self.seen
         if len(seen) > self.remember:
             seen.clear()

@@ -270,6 +270,22 @@ def test_packing(docs):
         assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_packing_ids_are_the_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    fresh = Tokenizer.from_file(path)
+    texts = ["a\x1cb", "a \x1d\x1e b\x1f", "hi <|endoftext|> you", "x<|startoftext|>y", "\x1c",
+             *(f"a{chr(c)}b \x1f" for c in (*range(1, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2030),
+                                           0x205F, 0x2060, 0x3000, 0xFEFF))]
+    for t, ids in zip(texts, packing.Encoder(path).encode(texts)):
+        assert ids.tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+    # without separators str.split() is the same cut
+    every = [chr(c) for c in range(0x110000) if chr(c).isspace() and not 0x1C <= c <= 0x1F]
+    assert all(packing._WHITE.fullmatch(c) for c in every)
+    assert not any(packing._WHITE.match(chr(c)) for c in range(0x110000) if chr(c) not in every)
+
+
 @pytest.mark.parametrize("broadcast_rules", [100, 1])
 def test_url_rules(spark, broadcast_rules):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
