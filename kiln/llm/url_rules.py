@@ -179,7 +179,7 @@ def _by_range(parts: DataFrame, rules: DataFrame, ranges: int, sample_rows: int)
         stack: list[tuple[str, str, str, str]] = []
         here = None
         for f in frames:
-            rows, hits, texts = [], [], []
+            rows, hits, texts, hosts = [], [], [], []
             for pid, row, rhost, path, hit, rule in zip(
                     f.pid, f.row, f.rhost, f.path, f.hit, f.rule):
                 if pid != here:
@@ -193,12 +193,14 @@ def _by_range(parts: DataFrame, rules: DataFrame, ranges: int, sample_rows: int)
                     rows.append(int(row))
                     hits.append(stack[-1][2])
                     texts.append(stack[-1][3])
-            yield pd.DataFrame({"row": pd.array(rows, dtype="int64"), "hit": hits, "rule": texts})
+                    hosts.append(len(stack[-1][0]))
+            yield pd.DataFrame({"row": pd.array(rows, dtype="int64"), "hit": hits, "rule": texts,
+                                "host_chars": pd.array(hosts, dtype="int64")})
 
-    found = dealt.mapInPandas(swept, "row long, hit string, rule string")
-    # all rules that fit one url lie on its chain of parent hosts: the longest text wins
+    found = dealt.mapInPandas(swept, "row long, hit string, rule string, host_chars long")
+    # all rules that fit one url lie on its chain of parent hosts, as in _longer
     longest = found.groupBy("row").agg(
-        F.max_by(F.struct("rule", "hit"), F.length("rule")).alias("best"))
+        F.max_by(F.struct("rule", "hit"), F.struct(F.length("rule"), "host_chars")).alias("best"))
     return (ids.join(longest, "row", "left")
             .select("page_id", "host", "path", F.col("best.rule").alias("rule"),
                     F.col("best.hit").alias("hit")))

@@ -286,6 +286,17 @@ def test_packing_ids_are_the_tokenizers(spark):
     assert not any(packing._WHITE.match(chr(c)) for c in range(0x110000) if chr(c) not in every)
 
 
+@pytest.mark.parametrize("broadcast_rules", [1000, 1])
+def test_url_rules_ties(spark, broadcast_rules):
+    rules = [("com", "/xxxxx", "block"), *((f"h{i}.com", "/x", "allow") for i in range(10, 60))]
+    df = spark.createDataFrame([(i, f"http://h{10 + i % 50}.com/xxxxx/y") for i in range(400)], "page_id long, url string")
+    got = url_rules.judge_urls(df, spark.createDataFrame(rules, "host string, path string, verdict string"),
+                               broadcast_rules=broadcast_rules, ranges=16).collect()
+    assert len(got) == 400
+    for r in got:
+        assert (r.rule, r.verdict) == (f"h{10 + r.page_id % 50}.com/x", "allow"), r
+
+
 @pytest.mark.parametrize("broadcast_rules", [100, 1])
 def test_url_rules(spark, broadcast_rules):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
