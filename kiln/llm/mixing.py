@@ -18,8 +18,9 @@ The golden-ratio steps give every prefix of the mix the target proportions to wi
 few slots. Prefix sums and ranks are made in two levels (bucket totals, then inside a
 bucket), so a source with a third of all rows never meets in one task.
 
-Only the table of sources passes the driver: one row per source that has a target weight,
-which is configuration; more than ``max_sources`` raises.
+Up to ``max_sources`` sources their table passes the driver and is broadcast. More stay a
+table: numbered by a sort in ranges, targets by rounds of distributed sums (only the total
+weight and excess of a round reach the driver), slots joined to sources in buckets of places.
 
 Defined results: a null text has size 0; documents of size 0 are in no block and taken 0
 times; a null source is a source of its own; repeated rows count one by one; an empty
@@ -62,10 +63,14 @@ def targets(sizes: Sequence[int], weights: Sequence[float], max_epochs: int = 3)
         capped.update(over)
 
 
+_TABLE = ("src long, key string, source_size long, target double, length long, blocks long, "
+          "slots long")
+
+
 @dataclass
 class Mix:
     documents: DataFrame  # doc, size, source and where the document lies in its source
-    sources: list[dict]   # source, size, target, block length, blocks, slots
+    sources: list[dict] | None  # source, size, target, block length, blocks, slots; None if many
     rows: DataFrame       # slot, source index, epoch, block, row, first word, words
 
 
@@ -117,7 +122,7 @@ def _slots(ends: list[int], chunk: int):
             n = b.column(0).to_numpy()
             src = np.searchsorted(edges, points(n, slots, step), side="right")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(n), pa.array(src.astype(np.int32)), pa.array(n // chunk)],
+                [pa.array(n), pa.array(src.astype(np.int64)), pa.array(n // chunk)],
                 ["slot", "src", "chunk"])
     return assign
 
@@ -137,6 +142,105 @@ def _ranked(df: DataFrame, group: str, bucket: str, order: list[str], value: str
             .withColumn(name, F.col("_in") + F.col("_first")).drop("_in", "_first"))
 
 
+def _few_sources(totals: list, weights: Sequence[float], block: int, least_slots: int,
+                 max_epochs: int) -> list[dict]:
+    totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
+    share = targets([r["size"] for r in totals],
+                    [weights[i % len(weights)] for i in range(len(totals))], max_epochs)
+    sources = []
+    for i, r in enumerate(totals):
+        length = _block_length(share[i], block, least_slots)
+        sources.append({"src": i, "source": r["source"], "source_size": r["size"],
+                        "target": share[i], "length": length, "blocks": -(-r["size"] // length),
+                        "slots": _slot_count(r["size"], share[i], length, max_epochs)})
+    return sources
+
+
+def _many_sources(stage: Stage, totals: DataFrame, whole: int, weights: Sequence[float],
+                  bucket_rows: int, block: int, least_slots: int, max_epochs: int) -> DataFrame:
+    """The table of any number of sources, with the first place of each."""
+    spark = totals.sparkSession
+    order = F.col("source").asc_nulls_last()
+    ordered = stage.put(totals.repartitionByRange(order).sortWithinPartitions(order).select(
+        "source", "size", F.monotonically_increasing_id().alias("id")), "ordered")
+    # the id is the partition's number and, in the lower 33 bits, the row's
+    part = F.shiftright("id", 33)
+    counts = sorted(ordered.groupBy(part.alias("part")).count().collect())  # one row a partition
+    before = np.cumsum([0] + [r["count"] for r in counts]).tolist()
+    offsets = spark.createDataFrame([(r["part"], n) for r, n in zip(counts, before)],
+                                    "part long, before long")
+    weight = F.array(*map(F.lit, map(float, weights)))[
+        (F.col("src") % len(weights)).cast("int")]
+    numbered = stage.put(
+        ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
+        .withColumn("src", F.col("before") + F.expr("id & 8589934591"))
+        .select("src", "source", "size", weight.alias("weight"),
+                (F.col("size") * max_epochs).alias("cap")), "numbered")
+
+    # words for a weight of 1; it grows from round to round, so the capped sources stay capped
+    rate, capped = 0.0, -1
+    while True:
+        over = F.col("weight") * rate > F.col("cap")
+        n, fixed, free = numbered.agg(
+            F.count(F.when(over, 1)), F.coalesce(F.sum(F.when(over, F.col("cap"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0.0))).first()
+        if n == capped or not free:
+            break
+        rate, capped = (whole - fixed) / free, n
+
+    def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, share = b.column("source_size").to_pylist(), b.column("target").to_pylist()
+            lengths = [_block_length(t, block, least_slots) for t in share]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(lengths, pa.int64()),
+                 pa.array([-(-n // k) for n, k in zip(sizes, lengths)], pa.int64()),
+                 pa.array([_slot_count(n, t, k, max_epochs)
+                           for n, t, k in zip(sizes, share, lengths)], pa.int64())],
+                [*b.schema.names, "length", "blocks", "slots"])
+
+    share = F.least(F.col("weight") * rate, F.col("cap").cast("double"))
+    shaped = numbered.select("src", F.col("source").alias("key"), F.col("size").alias("source_size"),
+                             share.alias("target")).mapInArrow(shape, _TABLE)
+    return stage.put(
+        _ranked(shaped.withColumn("_all", F.lit(0))
+                .withColumn("_bucket", F.floor(F.col("src") / bucket_rows)),
+                "_all", "_bucket", ["src"], "slots", "place").drop("_all", "_bucket"), "sources")
+
+
+def _slots_of_many(table: DataFrame, slots: int, chunk: int, places: int = 65_536) -> DataFrame:
+    """``slot, src, chunk`` by the places of ``table``: in every bucket of places, slots and
+    first places of sources are merged in order; the source open at a bucket's start is
+    brought in from the buckets before."""
+    spark = table.sparkSession
+    step = golden_step(slots)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(0).to_numpy()
+            at = points(n, max(1, slots), step)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at // places), pa.array(at), pa.array(n), pa.nulls(len(n), pa.int64())],
+                ["bucket", "place", "slot", "src"])
+
+    none = F.lit(None).cast("long").alias("slot")
+    starts = table.filter("slots > 0").select(
+        F.expr(f"place div {places}").alias("bucket"), "place", none, "src")
+    # one row per bucket of places
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    brought = (spark.range(-(-slots // places)).withColumnRenamed("id", "bucket")
+               .join(starts.groupBy("bucket").agg(F.max("src").alias("src")), "bucket", "left")
+               .select("bucket", F.lit(-1).cast("long").alias("place"), none,
+                       F.last("src", ignorenulls=True).over(earlier).alias("src")))
+    inside = (Window.partitionBy("bucket").orderBy("place", F.col("slot").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (spark.range(slots).mapInArrow(place, "bucket long, place long, slot long, src long")
+            .unionByName(starts).unionByName(brought)
+            .withColumn("src", F.last("src", ignorenulls=True).over(inside))
+            .filter("slot IS NOT NULL")
+            .select("slot", "src", F.expr(f"slot div {chunk}").alias("chunk")))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         min_slots: int = 65_536, max_block: int = 2048, bucket_rows: int = 4096,
@@ -151,29 +255,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
         F.col(source_col).alias("source"),
         # repeated rows get places of their own; the order is by content, so reruns agree
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("hash")), "sizes")
-    totals = (sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-              .limit(max_sources + 1).collect())
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources; pass fewer weighted sources")
-    totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
-    sizes = [r["size"] for r in totals]
-    whole = sum(sizes)
+    totals = stage.put(sized.groupBy("source").agg(F.sum("size").alias("size"),
+                                                   F.count("*").alias("n")), "totals")
+    count, whole, rows = totals.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)),
+                                    F.coalesce(F.sum("n"), F.lit(0))).first()
     block = max(1, min(max_block, whole // min_slots))
-    share = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], max_epochs)
-    sources = []
-    for i, r in enumerate(totals):
-        length = _block_length(share[i], block, least_slots)
-        sources.append({"src": i, "source": r["source"], "source_size": r["size"],
-                        "target": share[i], "length": length, "blocks": -(-r["size"] // length),
-                        "slots": _slot_count(r["size"], share[i], length, max_epochs)})
-
-    table = spark.createDataFrame(
-        [(s["src"], s["source"], s["source_size"], s["target"], s["length"], s["blocks"],
-          s["slots"]) for s in sources],
-        "src int, key string, source_size long, target double, length long, blocks long, "
-        "slots long")
-    table = F.broadcast(table)  # at most max_sources rows
-    rows = sum(r["n"] for r in totals)
+    shape = (block, least_slots, max_epochs)
+    if count <= max_sources:
+        sources = _few_sources(totals.collect(), weights, *shape)
+        table = F.broadcast(spark.createDataFrame([tuple(s.values()) for s in sources], _TABLE))
+    else:
+        sources, table = None, _many_sources(stage, totals, whole, weights, bucket_rows, *shape)
     buckets = max(1, rows // bucket_rows)
     placed = (sized.join(table, sized["source"].eqNullSafe(table["key"]))
               .withColumn("bucket", F.pmod("hash", F.lit(buckets))))
@@ -194,16 +286,23 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int =
                          - F.col("start"))
              .select("src", "block", "doc_id", "hash", "at", "start", "words"))
 
-    ends = np.cumsum([s["slots"] for s in sources], dtype=np.int64).tolist() or [0]
-    chunk = bucket_rows
-    drawn = spark.range(ends[-1]).mapInArrow(_slots(ends, chunk),
-                                             "slot long, src int, chunk long")
+    if sources is not None:
+        ends = np.cumsum([s["slots"] for s in sources], dtype=np.int64).tolist() or [0]
+        slots = ends[-1]
+        drawn = spark.range(slots).mapInArrow(_slots(ends, bucket_rows),
+                                                 "slot long, src long, chunk long")
+    else:
+        slots = table.agg(F.sum("slots")).first()[0]
+        drawn = stage.put(_slots_of_many(table, slots, bucket_rows), "drawn")
     drawn = _ranked(drawn, "src", "chunk", ["slot"], None, "rank")
-    per = F.broadcast(table.select(F.col("src").alias("_src"), "blocks"))
+    per = table.select(F.col("src").alias("_src"), "blocks")
+    per = per if sources is None else F.broadcast(per)
     taken = (drawn.join(per, F.col("src") == F.col("_src"))
              .withColumn("epoch", F.expr("rank div blocks"))
              .withColumn("block", F.col("rank") % F.col("blocks"))
              .select("slot", "src", "epoch", "block"))
+    # many short blocks make more spans than the planner expects of the documents
+    spans = spans if slots <= 4 * min_slots else spans.hint("merge")
     return Mix(placed, sources, taken.join(spans, ["src", "block"]))
 
 

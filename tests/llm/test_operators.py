@@ -222,6 +222,26 @@ def test_mixing_small_sources(spark):
     assert mixing.points(np.array([n]), far, step)[0] == (n * step + step // 2) % far
 
 
+def test_mixing_many_sources(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 40, 200])), rng.choice([None, "é", "ﬀ", "\U00010000", f"s{i % 37}"]))
+            for i in range(400)] + [(1000 + i, "w " * 500, "big") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    few = mixing.mix(docs, min_slots=500, bucket_rows=7)
+    many = mixing.mix(docs, min_slots=500, bucket_rows=7, max_sources=3)
+    assert many.sources is None and len(few.sources) > 30
+
+    def rows_of(m):
+        return Counter(tuple(r) for r in m.rows.select("slot", "src", "epoch", "block", "doc_id", "start", "words").collect())
+    assert rows_of(few) == rows_of(many)
+    a, b = (sorted(mixing.taken_per_document(m).collect()) for m in (few, many))
+    assert [(r.doc_id, r.taken, r.source_size) for r in a] == [(r.doc_id, r.taken, r.source_size) for r in b]
+    assert all(abs(x.target - y.target) < 1e-6 for x, y in zip(a, b))
+    table = spark.createDataFrame([(0, 0, 5), (1, 5, 0), (2, 5, 400), (3, 405, 3)], "src long, place long, slots long")
+    got = {r.slot: r.src for r in mixing._slots_of_many(table, 408, 7, places=16).collect()}
+    assert Counter(got.values()) == {0: 5, 2: 400, 3: 3} and sorted(got) == list(range(408))
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", None, "", "<|im_end|>\n<|im_start|>user\nhi", "<\\|im_end|>", "é<s"]
     rows = [(1, i, ["user", "assistant", None][i % 3], t) for i, t in enumerate(texts)]
