@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import (chat, lattice_dedup, minhash, mixing, packing, suffix_array,
-                      suffix_tree, topk_search, toxicity, url_rules)
+from kiln.llm import (ball_codes, basic_factors, chat, disclosure, lattice_dedup, minhash,
+                      mixing, packing, suffix_array, suffix_tree, topk_search, toxicity,
+                      url_rules)
 from kiln.llm.seeds import Unpacker
 
 
@@ -141,6 +143,62 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_read(spark, sf_dir, "pages"), rules)
 
 
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.compress(_read(spark, sf_dir, "embeddings"), parts=8, entries=16,
+                               rounds=6, scale=4096.0)
+
+
+def made_periodic(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """One document in ten, by its id, gets a periodic end (as the query is defined)."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    stretch = words[a:a + p]
+    whole, rest = divmod(n - a, p)
+    return words[:a] + stretch * whole + stretch[:rest]
+
+
+def _periodic_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = [b" ".join(made_periodic(basic_factors.words_of(t), i)).decode("utf-8", "surrogatepass")
+                 for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())],
+                                         ["doc_id", "text"])
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = basic_factors.periodic_runs(
+        docs.mapInArrow(_periodic_texts, "doc_id long, text string"), min_length=6, min_exponent=4)
+    top = F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("top", F.get(top, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"),
+        (-F.col("top.shorter")).alias("length"), F.col("top.period").alias("period"),
+        F.floor(-F.col("top.shorter") * 1000 / F.col("top.period")).cast("long")
+        .alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_spans(_read(spark, sf_dir, "documents"), threshold=0.9,
+                                  min_contexts=3, reach=8)
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(disclosure.BASE_KINDS))
+    return found.select(
+        "doc_id", *[of(k).alias(f"n_{k}") for k in disclosure.BASE_KINDS],
+        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_lattice_dedup": op1_lattice_dedup,
     "op2_topk_search": op2_topk_search,
@@ -152,4 +210,7 @@ QUERIES = {
     "op8_suffix_array": op8_suffix_array,
     "op9_packing": op9_packing,
     "op10_url_rules": op10_url_rules,
+    "op11_ball_codes": op11_ball_codes,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_pii": op13_pii,
 }
