@@ -42,10 +42,16 @@ def fill_text(c, value: str, empty_is_missing: bool = True) -> Column:
     return F.coalesce(blank_to_null(c) if empty_is_missing else c, F.lit(value))
 
 
+def looks_numeric(c) -> Column:
+    """True for text that is a plain or scientific number after trimming."""
+    return strip_ws(_c(c)).rlike(NUMBER_PATTERN)
+
+
 def to_number(c) -> Column:
-    """Tolerant text-to-double: malformed text becomes null instead of failing."""
-    t = strip_ws(_c(c))
-    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+    """Tolerant text-to-double: malformed text, and text beyond any double (``1e999``),
+    becomes null instead of failing."""
+    v = strip_ws(_c(c)).try_cast("double")
+    return F.when(looks_numeric(c) & (F.abs(v) < F.lit(float("inf"))), v)
 
 
 def parse_date(c, formats: list[str], trim: bool = False) -> Column:
@@ -59,10 +65,11 @@ def round_half_even(c, scale: int) -> Column:
 
 
 def to_int_half_even(c) -> Column:
-    """Assignment of a fractional number to an INT column (banker's rounding)."""
-    return F.bround(_c(c), 0).cast("int")
+    """Assignment of a fractional number to an INT column (banker's rounding); null if it
+    does not fit."""
+    return F.bround(_c(c), 0).try_cast("int")
 
 
 def truncate_int(c) -> Column:
-    """Drop the fraction (toward zero)."""
-    return _c(c).cast("int")
+    """Drop the fraction (toward zero); null if the rest does not fit."""
+    return _c(c).try_cast("int")

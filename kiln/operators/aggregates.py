@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Distributed exact median: split grid size per level, sketch accuracy, narrowing levels.
+# Distributed exact median: cells of the split grid, sketch accuracy, and the number of values
+# that one task may hold of a column.
 MEDIAN_GRID = 1000
 MEDIAN_ACCURACY = 10000
-MEDIAN_LEVELS = 2
+MEDIAN_FINAL_ROWS = 10_000
 
 
 def mode_by(df: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:
@@ -32,85 +35,117 @@ def mode_of(df: DataFrame, value: str) -> Column:
     return mode_by(df, [], value, "_mode").scalar()
 
 
-# Bands at or below this many rows go straight to the exact final step (one task sorts
-# at most this many distinct values).
-MEDIAN_FINAL_ROWS = 200_000
+@dataclass
+class _Rank:
+    """Search for the value of one rank of one column: it lies strictly between ``low`` and
+    ``high`` (None: open), ``below`` values are at most ``low`` and ``inside`` between them."""
+    column: str
+    rank: int
+    inside: int
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
+
+    def band(self) -> tuple:
+        return self.column, self.low, self.high
+
+    def narrow(self, split: float, less: int, at_most: int) -> None:
+        if less <= self.rank < at_most:
+            self.found = split
+        elif at_most <= self.rank and (self.low is None or split > self.low):
+            self.low, self.inside = split, self.inside - (at_most - self.below)
+            self.below = at_most
+        elif less > self.rank and (self.high is None or split < self.high):
+            self.high, self.inside = split, less - self.below
+
+
+def _within(v: Column, low: float | None, high: float | None) -> Column:
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & (v > F.lit(low))
+    if high is not None:
+        inside = inside & (v < F.lit(high))
+    return F.when(inside, v)
+
+
+def exact_medians(df: DataFrame, values: dict[str, Column]) -> dict[str, float | None]:
+    """Exact interpolated medians (Spark ``median`` semantics) of many columns at once.
+
+    A distributed selection. One job takes a bounded sketch of every open band of every
+    column; the next counts, for the few grid values around each wanted rank, how many values
+    are less and how many at most that: either a grid value has the rank, or the counts say
+    between which two it lies. Counts are exact, so a sketch that is off costs a round, never a
+    result, and a value that fills many cells is met as a grid value. Once a band has at most
+    ``MEDIAN_FINAL_ROWS`` values, one aggregate reads the rank from them. The number of jobs
+    depends neither on the number of columns nor on ties; what reaches the driver is a grid
+    for each band. Null and NaN cells are not counted; no other cell gives None.
+    """
+    cells = df.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(n)
+                        for n, c in values.items()])
+    fractions = [j / MEDIAN_GRID for j in range(MEDIAN_GRID + 1)]
+
+    def sketch(column, low=None, high=None):
+        return F.percentile_approx(_within(F.col(f"`{column}`"), low, high), fractions,
+                                   MEDIAN_ACCURACY)
+    if not values:
+        return {}
+    first = cells.agg(*[F.count(f"`{n}`") for n in values], *[sketch(n) for n in values]).first()
+    grids = {(n, None, None): first[len(values) + i] for i, n in enumerate(values)}
+    ranks = [_Rank(n, k, first[i]) for i, n in enumerate(values) if first[i]
+             for k in sorted({(first[i] - 1) // 2, first[i] // 2})]
+    while True:
+        wide = [r for r in ranks if r.found is None and r.inside > MEDIAN_FINAL_ROWS]
+        if not wide:
+            break
+        missing = sorted({r.band() for r in wide} - set(grids), key=str)
+        if missing:
+            row = cells.agg(*[sketch(*b).alias(f"b{i}") for i, b in enumerate(missing)]).first()
+            grids.update(zip(missing, row))
+        probes = sorted({(r.column, s) for r in wide for s in _near(grids[r.band()], r)})
+        row = cells.agg(*[F.count_if(F.col(f"`{n}`") < F.lit(s)).alias(f"l{i}")
+                          for i, (n, s) in enumerate(probes)],
+                        *[F.count_if(F.col(f"`{n}`") <= F.lit(s)).alias(f"m{i}")
+                          for i, (n, s) in enumerate(probes)]).first()
+        for r in wide:
+            for i, (n, s) in enumerate(probes):
+                if n == r.column and r.found is None:
+                    r.narrow(s, row[i], row[len(probes) + i])
+    open_bands = sorted({r.band() for r in ranks if r.found is None}, key=str)
+    if open_bands:
+        row = cells.agg(*[F.sort_array(F.collect_list(_within(F.col(f"`{n}`"), low, high)))
+                          for n, low, high in open_bands]).first()
+        read = dict(zip(open_bands, row))
+        for r in ranks:
+            if r.found is None:
+                r.found = read[r.band()][r.rank - r.below]
+    out: dict[str, float | None] = {}
+    for n in values:
+        pair = [float(r.found) for r in ranks if r.column == n]
+        out[n] = None if not pair else pair[0] if pair[0] == pair[-1] \
+            else 0.5 * pair[0] + 0.5 * pair[-1]
+    return out
+
+
+def _near(grid: list[float], r: _Rank) -> list[float]:
+    """Grid values around the place where the wanted rank should be."""
+    i = (r.rank - r.below) * MEDIAN_GRID // r.inside
+    return sorted(set(grid[max(i - 1, 0):i + 3]))
 
 
 def exact_median(df: DataFrame, value: str | Column) -> float | None:
-    """Exact interpolated median (Spark ``median`` semantics) by distributed selection.
-
-    No task ever holds more than a narrow band of values: a bounded sketch over a
-    constant grid of G+1 fractions brackets the two middle ranks (its rank error is
-    below one grid cell, and the grid ends are the exact min and max, so stepping one
-    cell outward always encloses them); exact counts place the bracket; after at most
-    ``MEDIAN_LEVELS`` narrowings (or once the band is small) the exact ranks are read off
-    the band's distinct values. Only scalars (counts, at most G+1 split values) reach the
-    driver. A bracket that failed to enclose the targets raises instead of answering.
-    """
+    """``exact_medians`` of one column."""
     c = F.col(value) if isinstance(value, str) else value
-    band = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull())
-    v = F.col("v")
-    n = band.count()
-    if n == 0:
-        return None
-    k1, k2 = (n - 1) // 2, n // 2
-    below, nb = 0, n
-    fractions = [j / MEDIAN_GRID for j in range(MEDIAN_GRID + 1)]
-    for _ in range(MEDIAN_LEVELS):
-        if nb <= MEDIAN_FINAL_ROWS:
-            break
-        splits = band.agg(F.percentile_approx("v", fractions, MEDIAN_ACCURACY)).first()[0]
-        i1 = max((k1 - below) * MEDIAN_GRID // nb - 1, 0)
-        i2 = min(-(-(k2 - below + 1) * MEDIAN_GRID // nb) + 1, MEDIAN_GRID)
-        lo, hi = splits[i1], splits[i2]
-        inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
-        row = band.agg(F.count_if(v < F.lit(lo)).alias("b"), F.count_if(inside).alias("m")).first()
-        if not (below + row["b"] <= k1 and below + row["b"] + row["m"] > k2):
-            raise ArithmeticError("median bracket did not enclose the middle ranks")
-        below, nb = below + row["b"], row["m"]
-        band = band.where(inside)
-    counts = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))
-    r1, r2 = k1 - below, k2 - below
-    picked = (counts.select("v", "c", before.alias("cb"))
-              .where(((F.col("cb") <= r1) & (F.lit(r1) < F.col("cb") + F.col("c")))
-                     | ((F.col("cb") <= r2) & (F.lit(r2) < F.col("cb") + F.col("c"))))
-              .orderBy("v").collect())
-    if not picked:
-        raise ArithmeticError("median ranks not found in the final band")
-    a = next(float(p["v"]) for p in picked if p["cb"] <= r1 < p["cb"] + p["c"])
-    b = next(float(p["v"]) for p in picked if p["cb"] <= r2 < p["cb"] + p["c"])
-    if k1 == k2 or a == b:
-        return a
-    return 0.5 * a + 0.5 * b
-
-
-def median_of(df: DataFrame, value: str | Column, method: str = "distributed") -> Column:
-    """Exact median of ``value`` over ``df`` as a literal for use in expressions.
-
-    ``distributed`` (default) runs ``exact_median``; ``spark`` embeds the built-in
-    ``median`` as a scalar subquery (its final task merges a value->count map with every
-    distinct value of the column).
-    """
-    if method == "spark":
-        c = F.col(value) if isinstance(value, str) else value
-        return df.select(F.median(c).alias("_median")).scalar()
-    return F.lit(exact_median(df, value)).cast("double")
+    return exact_medians(df, {"v": c})["v"]
+
+
+def medians_of(df: DataFrame, *columns: str) -> list[Column]:
+    """Exact medians of ``columns`` over ``df`` as literals for use in expressions."""
+    found = exact_medians(df, {c: F.col(c) for c in columns})
+    return [F.lit(found[c]).cast("double") for c in columns]
 
 
 def avg_nonzero(c) -> Column:
     """AVG(NULLIF(x, 0)) in double precision: zero means 'not rated'."""
     c = F.col(c) if isinstance(c, str) else c
     return F.avg(F.nullif(c, F.lit(0)).cast("double"))
-
-
-def count_where(cond: Column) -> Column:
-    """COUNT(*) FILTER (WHERE cond)."""
-    return F.count_if(cond)
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, null when den is 0 or null."""
-    return F.try_divide(num.cast("double"), F.nullif(den, F.lit(0)).cast("double"))

@@ -1,38 +1,79 @@
-"""Assignment casts into a declared typed layout."""
+"""Assignment into a declared typed layout, and the audit of cells that cannot be assigned.
+
+A cell that holds text which is no number, or a number its column cannot hold, becomes null in
+the typed table; ``cell_errors`` says so, as an array that travels with the row through a
+cleaning job and is exploded into one audit row a cell (``explode_cells``).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.functions.exprs import is_blank, looks_numeric, to_int_half_even, to_number
 from kiln.schemas import TableSpec
 
+CELLS = "_cells"
+MALFORMED, OVERFLOW = "malformed", "overflow"
+
 
-def assign(col, target: T.DataType):
+def assign(col, target: T.DataType) -> Column:
     """Cast the way a typed table assignment does: fractions into INT round half-even,
-    numbers into DECIMAL round half-up at the declared scale."""
+    numbers into DECIMAL round half-up at the declared scale; what does not fit is null."""
     c = F.col(col) if isinstance(col, str) else col
-    if isinstance(target, (T.IntegerType, T.LongType)):
-        return F.bround(c.cast("double"), 0).cast(target)
-    return c.cast(target)
+    if isinstance(target, T.IntegerType):
+        return to_int_half_even(c.cast("double"))
+    return c.try_cast(target)
 
 
-def conform(df: DataFrame, spec: TableSpec, strict: bool = False) -> DataFrame:
-    """Project ``df`` onto the silver layout of ``spec`` (missing columns become null).
+def number_for(column: str, target: T.DataType) -> Column:
+    """The number in a text cell, null unless the target type can hold it."""
+    v = to_number(column)
+    return F.when(assign(v, target).isNotNull(), v)
 
-    ``strict=False`` uses ``try_cast`` so a bad cell becomes null instead of failing.
-    """
+
+def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Project ``df`` onto the silver layout of ``spec``: missing columns and cells that do
+    not fit become null."""
     out = []
     for name, typ in spec.silver_types:
         if name not in df.columns:
             out.append(F.lit(None).cast(typ).alias(name))
             continue
-        src = df.schema[name].dataType
-        if isinstance(src, T.StringType) and not isinstance(typ, T.StringType) and not strict:
-            c = F.col(name).try_cast("double") if not isinstance(typ, T.DateType) \
-                else F.col(name).try_cast("date")
-            out.append(assign(c, typ).alias(name))
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        if is_text and isinstance(typ, T.NumericType):
+            out.append(assign(to_number(name), typ).alias(name))
         else:
             out.append(assign(name, typ).alias(name))
     return df.select(*out)
+
+
+def _cell_error(column: str, target: T.DataType) -> Column:
+    v = to_number(column)
+    problem = (F.when(is_blank(column), F.lit(None).cast("string"))
+               .when(~looks_numeric(column), MALFORMED)
+               .when(v.isNull() | assign(v, target).isNull(), OVERFLOW))
+    return F.when(problem.isNotNull(), F.struct(
+        F.lit(column).alias("column_name"), F.col(column).alias("raw_text"),
+        F.lit(target.simpleString()).alias("target_type"), problem.alias("problem")))
+
+
+def cell_errors(spec: TableSpec, skip: tuple[str, ...] = ()) -> Column:
+    """An array of ``column_name, raw_text, target_type, problem`` for the number cells of a
+    raw row that cannot be assigned; blank cells are missing, not wrong."""
+    errors = [_cell_error(c, t) for c, t in spec.silver_types
+              if isinstance(t, T.NumericType) and c not in skip]
+    if not errors:
+        return F.array().cast("array<struct<column_name:string,raw_text:string,"
+                              "target_type:string,problem:string>>")
+    return F.array_compact(F.array(*errors))
+
+
+def explode_cells(rows: DataFrame, key: str, run_ts: datetime) -> DataFrame:
+    """One row for each audited cell: ``row_key``, the error, ``run_ts``."""
+    return (rows.where(F.size(CELLS) > 0)
+            .select(F.col(key).cast("string").alias("row_key"), F.explode(CELLS).alias("e"))
+            .select("row_key", "e.*", F.lit(run_ts).cast("timestamp").alias("run_ts")))

@@ -21,14 +21,16 @@ def _null_fill(df: DataFrame, like: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*df.columns, *extra)
 
 
-def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+def left_join_many(one: DataFrame, many: DataFrame, key: str,
+                   keys: DataFrame | None = None) -> DataFrame:
     """``one LEFT JOIN many USING (key)`` with the columns of ``one`` first.
 
-    Rows of ``one`` with a null key, or with no partner, appear once with nulls.
+    Rows of ``one`` with a null key, or with no partner, appear once with nulls. ``keys`` is a
+    cheaper table with the same keys as ``many``, read instead of it to find those rows.
     """
     matched = many.join(one, key, "inner").select(*one.columns,
                                                   *[c for c in many.columns if c != key])
-    keys = many.where(F.col(key).isNotNull()).select(key).distinct()
+    keys = (many if keys is None else keys).where(F.col(key).isNotNull()).select(key).distinct()
     unmatched = one.join(keys, key, "left_anti")
     unmatched = _null_fill(unmatched, many, [key])
     return matched.unionByName(unmatched)

@@ -16,6 +16,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.conform import CELLS, explode_cells
+
 REASON = "reason"
 RUN_TS = "run_ts"
 DROP = "_silent_drop"
@@ -26,9 +28,11 @@ _ids = itertools.count()
 
 @dataclass
 class CleanResult:
-    """Output of a cleaning job: typed survivors and their audited rejects."""
+    """Output of a cleaning job: typed survivors, the audited rejects, and the audited cells
+    of the survivors that could not be assigned."""
     clean: DataFrame
     rejects: DataFrame
+    cells: DataFrame | None = None
 
 
 def start(df: DataFrame) -> DataFrame:
@@ -92,17 +96,21 @@ def reject_duplicates(df: DataFrame, key: str, reason: str, order: str = SEQ,
 
 
 def split(labelled: DataFrame, clean_cols: list, audit_cols: list[str],
-          run_ts: datetime | None = None) -> CleanResult:
-    """Turn a labelled frame into (clean, rejects).
+          run_ts: datetime | None = None, key: str | None = None) -> CleanResult:
+    """Turn a labelled frame into (clean, rejects, cells).
 
     Rejects carry the raw text of every audited column, the reason, and one run-level
-    timestamp. Silently dropped rows appear in neither output.
+    timestamp; a frame with cell errors and a ``key`` gives its survivors' cells as well.
+    Silently dropped rows appear in no output.
     """
-    ts = F.lit(run_ts or datetime.now()).cast("timestamp")
+    run_ts = run_ts or datetime.now()
+    ts = F.lit(run_ts).cast("timestamp")
     clean = labelled.where(alive_cond()).select(*clean_cols)
     rejects = (labelled.where(F.col(REASON).isNotNull())
                .select(*audit_cols, F.col(REASON), ts.alias(RUN_TS)))
-    return CleanResult(clean, rejects)
+    cells = (explode_cells(alive(labelled), key, run_ts)
+             if key and CELLS in labelled.columns else None)
+    return CleanResult(clean, rejects, cells)
 
 
 def union_rejects(*frames: DataFrame) -> DataFrame:

@@ -8,10 +8,12 @@ SQL oracle in ``kiln.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +22,7 @@ from kiln.functions.exprs import (
     to_number, truncate_int,
 )
 from kiln.operators import expectations as X
-from kiln.operators.aggregates import avg_nonzero, exact_median, median_of, mode_by, mode_of
+from kiln.operators.aggregates import avg_nonzero, exact_medians, medians_of, mode_by, mode_of
 from kiln.operators.conform import conform
 from kiln.operators.joins import full_join_lookup, left_join_many
 from kiln.operators.quarantine import (
@@ -28,10 +30,17 @@ from kiln.operators.quarantine import (
 )
 from kiln.plans import entities as E
 from kiln.plans import gold as G
+from kiln.plans import pipeline as P
 from kiln.plans import reconcile as R
+from kiln.plans.drilldown import drill_down
 from kiln.schemas import TABLES
 from kiln.session import ensure_checkpoint_dir, staging_root
 from kiln.sources import testdata as TD
+from kiln.sources.csv import (
+    CSV_DIALECT, DEFAULT_NULL_TOKENS, line_audit, loaded, read_lines, read_raw_csv,
+)
+from kiln.sources.sinks import LayerRun, export_csv, layer_tables, publish_snapshot, read_layer
+from kiln.streaming.keep_first import keep_first_stream, read_first
 
 AS_OF = "2001-08-01"
 RUN_TS = datetime(2001, 8, 1, 0, 0, 0)
@@ -231,7 +240,7 @@ def q_coerce_numeric(spark, d):
 
 def q_impute_median(spark, d):
     b = _b(spark, d, "feedback").withColumn("_v", to_number("user_rating"))
-    return b.select("_seq", "user_rating", F.coalesce(F.col("_v"), median_of(b, "_v")).alias("value"))
+    return b.select("_seq", "user_rating", F.coalesce(F.col("_v"), *medians_of(b, "_v")).alias("value"))
 
 
 def q_impute_mode(spark, d):
@@ -274,6 +283,50 @@ def q_expectation_violations(spark, d):
     return out
 
 
+#: Tighter limits than the declared ones, so that rides, payments and feedback fall with their
+#: users and captains.
+STRICT_CHECKS = {"users": [X.Check("range", "age", 21)], "captains": [X.Check("range", "rating", 0.3, 5)],
+                 "rides": [X.Check("range", "distance_km", 0, 40)],
+                 "payments": [X.Check("range", "fare", 0, 90000)], "feedback": []}
+
+
+def q_quarantine_violations(spark, d):
+    """Every row that the constraints take out of silver, its own fault or its parents'."""
+    found = X.quarantine(_clean(spark, d), {n: [*STRICT_CHECKS[n], *t.checks] for n, t in TABLES.items()},
+                         E.parquet_stage)
+    parts = [found.rejected[n].select(F.lit(n).alias("table_name"), F.col(t.key).alias("row_key"),
+                                      "reason", "depth") for n, t in TABLES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_quarantine_kept(spark, d):
+    """What the constraints leave: rows and distinct keys per table, every check of which holds."""
+    checks = {n: [*STRICT_CHECKS[n], *t.checks] for n, t in TABLES.items()}
+    kept = {n: E.parquet_stage(k) for n, k in X.quarantine(_clean(spark, d), checks, E.parquet_stage).kept.items()}
+    counts = [kept[n].agg(F.count("*").alias("kept_rows"), F.count_distinct(t.key).alias("kept_keys"))
+              .withColumn("table_name", F.lit(n)) for n, t in TABLES.items()]
+    left = reduce(DataFrame.unionByName, [X.violations(kept[n], n, checks[n], kept) for n in TABLES])
+    return reduce(DataFrame.unionByName, counts).join(
+        left.groupBy("table_name").agg(F.sum("violations").alias("violations")), "table_name")
+
+
+def _users_with_bad_ages(spark, d):
+    k = F.col("_seq")
+    return _b(spark, d, "users").withColumn(
+        "age", F.when(k % 61 == 0, F.lit("99999999999")).when(k % 59 == 0, F.lit(" abc"))
+        .when(k % 67 == 0, F.lit("1e999")).when(k % 71 == 0, F.lit(" ")).otherwise(F.col("age")))
+
+
+def q_cast_rejects(spark, d):
+    """Cells of surviving rows that their typed column cannot hold, of all five tables."""
+    s = silver(spark, d)
+    cells = {n: r.cells for n, r in s.items()}
+    cells["users"] = E.clean_users(_users_with_bad_ages(spark, d), RUN_TS).cells
+    return reduce(DataFrame.unionByName, [
+        c.select(F.lit(n).alias("table_name"), "row_key", "column_name", "raw_text", "target_type",
+                 "problem") for n, c in cells.items()])
+
+
 def q_conform_types(spark, d):
     b = _b(spark, d, "rides").select("ride_id", "user_id", "captain_id", "distance_km", "duration_min")
     return conform(b, TABLES["rides"]).select("ride_id", "distance_km", "duration_min")
@@ -385,10 +438,9 @@ def q_recent_30_days(spark, d):
 
 
 def q_median_global(spark, d):
-    r = _b(spark, d, "rides").select(to_number("distance_km").alias("v"))
-    p = _b(spark, d, "payments").select(to_number("fare").alias("v"))
-    return spark.createDataFrame([("distance_km", exact_median(r, "v")), ("fare", exact_median(p, "v"))],
-                                 "column_name string, median_value double")
+    found = {**exact_medians(_b(spark, d, "rides"), {"distance_km": to_number("distance_km")}),
+             **exact_medians(_b(spark, d, "payments"), {"fare": to_number("fare")})}
+    return spark.createDataFrame(list(found.items()), "column_name string, median_value double")
 
 
 def q_mode_global(spark, d):
@@ -412,22 +464,18 @@ def q_sort_nulls_last(spark, d):
 
 
 # ---------------------------------------------------------------- sources / sinks
-from kiln.sources.csv import CSV_DIALECT  # noqa: E402
-
-
 def _scratch(spark, name):
-    return staging_root(spark, f"{name}-{datetime.now().strftime('%Y%m%d%H%M%S%f')}")
+    return staging_root(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def _csv_writer(df):
+def _csv_writer(df, mode="overwrite"):
     # Keep cells byte-exact: no whitespace trimming on write.
-    return (df.write.mode("overwrite").options(**CSV_DIALECT)
+    return (df.write.mode(mode).options(**CSV_DIALECT)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def q_bronze_roundtrip(spark, d):
     """Bronze rides written as text CSV and read back through the raw ingest."""
-    from kiln.sources.csv import read_raw_csv
     path = _scratch(spark, "bronze-rides")
     b = _b(spark, d, "rides")
     _csv_writer(b.drop("_seq")).csv(path)
@@ -436,24 +484,156 @@ def q_bronze_roundtrip(spark, d):
 
 
 def q_csv_null_tokens(spark, d):
-    """Nulls written as spreadsheet tokens come back as nulls."""
-    from kiln.sources.csv import read_raw_csv
-    path = _scratch(spark, "null-tokens")
-    b = _b(spark, d, "feedback").drop("_seq")
-    k = F.col("feedback_id")
-    tok = F.element_at(F.array(*[F.lit(t) for t in ["NA", "null", "nan", "N/A", "None"]]),
-                       (F.abs(F.hash(F.coalesce(k, F.lit("x")))) % 5 + 1).cast("int"))
-    _csv_writer(b.select(*[F.coalesce(F.col(c), tok).alias(c) for c in b.columns])).csv(path)
-    return read_raw_csv(spark, path, TABLES["feedback"].bronze_schema()).drop("_seq")
+    """All five tables as CSV folders whose files have two column orders and whose nulls are
+    written as any of the null tokens; nulls come back as nulls, cells under their names."""
+    parts = []
+    for n, spec in TABLES.items():
+        path, b = _scratch(spark, f"null-tokens-{n}"), _b(spark, d, n)
+        tokens = F.array(*[F.lit(t) for t in DEFAULT_NULL_TOKENS])
+        cells = [F.coalesce(F.col(c), F.element_at(tokens, (F.pmod(F.hash("_seq"), len(DEFAULT_NULL_TOKENS)) + i)
+                                                   % len(DEFAULT_NULL_TOKENS) + 1)).alias(c)
+                 for i, c in enumerate(spec.bronze_columns)]
+        odd = F.col("_seq") % 2 == 1
+        _csv_writer(b.where(odd).select(*cells)).csv(path)
+        _csv_writer(b.where(~odd).select(*cells[::-1], F.lit("x").alias("extra")), "append").csv(path)
+        back = read_raw_csv(spark, path, spec.bronze_schema(), multi_line=n == "feedback")
+        parts.append(back.select(F.lit(n).alias("table_name"), F.concat_ws("|", *[
+            F.coalesce(F.col(c), F.lit("<null>")) for c in spec.bronze_columns]).alias("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _users_with_torn_lines(spark, d):
+    k = F.col("_seq") % 60
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in TABLES["users"].bronze_columns]
+    short = F.concat_ws(",", *cells[:4])
+    return _b(spark, d, "users").select(F.when(k == 7, F.concat_ws(",", *cells, F.lit("EXTRA")))
+                                        .when(k == 9, short).otherwise(F.concat_ws(",", *cells))
+                                        .alias(",".join(TABLES["users"].bronze_columns)))
+
+
+def q_csv_line_audit(spark, d):
+    """Lines with a surplus cell or without the last ones: audited, the short ones loaded."""
+    path = _scratch(spark, "torn-lines")
+    _users_with_torn_lines(spark, d).write.option("header", True).option("sep", "\x01") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    lines = E.parquet_stage(read_lines(spark, path, TABLES["users"].bronze_schema()))
+    count = lambda df: df.agg(F.count("*").alias("n"))
+    total = count(loaded(lines)).select(F.lit("loaded").alias("problem"), F.lit(None).cast("string").alias("raw_line"),
+                                        F.lit(True).alias("loaded"), F.col("n").alias("rows"))
+    return line_audit(lines).select("problem", "raw_line", "loaded", F.lit(1).cast("long").alias("rows")).unionByName(total)
 
 
 def q_export_snapshot(spark, d):
-    """Publish the captain aggregate as a CSV snapshot and read the snapshot back."""
-    from kiln.sources.sinks import publish_snapshot
+    """Publish the captain aggregate as a CSV snapshot and read the snapshot back, all columns."""
     root = _scratch(spark, "export")
-    ca = q_captain_aggregate(spark, d)
+    ca = E.parquet_stage(q_captain_aggregate(spark, d))
     path = publish_snapshot(ca, root, "captains_data")
-    return spark.read.option("header", True).csv(path).select("captain_id", "name", "status")
+    back = spark.read.options(**CSV_DIALECT).csv(path)
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in ca.schema.fields])
+
+
+def q_full_refresh(spark, d):
+    """A layer after two published runs and one that ended before it was published: the second."""
+    root, ca = _scratch(spark, "refresh"), E.parquet_stage(q_captain_aggregate(spark, d))
+    for n, table in enumerate([ca.withColumn("status", F.lit("first run")), ca,
+                               ca.withColumn("status", F.lit("never published"))]):
+        run = LayerRun(spark, root, "gold", str(n))
+        run.write(table, "captain_aggregate")
+        if n < 2:
+            run.publish()
+    return read_layer(spark, root, "gold", "captain_aggregate")
+
+
+def q_load_counts(spark, d):
+    """Rows of all silver and audit tables as their writes saw them, and as scans find them."""
+    root, out = _scratch(spark, "counts"), []
+    for layer in ("silver", "audit"):
+        run = LayerRun(spark, root, layer, "1")
+        written = {n: run.write(r.clean if layer == "silver" else r.rejects, n)["rows"]
+                   for n, r in silver(spark, d).items()}
+        run.publish()
+        for n in layer_tables(spark, root, layer):
+            rows = read_layer(spark, root, layer, n)
+            out.append(rows.agg(F.count("*").alias("scanned_rows")).select(
+                F.lit(layer).alias("layer"), F.lit(n).alias("table_name"),
+                F.lit(written[n]).cast("long").alias("written_rows"), "scanned_rows"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_run_stamp(spark, d):
+    """The run's one timestamp on every audit row (F9)."""
+    return reduce(DataFrame.unionByName, [
+        r.rejects.groupBy("run_ts").agg(F.count("*").alias("rejected"))
+        .select(F.lit(n).alias("table_name"), "run_ts", "rejected") for n, r in silver(spark, d).items()])
+
+
+def _observed_report(spark, d):
+    """Silver and gold written to a scratch warehouse, reconciled by what the writes saw."""
+    root = _scratch(spark, "observed")
+    runs = {n: LayerRun(spark, root, n, "1") for n in ("silver", "gold")}
+    seen, written = {}, {}
+
+    def write(layer, table, df, metrics=None):
+        seen[table] = runs[layer].write(df, table, metrics)
+        return runs[layer].read(table)
+    for n, df in _clean(spark, d).items():
+        written[n] = write("silver", n, df, R.write_metrics(n, AS_OF))
+    return P.gold_and_report(spark, written, dict(seen), write, AS_OF)[2]
+
+
+def q_reconcile_observed(spark, d):
+    return _observed_report(spark, d)
+
+
+def q_report_csv(spark, d):
+    """The report as its CSV file has it: lines in the order of the metrics."""
+    path = _scratch(spark, "report")
+    export_csv(R.report_text(q_reconcile_report(spark, d)), path, single_file=True, order_by=["_position"])
+    columns = ["Metric", "Silver", "Gold", "Difference", "Status", "Entity"]
+    back = read_raw_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns]), null_tokens=[""])
+    number = lambda c: F.round(F.col(c).try_cast("double"), 6).alias(c)
+    line = F.row_number().over(Window.orderBy("_seq"))  # the report has a line for each metric
+    return back.select(line.alias("line"), "Metric", number("Silver"), number("Gold"), "Status", "Entity")
+
+
+def q_reconcile_drilldown(spark, d):
+    """Per captain, silver totals against a gold table with planted faults: one captain in 17
+    paid too much and the next too little by as much, one in 19 missing, one in 23 twice."""
+    s = _clean(spark, d)
+    gold = q_captain_aggregate(spark, d)
+    k = F.coalesce(F.col("captain_id").try_cast("long"), F.lit(-1))
+    faulty = (gold.where(k % 19 != 0).unionByName(gold.where(k % 23 == 0))
+              .withColumn("total_final_amount", F.col("total_final_amount") + F.when(k % 17 == 0, 5)
+                          .when(k % 17 == 1, -5).otherwise(0)))
+    mine = s["rides"].join(G.ride_payment_totals(s["payments"]), "ride_id", "left").groupBy("captain_id").agg(
+        F.count("*").alias("total_rides"), F.sum("distance_km").alias("total_distance_km"),
+        F.sum(F.coalesce("total_payment", F.lit(0))).alias("total_final_amount"))
+    measures = ["total_rides", "total_distance_km", "total_final_amount"]
+    everyone = s["captains"].select("captain_id").join(mine, "captain_id", "left").na.fill(0, measures)
+    return drill_down(everyone, faulty, "captain_id", measures, E.parquet_stage)
+
+
+def q_dashboard_fanout_page(spark, d):
+    """Three pages of the multiplying dashboard, from its beginning, middle and end."""
+    s = _clean(spark, d)
+    whole = G.dashboard_fanout(s["users"], s["rides"], s["payments"], s["feedback"], s["captains"])
+    pages = [(0, 400), (whole.size // 2, whole.size // 2 + 400), (whole.size - 400, whole.size)]
+    return reduce(DataFrame.unionByName, [whole.page(max(a, 0), b) for a, b in pages]).select(
+        "row_no", "captain_ride_id", *G.DASHBOARD_COLUMNS)
+
+
+def q_dedupe_incremental(spark, d):
+    """Line items landed in four batches, late copies first, kept by the stream's state."""
+    li = TD.read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    land, out = _scratch(spark, "landed-lines"), _scratch(spark, "first-lines")
+    late = F.pmod(F.hash("l_extendedprice", "l_partkey"), F.lit(4))
+    for n in range(4):
+        li.where(late == n).coalesce(2).write.mode("append").parquet(land)
+        keep_first_stream(spark.readStream.schema(li.schema).parquet(land), ["l_orderkey", "l_linenumber"],
+                          ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"], out)
+    return read_first(spark, out, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "copies")
 
 
 def _p(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -491,6 +671,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "round_truncate": _p(q_round_truncate),
     "trim_text": _p(q_trim_text),
     "expectation_violations": _p(q_expectation_violations),
+    "quarantine_violations": _p(q_quarantine_violations),
+    "quarantine_kept": _p(q_quarantine_kept),
+    "cast_rejects": _p(q_cast_rejects),
     "conform_types": _p(q_conform_types),
     "left_join_rides": _p(q_left_join_rides),
     "inner_join_payments": _p(q_inner_join_payments),
@@ -514,5 +697,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sort_nulls_last": _p(q_sort_nulls_last),
     "bronze_roundtrip": _p(q_bronze_roundtrip),
     "csv_null_tokens": _p(q_csv_null_tokens),
+    "csv_line_audit": _p(q_csv_line_audit),
     "export_snapshot": _p(q_export_snapshot),
+    "full_refresh": _p(q_full_refresh),
+    "load_counts": _p(q_load_counts),
+    "run_stamp": _p(q_run_stamp),
+    "reconcile_observed": _p(q_reconcile_observed),
+    "report_csv": _p(q_report_csv),
+    "reconcile_drilldown": _p(q_reconcile_drilldown),
+    "dashboard_fanout_page": _p(q_dashboard_fanout_page),
+    "dedupe_incremental": _p(q_dedupe_incremental),
 }

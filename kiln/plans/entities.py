@@ -1,8 +1,9 @@
 """The five cleaning jobs (bronze text -> typed silver + audited rejects) and their DAG.
 
 Each job is a fixed order of rule steps over one labelled frame. Statistics used for
-imputation (medians, modes) are taken from the rows still alive at that point of the
-chain and enter the plan as scalar subqueries: computed once, never joined back.
+imputation are taken from the rows still alive at that point of the chain: the medians of
+all columns in one distributed selection, the modes as scalar subqueries; neither is joined
+back.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from pyspark.sql import functions as F
 
 from kiln.functions.exprs import (
     RIDES_DATE_FORMATS, USERS_DATE_FORMATS, fill_text, is_blank, parse_date, strip_ws,
-    to_int_half_even, to_number, truncate_int,
+    to_int_half_even, truncate_int,
 )
-from kiln.operators.aggregates import median_of, mode_of
+from kiln.operators.aggregates import medians_of, mode_of
+from kiln.operators.conform import CELLS, cell_errors, number_for
 from kiln.operators.quarantine import (
     CleanResult, alive, reject_duplicates, reject_if, reject_orphans, split, start,
 )
-from kiln.schemas import BRONZE_COLUMNS
+from kiln.schemas import BRONZE_COLUMNS, TABLES
+from kiln.session import parquet_stage
 
 # Reject reasons, verbatim.
 NULL_USER_ID = "null_user_id"
@@ -44,15 +47,14 @@ FEEDBACK_RIDE_NOT_IN_RIDES = "ride_id_not_in_rides"
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def parquet_stage(df: DataFrame) -> DataFrame:
-    """Materialise a labelled frame as a parquet table under the shared checkpoint folder
-    and continue from the written table (columnar, compressed, survives executor loss)."""
-    import uuid
+def _raw(bronze: DataFrame, table: str, skip: tuple[str, ...] = ()) -> DataFrame:
+    """Every row alive, with its cells that cannot be assigned."""
+    return start(bronze).withColumn(CELLS, cell_errors(TABLES[table], skip))
 
-    from kiln.session import staging_root
-    path = staging_root(df.sparkSession, f"labelled-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+
+def _number(table: str, column: str):
+    """The cell's number; text, and numbers that the silver column cannot hold, are missing."""
+    return number_for(column, dict(TABLES[table].silver_types)[column])
 
 
 # Constant fills.
@@ -64,43 +66,44 @@ NO_COMMENTS = "No comments"
 def clean_users(bronze: DataFrame, run_ts: datetime | None = None,
                 audit_duplicates: bool = False, stage: Stage = parquet_stage) -> CleanResult:
     """Null id -> parse signup date -> keep first copy per id (silently by default)."""
-    df = start(bronze)
+    df = _raw(bronze, "users")
     df = reject_if(df, F.col("user_id").isNull(), NULL_USER_ID)
     df = df.withColumn("_signup", parse_date("signup_date", USERS_DATE_FORMATS))
     df = reject_if(df, F.col("_signup").isNull(), INVALID_SIGNUP_DATE)
     # Keep-first reads its input twice (first copy per key, then the join back): stage it.
     df = stage(reject_duplicates(stage(df), "user_id", DUPLICATE_USER_ID, audit=audit_duplicates))
     clean = [F.col("user_id"), F.col("name"), F.col("gender"),
-             to_int_half_even(to_number("age")).alias("age"),
+             to_int_half_even(_number("users", "age")).alias("age"),
              F.col("_signup").alias("signup_date"), F.col("city")]
-    return split(df, clean, BRONZE_COLUMNS["users"], run_ts)
+    return split(df, clean, BRONZE_COLUMNS["users"], run_ts, "user_id")
 
 
 def clean_captains(bronze: DataFrame, run_ts: datetime | None = None,
                    stage: Stage = parquet_stage) -> CleanResult:
     """Null id -> keep first -> coerce age/rating -> fill+trim city -> median fill
     (age truncated, rating half-even to 1 dp) -> reject blank name (after the medians)."""
-    df = start(bronze)
+    df = _raw(bronze, "captains", skip=("experience_years",))
     df = reject_if(df, F.col("captain_id").isNull(), NULL_CAPTAIN_ID)
     df = reject_duplicates(stage(df), "captain_id", DUPLICATE_CAPTAIN_ID)
-    df = stage(df.withColumn("_age", to_number("age")).withColumn("_rating", to_number("rating")))
+    df = stage(df.withColumn("_age", _number("captains", "age"))
+               .withColumn("_rating", _number("captains", "rating")))
     survivors = alive(df)
-    med_age, med_rating = median_of(survivors, "_age"), median_of(survivors, "_rating")
+    med_age, med_rating = medians_of(survivors, "_age", "_rating")
     df = (df.withColumn("_age", truncate_int(F.coalesce(F.col("_age"), med_age)))
             .withColumn("_rating", F.bround(F.coalesce(F.col("_rating"), med_rating), 1)))
     df = reject_if(df, is_blank("name"), NULL_OR_EMPTY_NAME)
     clean = [F.col("captain_id"), F.col("name"), F.col("_age").alias("age"),
              F.lit(None).cast("int").alias("experience_years"),
              strip_ws(F.coalesce(F.col("city"), F.lit(UNKNOWN))).alias("city"),
-             F.col("_rating").cast("decimal(3,2)").alias("rating")]
-    return split(df, clean, BRONZE_COLUMNS["captains"], run_ts)
+             F.col("_rating").try_cast("decimal(3,2)").alias("rating")]
+    return split(df, clean, BRONZE_COLUMNS["captains"], run_ts, "captain_id")
 
 
 def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
                 run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank keys -> date -> user and captain membership -> keep first -> median fill of
     distance/duration -> fill locations -> mode fill of status."""
-    df = start(bronze)
+    df = _raw(bronze, "rides")
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_if(df, is_blank("user_id"), NULL_OR_EMPTY_USER_ID)
     df = reject_if(df, is_blank("captain_id"), NULL_OR_EMPTY_CAPTAIN_ID)
@@ -109,10 +112,10 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
     df = reject_orphans(df, "user_id", users, "user_id", USER_NOT_IN_USERS)
     df = reject_orphans(df, "captain_id", captains, "captain_id", CAPTAIN_NOT_IN_CAPTAINS)
     df = reject_duplicates(stage(df), "ride_id", DUPLICATE_RIDE_ID)
-    df = stage(df.withColumn("_dist", to_number("distance_km"))
-               .withColumn("_dur", to_number("duration_min")))
+    df = stage(df.withColumn("_dist", _number("rides", "distance_km"))
+               .withColumn("_dur", _number("rides", "duration_min")))
     survivors = alive(df)
-    med_dist, med_dur = median_of(survivors, "_dist"), median_of(survivors, "_dur")
+    med_dist, med_dur = medians_of(survivors, "_dist", "_dur")
     status_mode = F.coalesce(mode_of(survivors, "ride_status"), F.lit(UNKNOWN))
     clean = [F.col("ride_id"), F.col("user_id"), F.col("captain_id"),
              F.col("_date").alias("ride_date"),
@@ -121,45 +124,45 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
              F.coalesce(F.col("_dist"), med_dist).cast("decimal(7,2)").alias("distance_km"),
              to_int_half_even(F.coalesce(F.col("_dur"), med_dur)).alias("duration_min"),
              F.coalesce(F.col("ride_status"), status_mode).alias("ride_status")]
-    return split(df, clean, BRONZE_COLUMNS["rides"], run_ts)
+    return split(df, clean, BRONZE_COLUMNS["rides"], run_ts, "ride_id")
 
 
 def clean_payments(bronze: DataFrame, rides: DataFrame,
                    run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank ride -> ride membership -> median fill of fare -> zero fill of discounts."""
-    df = start(bronze)
+    df = _raw(bronze, "payments")
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_orphans(df, "ride_id", rides, "ride_id", PAYMENT_RIDE_NOT_IN_RIDES)
-    df = stage(df.withColumn("_fare", to_number("fare")))
-    med_fare = median_of(alive(df), "_fare")
+    df = stage(df.withColumn("_fare", _number("payments", "fare")))
+    [med_fare] = medians_of(alive(df), "_fare")
     zero = F.lit(0.0)
     clean = [F.col("payment_id"), F.col("ride_id"), F.col("payment_method"),
              F.coalesce(F.col("_fare"), med_fare).cast("decimal(10,2)").alias("fare"),
-             F.coalesce(to_number("discount_percent"), zero).cast("decimal(5,2)").alias("discount_percent"),
-             F.coalesce(to_number("discount_amount"), zero).cast("decimal(10,2)").alias("discount_amount"),
-             F.coalesce(to_number("final_amount"), zero).cast("decimal(10,2)").alias("final_amount"),
+             F.coalesce(_number("payments", "discount_percent"), zero).cast("decimal(5,2)").alias("discount_percent"),
+             F.coalesce(_number("payments", "discount_amount"), zero).cast("decimal(10,2)").alias("discount_amount"),
+             F.coalesce(_number("payments", "final_amount"), zero).cast("decimal(10,2)").alias("final_amount"),
              F.col("payment_status")]
-    return split(df, clean, BRONZE_COLUMNS["payments"], run_ts)
+    return split(df, clean, BRONZE_COLUMNS["payments"], run_ts, "payment_id")
 
 
 def clean_feedback(bronze: DataFrame, rides: DataFrame,
                    run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank feedback id -> blank ride -> ride membership -> median fill of both ratings
     -> constant fill of issue and comment ('' counts as missing)."""
-    df = start(bronze)
+    df = _raw(bronze, "feedback")
     df = reject_if(df, is_blank("feedback_id"), NULL_OR_EMPTY_FEEDBACK_ID)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_orphans(df, "ride_id", rides, "ride_id", FEEDBACK_RIDE_NOT_IN_RIDES)
-    df = stage(df.withColumn("_ur", to_number("user_rating"))
-               .withColumn("_cr", to_number("captain_rating")))
+    df = stage(df.withColumn("_ur", _number("feedback", "user_rating"))
+               .withColumn("_cr", _number("feedback", "captain_rating")))
     survivors = alive(df)
-    med_ur, med_cr = median_of(survivors, "_ur"), median_of(survivors, "_cr")
+    med_ur, med_cr = medians_of(survivors, "_ur", "_cr")
     clean = [F.col("feedback_id"), F.col("ride_id"),
              F.coalesce(F.col("_ur"), med_ur).cast("decimal(2,1)").alias("user_rating"),
              F.coalesce(F.col("_cr"), med_cr).cast("decimal(2,1)").alias("captain_rating"),
              fill_text("issue_category", NO_ISSUES).alias("issue_category"),
              fill_text("comments", NO_COMMENTS).alias("comments")]
-    return split(df, clean, BRONZE_COLUMNS["feedback"], run_ts)
+    return split(df, clean, BRONZE_COLUMNS["feedback"], run_ts, "feedback_id")
 
 
 def build_silver(bronze: dict[str, DataFrame], run_ts: datetime | None = None,

@@ -8,13 +8,18 @@ combines map-side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.aggregates import mode_by
+from kiln.operators.factorised import Factorised, factorise
 from kiln.operators.joins import full_join_lookup, left_join_many
+from kiln.session import parquet_stage
+
+Observe = Callable[[DataFrame], DataFrame]
 
 # Ride status vocabulary used by the gold rules.
 COMPLETED, CANCELLED = "completed", "cancelled"
@@ -61,9 +66,13 @@ def _ratio(num: str, den: str) -> Column:
 
 
 def user_aggregate(users: DataFrame, rides: DataFrame, payments: DataFrame,
-                   feedback: DataFrame, as_of: date | str | None = None) -> DataFrame:
+                   feedback: DataFrame, as_of: date | str | None = None,
+                   observe: Observe | None = None) -> DataFrame:
     """One row per silver user (users without rides kept).
 
+    ``observe`` is handed the rides grouped by user (``active``: rides that make a user
+    active), before users are attached.
+
     avg_captain_rating is the mean over the user's rides of each ride's mean non-zero
     captain rating; most_frequent_issue is the mode over rides of each ride's mode.
     """
@@ -95,6 +104,8 @@ def user_aggregate(users: DataFrame, rides: DataFrame, payments: DataFrame,
         F.sum("active").alias("active"),
         F.sum("cr_sum").alias("cr_sum"), F.sum("cr_n").alias("cr_n"),
         best_issue["v"].alias("most_frequent_issue"))
+    if observe:
+        per_user = observe(per_user)
     out = users.select("user_id", "name", "age", "gender", "city", "signup_date") \
         .join(per_user, "user_id", "left")
     n = F.coalesce(F.col("total_rides"), F.lit(0)).cast("bigint")
@@ -111,8 +122,11 @@ def user_aggregate(users: DataFrame, rides: DataFrame, payments: DataFrame,
 
 
 def captain_aggregate(captains: DataFrame, rides: DataFrame, payments: DataFrame,
-                      feedback: DataFrame) -> DataFrame:
-    """One row per silver captain; rating averages are over feedback rows, zeros ignored."""
+                      feedback: DataFrame, observe: Observe | None = None) -> DataFrame:
+    """One row per silver captain; rating averages are over feedback rows, zeros ignored.
+
+    ``observe`` is handed the rides grouped by captain (``ur_all_sum``, ``ur_all_n``: user
+    ratings with zeros), before captains are attached."""
     fb = ride_feedback_stats(feedback)
     per_ride = (rides.select("ride_id", "captain_id", "ride_status", "distance_km", "duration_min")
                 .join(ride_payment_totals(payments), "ride_id", "left")
@@ -126,7 +140,10 @@ def captain_aggregate(captains: DataFrame, rides: DataFrame, payments: DataFrame
         F.sum(F.coalesce(F.col("total_payment"), F.lit(0))).alias("total_final_amount"),
         F.sum("cr_sum").alias("cr_sum"), F.sum("cr_n").alias("cr_n"),
         F.sum("ur_sum").alias("ur_sum"), F.sum("ur_n").alias("ur_n"),
+        F.sum("ur_all_sum").alias("ur_all_sum"), F.sum("ur_all_n").alias("ur_all_n"),
         F.count_if(F.col("ride_status").isin(ACTIVE_STATUSES)).alias("active"))
+    if observe:
+        per_captain = observe(per_captain)
     fr = feedback.select("ride_id", "issue_category", "comments") \
         .join(rides.select("ride_id", "captain_id"), "ride_id")
     issue = mode_by(fr, ["captain_id"], "issue_category", "most_frequent_issue")
@@ -162,14 +179,31 @@ DASHBOARD_COLUMNS = [
 ]
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    from kiln.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _details(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame) -> DataFrame:
+    """Users with their rides, payments and feedback, under the dashboard's names."""
+    u = users.select("user_id", F.col("name").alias("user_name"), "gender",
+                     F.col("age").alias("user_age"), "signup_date", F.col("city").alias("user_city"))
+    r = rides.select("ride_id", "user_id", "captain_id", "ride_date", "pickup_loc", "drop_loc",
+                     "distance_km", "duration_min", "ride_status")
+    p = payments.select("ride_id", "payment_id", "payment_method", "fare", "discount_percent",
+                        "discount_amount", "final_amount", "payment_status")
+    f = feedback.select("ride_id", "feedback_id", "user_rating",
+                        F.col("captain_rating").alias("feedback_captain_rating"),
+                        "issue_category", "comments")
+    # A ride has few payments and feedback rows, none of them a hot key: plain joins on the
+    # ride, one scan of each side. A user may have a third of all rides.
+    details = r.join(p, "ride_id", "left").join(f, "ride_id", "left")
+    return left_join_many(u, details, "user_id", keys=rides)
+
+
+def _captain_profiles(captains: DataFrame) -> DataFrame:
+    return captains.select(F.col("captain_id").alias("_cap_id"), F.col("name").alias("captain_name"),
+                           F.col("age").alias("captain_age"), F.col("city").alias("captain_city"),
+                           F.col("rating").alias("captain_overall_rating"))
 
 
 def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
-              captains: DataFrame, sort: bool = True, stage=_checkpoint) -> DataFrame:
+              captains: DataFrame, sort: bool = True, stage=parquet_stage) -> DataFrame:
     """One row per user x ride x (payment, feedback) detail, with the ride's captain
     attached; users without rides and captains without rides appear with nulls on the
     other side.
@@ -179,21 +213,9 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
     ride-less captain keeps its id in ``captain_id``. A ride's payments and feedback rows
     are joined on the ride, for every ride alike: max(payments, 1) * max(feedback, 1) rows.
     """
-    u = users.select("user_id", F.col("name").alias("user_name"), "gender",
-                     F.col("age").alias("user_age"), "signup_date", F.col("city").alias("user_city"))
-    r = rides.select("ride_id", "user_id", "captain_id", "ride_date", "pickup_loc", "drop_loc",
-                     "distance_km", "duration_min", "ride_status")
-    p = payments.select("ride_id", "payment_id", "payment_method", "fare", "discount_percent",
-                        "discount_amount", "final_amount", "payment_status")
-    f = feedback.select("ride_id", "feedback_id", "user_rating",
-                        F.col("captain_rating").alias("feedback_captain_rating"),
-                        "issue_category", "comments")
-    ur = left_join_many(u, r, "user_id")
     # The captain lookup reads the detail rows twice (join, and the ids in use): stage them.
-    rwf = stage(left_join_many(left_join_many(ur, p, "ride_id"), f, "ride_id"))
-    c = captains.select(F.col("captain_id").alias("_cap_id"), F.col("name").alias("captain_name"),
-                        F.col("age").alias("captain_age"), F.col("city").alias("captain_city"),
-                        F.col("rating").alias("captain_overall_rating"))
+    rwf = stage(_details(users, rides, payments, feedback))
+    c = _captain_profiles(captains)
     full = full_join_lookup(rwf, c, "captain_id", "_cap_id")
     full = full.withColumn("captain_id", F.coalesce(F.col("captain_id"), F.col("_cap_id")))
     if sort:
@@ -229,3 +251,24 @@ def dashboard_fanout_size(users: DataFrame, rides: DataFrame, payments: DataFram
                       F.col("captain_rows").cast("bigint").alias("captain_rows"),
                       F.when(F.col("left_rows") > 0, F.col("left_rows") * F.col("captain_rows"))
                       .otherwise(F.col("captain_rows")).cast("bigint").alias("fanout_rows"))
+
+
+def dashboard_fanout(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
+                     captains: DataFrame, stage=parquet_stage) -> Factorised:
+    """The dashboard that joins every row to *every* ride of its captain, for reading by pages:
+    ``page(start, stop)`` gives its rows of these ranks, ordered by user, captain, ride, payment
+    and feedback (nulls last) and the captain's rides; nothing else of the product is made.
+
+    Captains without any row of a user follow at the end, once for each of their rides."""
+    details = stage(_details(users, rides, payments, feedback).withColumn("_cap_id", F.col("captain_id")))
+    used = details.where(F.col("_cap_id").isNotNull()).select("_cap_id").distinct()
+    unused = captains.select(F.col("captain_id").alias("_cap_id")).join(used, "_cap_id", "left_anti")
+    left = details.unionByName(unused, allowMissingColumns=True)
+    theirs = rides.select(F.col("captain_id").alias("_cap_id"), F.col("ride_id").alias("captain_ride_id"))
+    right = left_join_many(_captain_profiles(captains), theirs, "_cap_id")
+    last = lambda *cs: [F.col(c).asc_nulls_last() for c in cs]
+    # further columns tell apart rows that share all ids
+    return factorise(left, right, "_cap_id", last(
+        "user_id", "_cap_id", "ride_id", "payment_id", "feedback_id", "fare", "discount_percent",
+        "discount_amount", "final_amount", "payment_method", "payment_status"),
+        last("_cap_id", "captain_ride_id"), stage)

@@ -513,10 +513,8 @@ FROM captain_side cs LEFT JOIN left_side ls ON cs.captain_id = ls.captain_id""")
                            "NULLIF(ride_date, '') AS ride_date, NULLIF(pickup_loc, '') AS pickup_loc, NULLIF(drop_loc, '') AS drop_loc, "
                            "NULLIF(distance_km, '') AS distance_km, NULLIF(duration_min, '') AS duration_min, "
                            "NULLIF(ride_status, '') AS ride_status FROM b_rides"),
-    "csv_null_tokens": _q("SELECT NULLIF(feedback_id, '') AS feedback_id, NULLIF(ride_id, '') AS ride_id, NULLIF(user_rating, '') AS user_rating, "
-                          "NULLIF(captain_rating, '') AS captain_rating, NULLIF(issue_category, '') AS issue_category, "
-                          "NULLIF(comments, '') AS comments FROM b_feedback"),
-    "export_snapshot": _q("SELECT captain_id, name, status FROM g_captains"),
+    "export_snapshot": _q(CAPTAIN_AGG_SELECT),
+    "full_refresh": _q(CAPTAIN_AGG_SELECT),
 }
 
 
@@ -550,3 +548,165 @@ def _violations_all() -> str:
 
 
 SQL["expectation_violations"] = _q(_violations_all())
+
+
+# Constraint quarantine: one verdict list per table, parents first. A parent key that is gone
+# carries its depth; of live rows that share a key the least by all columns stays.
+def _local_case(chk) -> str:
+    c = chk.column
+    if chk.kind == "not_null":
+        return f"{c} IS NULL"
+    if chk.kind == "max_len":
+        return f"length({c}) > {chk.max_len}"
+    ends = ([f"{c} {'<' if chk.low_inclusive else '<='} {chk.low}"] if chk.low is not None else [])
+    return " OR ".join(ends + ([f"{c} > {chk.high}"] if chk.high is not None else []))
+
+
+def _quarantine_ctes(tables: dict, checks: dict) -> str:
+    ctes = []
+    for name, spec in tables.items():
+        local = [c for c in checks[name] if c.kind in ("not_null", "range", "max_len")]
+        keys = [c for c in checks[name] if c.kind == "foreign_key"]
+        unique = [c for c in checks[name] if c.kind == "unique"]
+        verdicts = [f"CASE WHEN {_local_case(c)} THEN {{'r': 'constraint {c.name} on {c.column}', 'd': 0}} END"
+                    for c in local]
+        verdicts += [f"CASE WHEN t.{c.column} IS NOT NULL AND (p{i}.k IS NULL OR p{i}.gone IS NOT NULL) THEN "
+                     f"{{'r': 'constraint {c.name} on {c.column}', 'd': coalesce(p{i}.gone + 1, 0)}} END"
+                     for i, c in enumerate(keys)]
+        joins = " ".join(f"LEFT JOIN (SELECT {c.ref_column} AS k, CASE WHEN NOT bool_or(v IS NULL) THEN min(v.d) END AS gone "
+                         f"FROM v_{c.ref_table} GROUP BY 1) p{i} ON p{i}.k = t.{c.column}" for i, c in enumerate(keys))
+        ctes.append(f"v0_{name} AS MATERIALIZED (SELECT t.*, coalesce({', '.join(verdicts)}) AS v FROM s_{name} t {joins})")
+        columns = ", ".join(f"{c} NULLS FIRST" for c, _ in spec.silver_types)
+        later = " ".join(
+            f"WHEN v IS NULL AND {c.column} IS NOT NULL AND row_number() OVER (PARTITION BY {c.column}, v IS NULL ORDER BY {columns}) > 1 "
+            f"THEN {{'r': 'constraint {c.name} on {c.column}', 'd': 0}}" for c in unique)
+        ctes.append(f"v_{name} AS MATERIALIZED (SELECT * REPLACE (CASE {later} ELSE v END AS v) FROM v0_{name})")
+    return ", " + ",\n".join(ctes) + "\n"
+
+
+def _quarantine_sql() -> dict[str, str]:
+    from kiln.plans.catalog import STRICT_CHECKS
+    from kiln.schemas import TABLES
+    ctes = _quarantine_ctes(TABLES, {n: [*STRICT_CHECKS[n], *t.checks] for n, t in TABLES.items()})
+    return {"quarantine_violations": _q(ctes + " UNION ALL ".join(
+                f"SELECT '{n}' AS table_name, {t.key} AS row_key, v.r AS reason, v.d AS depth FROM v_{n} WHERE v IS NOT NULL"
+                for n, t in TABLES.items())),
+            "quarantine_kept": _q(ctes + " UNION ALL ".join(
+                f"SELECT '{n}' AS table_name, count(*) AS kept_rows, count(DISTINCT {t.key}) AS kept_keys, 0 AS violations "
+                f"FROM v_{n} WHERE v IS NULL" for n, t in TABLES.items()))}
+
+
+SQL.update(_quarantine_sql())
+
+
+def _cell_sql(table: str, source: str, key: str, column: str, kind: str, fits: str, raw: str | None = None) -> str:
+    raw = raw or column
+    is_number = f"regexp_full_match({strip(raw)}, {NUM_RE})"
+    return (f"SELECT '{table}' AS table_name, {key} AS row_key, '{column}' AS column_name, {raw} AS raw_text, "
+            f"'{kind}' AS target_type, CASE WHEN {is_number} THEN 'overflow' ELSE 'malformed' END AS problem "
+            f"FROM {source} WHERE NOT {blank(raw)} AND NOT coalesce({is_number} AND {fits.format(num(raw))}, false)")
+
+
+def _cast_rejects_sql() -> str:
+    from kiln.schemas import TABLES
+    age = ("(CASE WHEN _seq % 61 = 0 THEN '99999999999' WHEN _seq % 59 = 0 THEN ' abc' "
+           "WHEN _seq % 67 = 0 THEN '1e999' WHEN _seq % 71 = 0 THEN ' ' ELSE age END)")
+    sources = {"users": "(SELECT * FROM l_users WHERE reason IS NULL AND NOT _drop)",
+               "captains": "(SELECT * FROM l_captains WHERE reason IS NULL)", "rides": "ride_alive",
+               "payments": "pay_alive", "feedback": "fb_alive"}
+    parts = []
+    for name, spec in TABLES.items():
+        for column, typ in spec.silver_types:
+            kind = typ.simpleString()
+            if kind == "int" and column != "experience_years":
+                parts.append(_cell_sql(name, sources[name], spec.key, column, kind,
+                                       "abs(round_even({}, 0)) <= 2147483647", age if name == "users" else None))
+            elif kind.startswith("decimal"):
+                parts.append(_cell_sql(name, sources[name], spec.key, column, kind,
+                                       f"TRY_CAST({{}} AS {kind.upper()}) IS NOT NULL"))
+    return _q(" UNION ALL ".join(parts))
+
+
+SQL["cast_rejects"] = _cast_rejects_sql()
+
+
+def _sources_sql() -> dict[str, str]:
+    from kiln.schemas import TABLES
+    cells = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, concat_ws('|', " + ", ".join(
+            f"coalesce(NULLIF({c}, ''), '<null>')" for c in t.bronze_columns) + f") AS cells FROM b_{n}"
+        for n, t in TABLES.items())
+    users = TABLES["users"].bronze_columns
+    whole = ", ".join(f"coalesce({c}, '')" for c in users)
+    short = ", ".join(f"coalesce({c}, '')" for c in users[:4])
+    counts = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{n}' AS table_name, count(*) AS written_rows, count(*) AS scanned_rows FROM {p}_{n}"
+        for layer, p in (("silver", "s"), ("audit", "a")) for n in TABLES)
+    stamps = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{AS_OF} 00:00:00' AS run_ts, count(*) AS rejected FROM a_{n} HAVING count(*) > 0"
+        for n in TABLES)
+    return {
+        "csv_null_tokens": _q(cells), "load_counts": _q(counts), "run_stamp": _q(stamps),
+        "csv_line_audit": _q(f"""SELECT 'surplus_cells' AS problem, concat_ws(',', {whole}, 'EXTRA') AS raw_line, false AS loaded, 1 AS rows
+            FROM b_users WHERE _seq % 60 = 7
+            UNION ALL SELECT 'short_line', concat_ws(',', {short}), true, 1 FROM b_users WHERE _seq % 60 = 9
+            UNION ALL SELECT 'loaded', NULL, true, count(*) FROM b_users WHERE _seq % 60 <> 7"""),
+        "reconcile_observed": SQL["reconcile_report"],
+        "report_csv": f"""WITH r AS ({SQL['reconcile_report']}), o AS (
+            SELECT unnest({_USER_METRICS} || {_CAPTAIN_METRICS}) AS metric, unnest(range(1, 16)) AS line)
+            SELECT line, metric AS "Metric", silver_value AS "Silver", gold_value AS "Gold", status AS "Status",
+                   entity AS "Entity" FROM r JOIN o USING (metric)""",
+        "dedupe_incremental": SQL["dedupe_keep_first"].replace(
+            "SELECT *, ROW_NUMBER()", "SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies, ROW_NUMBER()")
+            .replace("AS l_extendedprice FROM", "AS l_extendedprice, copies FROM"),
+        "reconcile_drilldown": _q(""", gold AS (
+            SELECT captain_id, coalesce(TRY_CAST(captain_id AS BIGINT), -1) AS k, total_rides, total_distance_km, total_final_amount,
+                   if(k % 19 <> 0, 1, 0) + if(k % 23 = 0, 1, 0) AS times FROM g_captains
+          ), faulty AS (
+            SELECT captain_id, times, times * total_rides AS total_rides, times * total_distance_km AS total_distance_km,
+                   times * (total_final_amount + CASE k % 17 WHEN 0 THEN 5 WHEN 1 THEN -5 ELSE 0 END) AS total_final_amount
+            FROM gold WHERE times > 0
+          ), both_sides AS (
+            SELECT g.captain_id, g.times = 0 AS missing,
+                   unnest(['rows', 'total_rides', 'total_distance_km', 'total_final_amount']) AS measure,
+                   unnest([CAST(1 AS DECIMAL(18,2)), CAST(g.total_rides AS DECIMAL(18,2)), g.total_distance_km, g.total_final_amount]) AS left_value,
+                   unnest([CAST(f.times AS DECIMAL(18,2)), CAST(f.total_rides AS DECIMAL(18,2)), f.total_distance_km, f.total_final_amount]) AS right_value
+            FROM gold g LEFT JOIN faulty f USING (captain_id))
+          SELECT captain_id AS row_key, measure, CAST(left_value AS DOUBLE) AS left_value, CAST(right_value AS DOUBLE) AS right_value,
+                 round(CAST(left_value - right_value AS DOUBLE), 6) AS difference
+          FROM both_sides WHERE missing OR left_value IS DISTINCT FROM right_value"""),
+        "dashboard_fanout_page": _q(_fanout_sql()),
+    }
+
+
+def _fanout_sql() -> str:
+    from kiln.plans.gold import DASHBOARD_COLUMNS
+    dates = {"signup_date", "ride_date"}
+    numbers = {"user_age", "duration_min", "captain_age"}
+    doubles = {"distance_km", "fare", "discount_percent", "discount_amount", "final_amount", "user_rating",
+               "feedback_captain_rating", "captain_overall_rating"}
+    out = ", ".join(f"strftime({c}, '%Y-%m-%d') AS {c}" if c in dates else f"CAST({c} AS BIGINT) AS {c}" if c in numbers
+                    else f"CAST({c} AS DOUBLE) AS {c}" if c in doubles else c for c in DASHBOARD_COLUMNS)
+    order = ", ".join(f"{c} NULLS LAST" for c in (
+        "user_id", "cap", "ride_id", "payment_id", "feedback_id", "fare", "discount_percent", "discount_amount",
+        "final_amount", "payment_method", "payment_status", "captain_ride_id"))
+    return f""", mine AS (
+        SELECT u.user_id, u.name AS user_name, u.gender, u.age AS user_age, u.signup_date, u.city AS user_city,
+               r.ride_id, r.captain_id, r.ride_date, r.pickup_loc, r.drop_loc, r.distance_km, r.duration_min, r.ride_status,
+               p.payment_id, p.payment_method, p.fare, p.discount_percent, p.discount_amount, p.final_amount, p.payment_status,
+               f.feedback_id, f.user_rating, f.captain_rating AS feedback_captain_rating, f.issue_category, f.comments
+        FROM s_users u LEFT JOIN s_rides r USING (user_id) LEFT JOIN s_payments p USING (ride_id)
+        LEFT JOIN s_feedback f USING (ride_id)
+      ), theirs AS (
+        SELECT c.captain_id AS cap, c.name AS captain_name, c.age AS captain_age, c.city AS captain_city,
+               c.rating AS captain_overall_rating, r.ride_id AS captain_ride_id
+        FROM s_captains c LEFT JOIN s_rides r USING (captain_id)
+      ), fan AS (
+        SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS row_no
+        FROM mine FULL JOIN theirs ON mine.captain_id = theirs.cap
+      ), total AS (SELECT count(*) AS n FROM fan)
+      SELECT row_no, captain_ride_id, {out} FROM fan, total
+      WHERE row_no < 400 OR (row_no >= n // 2 AND row_no < n // 2 + 400) OR row_no >= n - 400"""
+
+
+SQL.update(_sources_sql())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. AQE re-plans joins from runtime sizes (a broadcast
 # is chosen only when the measured side is under the threshold) and splits skewed
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # keys of streaming aggregates live on disk, not in the executors' heaps
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -72,3 +76,11 @@ def staging_root(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint area for lineage-cutting staged tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "kiln-stage", name)
+
+
+def parquet_stage(df: DataFrame) -> DataFrame:
+    """Materialise a frame as a parquet table under the shared checkpoint folder and continue
+    from the written table (columnar, compressed, survives executor loss)."""
+    path = staging_root(df.sparkSession, f"staged-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from kiln.operators.expectations import ExpectationError, enforce
 from kiln.schemas import TABLES
-from kiln.sources.csv import MissingSourceError, normalise_nulls, read_raw_csv
+from kiln.sources.csv import (
+    SHORT, SURPLUS, MissingSourceError, line_audit, loaded, normalise_nulls, read_lines, read_raw_csv,
+)
 
 
 def _write(text):
@@ -83,3 +85,55 @@ def test_missing_payments_stop_the_pipeline(spark):
             f.write(",".join(c.name for c in TABLES[name].bronze_schema().fields) + "\n")
     with pytest.raises(MissingSourceError):
         run(spark, PipelineConfig(root=tempfile.mkdtemp(prefix="kiln-out-"), raw_dir=d))
+
+
+# ------------------------------------------------------------------ lines, headers
+USERS = TABLES["users"].bronze_schema()
+HEAD = "user_id,name,gender,age,signup_date,city\n"
+
+
+def _folder(*texts):
+    d = tempfile.mkdtemp(prefix="kiln-csv-")
+    for i, t in enumerate(texts):
+        with open(os.path.join(d, f"{i}.csv"), "wb") as f:
+            f.write(t if isinstance(t, bytes) else t.encode())
+    return d
+
+
+def test_surplus_and_short_lines_are_audited(spark):
+    p = _write(HEAD + "u1,Ann,f,30,2023-01-01,Rome,EXTRA\nu2,Bob\nu3,Cid,m,1,2023-01-01,Rome\n"
+                      'u4,"a,b",m,1,2023-01-01,"c""d,e",f\n\nu5,,,,,\n')
+    lines = read_lines(spark, p, USERS).cache()
+    rows = {r.user_id: r.name for r in loaded(lines).collect()}
+    assert rows == {"u2": "Bob", "u3": "Cid", "u5": None}
+    audit = {(r.raw_line, r.problem, r.loaded) for r in line_audit(lines).collect()}
+    assert audit == {("u1,Ann,f,30,2023-01-01,Rome,EXTRA", SURPLUS, False), ("u2,Bob", SHORT, True),
+                     ('u4,"a,b",m,1,2023-01-01,"c""d,e",f', SURPLUS, False)}
+    assert line_audit(lines).first().file.endswith("t.csv")
+
+
+def test_every_file_of_a_folder_has_its_own_header(spark):
+    d = _folder(HEAD + "u1,Ann,f,30,2023-01-01,Rome\n", "name,user_id,city,age,gender,signup_date\nBob,u2,Oslo,4,m,x\n",
+                "\ufeff" + HEAD.replace("user_id", '"user_id"') + "u3,Cid,m,1,2023-01-01,Rome\n", "", HEAD,
+                "extra," + HEAD.strip() + ",name\nx,u4,Dan,m,1,2023-01-01,Rome,second name\n")
+    rows = {r.user_id: (r.name, r.city) for r in read_raw_csv(spark, d, USERS).collect()}
+    assert rows == {"u1": ("Ann", "Rome"), "u2": ("Bob", "Oslo"), "u3": ("Cid", "Rome"), "u4": ("Dan", "Rome")}
+    with pytest.raises(ValueError, match="signup_date"):
+        read_raw_csv(spark, _folder(HEAD, HEAD.replace("signup_date", "date") + "1,2,3,4,5,6\n"), USERS)
+
+
+def test_compressed_files_and_landing_order(spark):
+    import gzip
+    d = _folder(HEAD + "".join(f"u{i},n,m,1,2023-01-01,x\n" for i in range(50)))
+    with gzip.open(os.path.join(d, "1.csv.gz"), "wt") as f:
+        f.write("city," + HEAD.strip().removesuffix(",city") + "\n" + "".join(f"x,u{i},n,m,1,2023-01-01\n" for i in range(50, 90)))
+    rows = read_raw_csv(spark, d, USERS).orderBy("_seq").collect()
+    assert [r.user_id for r in rows] == [f"u{i}" for i in range(90)] and {r.city for r in rows} == {"x"}
+
+
+def test_empty_and_missing_folders(spark):
+    assert read_raw_csv(spark, _folder(), USERS).count() == 0
+    assert read_raw_csv(spark, _folder("", HEAD), USERS).columns == [f.name for f in USERS.fields] + ["_seq"]
+    assert read_raw_csv(spark, _folder() + "/none", USERS, on_missing="skip") is None
+    with pytest.raises(MissingSourceError):
+        read_raw_csv(spark, [_folder(HEAD), "/tmp/kiln-no-such-folder"], USERS)
