@@ -19,13 +19,13 @@ repeated rows are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,59 +97,160 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return out
 
 
-# The white space that the tokenizer's \s matches. str.split() cuts there and at \x1c-\x1f,
-# which have ids of their own.
-_WHITE = re.compile("[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+# How the tokenizer cuts a lower-case word of Latin-1 characters into parts that
+# are encoded by themselves; its \s matches 85 and A0 besides what words are split at.
+_LETTERS = r"a-z\x{aa}\x{b5}\x{ba}\x{df}-\x{f6}\x{f8}-\x{ff}"
+_NUMBERS = r"0-9\x{b2}\x{b3}\x{b9}\x{bc}-\x{be}"
+_PARTS = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ {_NUMBERS}{_LETTERS}]+"
+_LATIN_WHITE = r"[\x{85}\x{a0}]+"
+#: Words with characters beyond Latin-1, or with what may be a special token, are left whole.
+_WHOLE = r"[^\x{00}-\x{ff}]|<\|"
 
 
-def _pieces(text: str) -> list[str]:
-    if _SEPARATORS.search(text):
-        return [w for w in _WHITE.split(text) if w]
-    return text.split()
+def _gather(flat: np.ndarray, starts: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The stretches ``flat[starts[i]:starts[i + 1]]`` of all ``index``, one after the other."""
+    size = starts[index + 1] - starts[index]
+    first = np.repeat(starts[index] - (np.cumsum(size) - size), size)
+    return flat[first + np.arange(len(first))]
 
 
 class Encoder:
-    """Token ids by a tokenizer whose pre-tokenizer never crosses white space: ids of each
-    white-space-separated piece are remembered, since most pieces repeat."""
+    """Token ids by a tokenizer whose pre-tokenizer never crosses white space.
 
-    def __init__(self, path: str, remember: int = 400_000):
+    Arrow splits a batch into words, numbers the distinct ones, cuts these into parts and numbers
+    the distinct parts; only parts that are not remembered are encoded, and ids are gathered by
+    number. The memory of parts is bounded in bytes, entry by entry, whatever a worker reads."""
+
+    #: Bytes an entry takes: dictionary slot, string, ids.
+    ENTRY = 160
+    #: Distinct words that are cut and looked up together.
+    BLOCK = 400_000
+    #: A character that is a token of its own, and how many parts it keeps apart in a text.
+    MARK, JOINED = "~", 200
+
+    def __init__(self, path: str, remember_bytes: int = 64 << 20):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.remember = remember
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [_pieces(t) for t in texts]
-        seen = self.seen
-        if len(seen) > self.remember:
-            seen.clear()
-        new = list({w for p in parts for w in p if w not in seen})
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(
-                    some, add_special_tokens=False)):
-                seen[word] = tuple(e.ids)
-        get = seen.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, p)), dtype="<u4") for p in parts]
+        self.remember_bytes = remember_bytes
+        # part -> its ids; parts that were not met since the memory was last half full go first
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _keep(self, fresh: dict[str, bytes]) -> None:
+        for part, ids in fresh.items():
+            self.held += self.ENTRY + len(part) + len(ids)
+            if 2 * self.held > self.remember_bytes:
+                self.old, self.young, self.held = self.young, {}, 0
+            self.young[part] = ids
+
+    def _encode(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of parts by the tokenizer: many parts in a text, with a mark between them that
+        none of them holds; the others by themselves."""
+        mark = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        alone, joined = [], []
+        for p in parts:
+            plain = p and self.MARK not in p and "<" not in p and (p.isascii() or max(p) <= "\xff")
+            (joined if plain and len(mark) == 1 else alone).append(p)
+        groups = [joined[i:i + self.JOINED] for i in range(0, len(joined), self.JOINED)]
+        for lo in range(0, len(groups), 100):
+            some = groups[lo:lo + 100]
+            texts = [f" {self.MARK} ".join(g) for g in some]
+            for group, e in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, np.uint32)
+                cuts = np.flatnonzero(ids == mark[0])
+                if len(cuts) != len(group) - 1:
+                    alone += group
+                    continue
+                raw, at = ids.tobytes(), 0
+                for part, cut in zip(group, [*cuts.tolist(), len(ids)]):
+                    yield part, raw[4 * at:4 * cut]
+                    at = cut + 1
+        for lo in range(0, len(alone), 10_000):
+            some = alone[lo:lo + 10_000]
+            for part, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                yield part, array("I", e.ids).tobytes()
+
+    def _ids_of(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts."""
+        out = list(map(self.young.get, parts))
+        at = [i for i, ids in enumerate(out) if ids is None]
+        again = [(i, self.old.get(parts[i])) for i in at]
+        new = [i for i, ids in again if ids is None]
+        fresh = {parts[i]: ids for i, ids in again if ids is not None}
+        fresh.update(self._encode([parts[i] for i in new]))
+        for i in at:
+            out[i] = fresh[parts[i]]
+        self._keep(fresh)
+        return out
+
+    def _of_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``words``, one after the other, and where each word's begin."""
+        ids, sizes = [], []
+        for lo in range(0, len(words), self.BLOCK):
+            block = words.slice(lo, self.BLOCK)
+            cut = pc.replace_substring_regex(pc.utf8_lower(block), _LATIN_WHITE, " ")
+            cut = pc.replace_substring_regex(cut, _PARTS, r"\0 ")
+            lists = pc.ascii_split_whitespace(
+                pc.if_else(pc.match_substring_regex(block, _WHOLE), block, cut))
+            parts = lists.flatten().dictionary_encode()
+            known = self._ids_of(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+            starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, known), np.int64) // 4)])
+            index = parts.indices.to_numpy()
+            ids.append(_gather(np.frombuffer(b"".join(known), np.uint32), starts, index))
+            ends = np.concatenate([[0], np.cumsum(starts[index + 1] - starts[index])])
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            sizes.append(np.diff(ends[offsets]))
+        if not ids:
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        ids, starts = self._of_words(words.dictionary)
+        number = words.indices.to_numpy()
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        for lo, hi in zip(offsets[:-1], offsets[1:]):
+            # a very long text needs no array of numbers of its length
+            blocks = [_gather(ids, starts, number[at:min(hi, at + (1 << 18))])
+                      for at in range(lo, hi, 1 << 18)]
+            yield np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
 
 
 _PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _cut(tokenizer_path: str, capacity: int, end_id: int, texts_at_once: int):
+#: Characters of text that are encoded together at most, but for a single longer text.
+TEXT_AT_ONCE = 4 << 20
+
+
+def _slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, int]]:
+    """Stretches of rows, by the bytes of their texts."""
+    sizes = pc.binary_length(texts).to_numpy()
+    lo, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > lo and held + n > at_once:
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def _cut(tokenizer_path: str, capacity: int, end_id: int, at_once: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         for whole in batches:
-            for at in range(0, whole.num_rows, texts_at_once):
-                batch = whole.slice(at, texts_at_once)
+            for lo, hi in _slices(whole.column(1), at_once):
+                batch = whole.slice(lo, hi - lo)
                 rows: list[tuple] = []
-                for doc, ids in zip(batch.column(0).to_pylist(),
-                                    encoder.encode(batch.column(1).to_pylist())):
+                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for n, start in enumerate(range(0, len(ids), capacity)):
                         piece = ids[start:start + capacity]
-                        rows.append((doc, n, start, len(piece), zlib.crc32(piece.tobytes())))
+                        rows.append((doc, n, start, len(piece), zlib.crc32(piece)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(
                         zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
@@ -182,13 +283,13 @@ def _look_up(placements: list[tuple[int, int, int, int, int]]):
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
          id_col: str = "doc_id", text_col: str = "text", rank_bucket: int = 50_000,
-         texts_at_once: int = 256) -> DataFrame:
+         text_at_once: int = TEXT_AT_ONCE) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     spark = docs.sparkSession
     stage = Stage(spark, "pack")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pieces = stage.put(texts.mapInArrow(_cut(tokenizer_path, capacity, end_id, texts_at_once),
+    pieces = stage.put(texts.mapInArrow(_cut(tokenizer_path, capacity, end_id, text_at_once),
                                         _PIECES), "pieces")
     # Bounded by capacity: one row per length.
     histogram = {r["length"]: r["n"] for r in

@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,7 +287,7 @@ def test_packing(docs):
     assert len(left) == len(bins)
     texts = [t or "" for _, t in _rows(docs)] + ["Don't STOP  1234 ÀÉ naïve—ok", "日本語 テスト"]
     e = packing.Encoder(path)
-    for t, ids in zip(texts, e.encode(texts)):
+    for t, ids in zip(texts, e.encode(pa.array(texts))):
         assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
@@ -298,12 +299,53 @@ def test_packing_ids_are_the_tokenizers(spark):
     texts = ["a\x1cb", "a \x1d\x1e b\x1f", "hi <|endoftext|> you", "x<|startoftext|>y", "\x1c",
              *(f"a{chr(c)}b \x1f" for c in (*range(1, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2030),
                                            0x205F, 0x2060, 0x3000, 0xFEFF))]
-    for t, ids in zip(texts, packing.Encoder(path).encode(texts)):
+    for t, ids in zip(texts, packing.Encoder(path).encode(pa.array(texts))):
         assert ids.tolist() == fresh.encode(t, add_special_tokens=False).ids, t
-    # without separators str.split() is the same cut
-    every = [chr(c) for c in range(0x110000) if chr(c).isspace() and not 0x1C <= c <= 0x1F]
-    assert all(packing._WHITE.fullmatch(c) for c in every)
-    assert not any(packing._WHITE.match(chr(c)) for c in range(0x110000) if chr(c) not in every)
+
+
+@pytest.mark.parametrize("remember", [64 << 20, 100_000, 0])
+def test_encoder_in_any_memory(remember):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(2)
+    bits = [*"abcZ'sStTreVELLmd  \t\n\x0b\x1c\x1f\x85\xa0.,!-~_09²½µªßÀÉéñÿ<|>", "<|endoftext|>", "\u2003", "\u3000",
+            "Σ", "İ", "e\u0301", "ǅ", "中", "😀", "\u200b", "'ll", "Ⅷ", " ~ ", " the "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(4000)] + ["", "x y " * 300_000]
+    encoder, fresh = packing.Encoder(path, remember_bytes=remember), Tokenizer.from_file(path)
+    for lo in range(0, len(texts), 700):
+        some = texts[lo:lo + 700]
+        for t, ids in zip(some, encoder.encode(pa.array(some))):
+            assert ids.tolist() == fresh.encode(t, add_special_tokens=False).ids
+        assert 2 * encoder.held <= max(remember, 1000)
+
+
+def test_packed_pieces_are_the_documents(spark):
+    """Every field of op9 at its capacity against the definition."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    fresh = Tokenizer.from_file(path)
+    rng = random.Random(11)
+    texts = [None, "", " ", "one", "word " * 2047, "word " * 2048, "word " * 5000, "a,b " * 40_000]
+    texts += [" ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.randint(0, 900))) for _ in range(60)]
+    rows = [(i, t, i, "x") for i, t in enumerate(texts)] + [(None, "no id", 1, "x"), (9, texts[9], 9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, piece int, length string").repartition(3)
+    got = packing.pack(docs, path, capacity=2048, end_id=0, text_at_once=5000).collect()
+    want = Counter()
+    for i, t, _, _ in rows:
+        ids = np.array([*fresh.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        for n, at in enumerate(range(0, len(ids), 2048)):
+            piece = ids[at:at + 2048]
+            want[i, n, at, len(piece), zlib.crc32(piece.tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert all(sorted(b)[0][0] == 0 and all(x + n == y for (x, n), (y, _) in zip(sorted(b), sorted(b)[1:]))
+               and sum(n for _, n in b) <= 2048 for b in bins.values())
 
 
 @pytest.mark.parametrize("broadcast_rules", [1000, 1])
