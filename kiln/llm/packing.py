@@ -19,9 +19,11 @@ repeated rows are packed one by one; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +131,8 @@ class Encoder:
     MARK, JOINED = "~", 200
 
     def __init__(self, path: str, remember_bytes: int = 64 << 20):
+        # Spark's tasks are the parallel work; threads of its own would only take memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.remember_bytes = remember_bytes
@@ -239,9 +243,15 @@ def _slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker process: loaded and taught once, bounded for good."""
+    return Encoder(path)
+
+
 def _cut(tokenizer_path: str, capacity: int, end_id: int, at_once: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for whole in batches:
             for lo, hi in _slices(whole.column(1), at_once):
                 batch = whole.slice(lo, hi - lo)
