@@ -30,6 +30,18 @@ def mode_by(df: DataFrame, keys: list[str], value: str, alias: str | None = None
         *keys, F.col("_best.v").alias(alias))
 
 
+def modes_by(df: DataFrame, key: str, values: dict[str, str]) -> DataFrame:
+    """``mode_by`` of several text columns at once (``values``: column -> alias): the columns
+    become rows, so ``df`` is read and shuffled once. Keys whose cells are all null have no row."""
+    cells = F.explode(F.array(*[F.struct(F.lit(a).alias("k"), F.col(c).cast("string").alias("v"))
+                                for c, a in values.items()]))
+    counts = (df.select(key, cells.alias("_c")).where("_c.v IS NOT NULL")
+              .groupBy(key, "_c").agg(F.count(F.lit(1)).alias("_n")))
+    best = {a: F.min(F.when(F.col("_c.k") == a, F.struct((-F.col("_n")).alias("n"), F.col("_c.v").alias("v"))))
+            for a in values.values()}
+    return counts.groupBy(key).agg(*[b["v"].alias(a) for a, b in best.items()])
+
+
 def mode_of(df: DataFrame, value: str) -> Column:
     """Global mode as a scalar subquery (evaluated once, no join back to the rows)."""
     return mode_by(df, [], value, "_mode").scalar()

@@ -56,7 +56,7 @@ class Factorised:
 
     def page(self, start: int, stop: int) -> DataFrame:
         """Results of rank ``start`` to ``stop`` (exclusive), with ``row_no``."""
-        hit = self.left.where((F.col("_first") < stop) & (F.col("_first") + F.col("_copies") > start))
+        hit = self.left.where(F.lit(start < stop) & (F.col("_first") < stop) & (F.col("_first") + F.col("_copies") > start))
         row = F.explode(F.sequence(F.greatest(F.lit(start), "_first"),
                                    F.least(F.lit(stop), F.col("_first") + F.col("_copies")) - 1))
         # at most stop - start rows; the right row is found by its place, whatever the key holds

@@ -75,24 +75,26 @@ def reject_duplicates(df: DataFrame, key: str, reason: str, order: str = SEQ,
     """Keep the first alive row per ``key`` in ``order``; label (or silently drop) the rest.
 
     Only rows alive at this point compete, so an invalid first copy never shadows a valid
-    later one. The first occurrence is found by a partially aggregated ``min`` per key and
-    re-attached by a join on a number unique to the row: even a key that holds a third of
-    all rows is spread over every partition instead of landing in one window task, and of
-    rows that share key and order exactly one stays. Null keys count as equal to each other.
-    ``df`` is read twice and should be a table or a staged frame, whose rows are numbered alike.
+    later one. Keys are counted by a partially aggregated ``min`` per key; only keys with
+    several live rows are joined back, on the key, so rows are shuffled only if there are too
+    many such keys to broadcast (adaptive execution measures them), and a key that holds a third
+    of all rows then lies on the side that skew handling splits. Of rows that share key and
+    order exactly one stays. Null keys count as equal to each other. ``df`` is read twice and
+    should be a table or a staged frame, whose rows are numbered alike.
     """
     n = next(_ids)
-    tie, t, first = f"_dd{n}_row", f"_dd{n}_min", f"_dd{n}_first"
+    tie, first, k = f"_dd{n}_row", f"_dd{n}_first", f"_dd{n}_key"
     numbered = df.withColumn(tie, F.monotonically_increasing_id())
-    firsts = (alive(numbered).groupBy(key).agg(F.min(F.struct(order, tie)).alias("_f"))
-              .select(F.col(f"_f.{tie}").alias(t), F.lit(True).alias(first)))
-    joined = numbered.join(firsts, numbered[tie] == firsts[t], "left")
-    dup = alive_cond() & F.col(first).isNull()
+    repeated = (alive(numbered).groupBy(F.col(key).alias(k))
+                .agg(F.min(F.struct(order, tie)).alias("_f"), F.count(F.lit(1)).alias("_n"))
+                .where("_n > 1").select(k, F.col(f"_f.{tie}").alias(first)))
+    joined = numbered.join(repeated, numbered[key].eqNullSafe(repeated[k]), "left")
+    dup = alive_cond() & F.col(first).isNotNull() & (F.col(first) != F.col(tie))
     if audit:
         out = reject_if(joined, dup, reason)
     else:
         out = joined.withColumn(DROP, F.col(DROP) | dup)
-    return out.drop(tie, t, first)
+    return out.drop(tie, first, k)
 
 
 def split(labelled: DataFrame, clean_cols: list, audit_cols: list[str],

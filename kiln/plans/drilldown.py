@@ -23,8 +23,8 @@ def _bucket(level: int, bits: int) -> Column:
 
 def _side(df: DataFrame, key: str, measures: list[str]) -> DataFrame:
     rows = df.groupBy(F.col(key).alias("key")).agg(
-        F.count("*").alias("n"), *[F.sum(F.col(m).cast(MEASURE)).alias(m) for m in measures])
-    state = F.xxhash64("key", "n", *[F.col(m) for m in measures])
+        F.count("*").alias("_rows"), *[F.sum(F.col(m).cast(MEASURE)).alias(m) for m in measures])
+    state = F.xxhash64("key", "_rows", *[F.col(m) for m in measures])
     return rows.withColumn("_hash", F.xxhash64("key")).withColumn("_state", state)
 
 
@@ -62,7 +62,7 @@ def drill_down(left: DataFrame, right: DataFrame, key: str, measures: list[str],
     cells = F.explode(F.array(*[F.struct(
         F.lit(name).alias("measure"), F.col(f"x.{c}").cast(MEASURE).alias("left_value"),
         F.col(f"y.{c}").cast(MEASURE).alias("right_value")) for name, c in
-        [("rows", "n"), *zip(measures, measures)]]))
+        [("rows", "_rows"), *zip(measures, measures)]]))
     missing = F.col("x._hash").isNull() | F.col("y._hash").isNull()
     return (rows.select(F.coalesce("x.key", "y.key").alias("row_key"), missing.alias("missing"),
                         cells.alias("c"))

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.aggregates import mode_by
+from kiln.operators.aggregates import mode_by, modes_by
 from kiln.operators.factorised import Factorised, factorise
 from kiln.operators.joins import full_join_lookup, left_join_many
 from kiln.session import parquet_stage
@@ -146,12 +146,11 @@ def captain_aggregate(captains: DataFrame, rides: DataFrame, payments: DataFrame
         per_captain = observe(per_captain)
     fr = feedback.select("ride_id", "issue_category", "comments") \
         .join(rides.select("ride_id", "captain_id"), "ride_id")
-    issue = mode_by(fr, ["captain_id"], "issue_category", "most_frequent_issue")
-    comment = mode_by(fr, ["captain_id"], "comments", "most_frequent_comment")
+    words = modes_by(fr, "captain_id", {"issue_category": "most_frequent_issue",
+                                        "comments": "most_frequent_comment"})
     out = (captains.select("captain_id", "name", "age", "city", "rating")
            .join(per_captain, "captain_id", "left")
-           .join(issue, "captain_id", "left")
-           .join(comment, "captain_id", "left"))
+           .join(words, "captain_id", "left"))
     z = F.lit(0)
     return out.select(
         "captain_id", "name", "age", "city", F.col("rating").alias("average_rating"),

@@ -651,7 +651,7 @@ def _sources_sql() -> dict[str, str]:
             FROM b_users WHERE _seq % 60 = 7
             UNION ALL SELECT 'short_line', concat_ws(',', {short}), true, 1 FROM b_users WHERE _seq % 60 = 9
             UNION ALL SELECT 'loaded', NULL, true, count(*) FROM b_users WHERE _seq % 60 <> 7"""),
-        "reconcile_observed": SQL["reconcile_report"],
+        "reconcile_observed": SQL["reconcile_report"], "dashboard_bucketed": SQL["dashboard_data"],
         "report_csv": f"""WITH r AS ({SQL['reconcile_report']}), o AS (
             SELECT unnest({_USER_METRICS} || {_CAPTAIN_METRICS}) AS metric, unnest(range(1, 16)) AS line)
             SELECT line, metric AS "Metric", silver_value AS "Silver", gold_value AS "Gold", status AS "Status",

@@ -83,6 +83,7 @@ def _violations(silver: dict[str, DataFrame]) -> DataFrame:
                   [X.violations(df, n, TABLES[n].checks, silver) for n, df in silver.items()])
 
 
+BY_RIDE = ("rides", "payments", "feedback")
 GOLD_INPUTS = ("users", "rides", "payments", "feedback")
 
 
@@ -118,15 +119,17 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
     counts: dict[str, int] = {}
     seen: dict[str, dict] = {}
 
-    def write(layer: str, table: str, df: DataFrame, metrics=None) -> DataFrame:
-        seen[f"{layer}.{table}"] = observed = runs[layer].write(df, table, metrics)
+    def write(layer: str, table: str, df: DataFrame, metrics=None, bucket=None) -> DataFrame:
+        seen[f"{layer}.{table}"] = observed = runs[layer].write(df, table, metrics, bucket)
         counts[f"{layer}.{table}"] = int(observed["rows"])
         return runs[layer].read(table)
 
     bronze, lines = _bronze(spark, cfg)
     cleaned = E.build_silver(bronze, ts)
     typed, taken = _settle({n: conform(r.clean, TABLES[n]) for n, r in cleaned.items()}, cfg)
-    silver = {n: write("silver", n, df, R.write_metrics(n, cfg.as_of)) for n, df in typed.items()}
+    # the gold layer joins and groups these by their ride: co-bucketed, they need no exchange
+    silver = {n: write("silver", n, df, R.write_metrics(n, cfg.as_of),
+                       "ride_id" if n in BY_RIDE else None) for n, df in typed.items()}
     for name, result in cleaned.items():
         rejects = result.rejects
         if name in taken:

@@ -32,18 +32,17 @@ CAPTAIN_METRICS = ["total_captains", "total_rides_sum", "completed_rides_sum",
 VALUE = "decimal(38,12)"
 
 
-def _num(name: str, df: DataFrame, agg: Column) -> DataFrame:
-    return df.agg(agg.try_cast(VALUE).alias("value")).select(
-        F.lit(name).alias("metric"), F.col("value"), F.lit(None).cast("string").alias("text"))
-
-
 def _text(name: str, value_df: DataFrame, col: str) -> DataFrame:
     # value_df has at most one row; an empty frame still yields the metric with null.
     return value_df.agg(F.max(col).alias("text")).select(
         F.lit(name).alias("metric"), F.lit(None).cast(VALUE).alias("value"), F.col("text"))
 
 
-def _unpivot(one_row: DataFrame, names: list[str]) -> DataFrame:
+def _unpivot(one_row: DataFrame, names: list[str], text: Column | None = None,
+             metric: str | None = None) -> DataFrame:
+    if metric:
+        return one_row.select(F.lit(metric).alias("metric"), F.lit(None).cast(VALUE).alias("value"),
+                              text.alias("text"))
     stack = ", ".join(f"'{n}', TRY_CAST(`{n}` AS {VALUE})" for n in names)
     return one_row.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)") \
         .withColumn("text", F.lit(None).cast("string"))
@@ -51,20 +50,29 @@ def _unpivot(one_row: DataFrame, names: list[str]) -> DataFrame:
 
 def user_metrics_silver(rides: DataFrame, payments: DataFrame, feedback: DataFrame,
                         as_of: date | str | None = None) -> DataFrame:
-    paid = payments.join(rides.select("ride_id"), "ride_id", "left_semi")
-    rated = feedback.join(rides.select("ride_id"), "ride_id", "left_semi")
-    per_ride = rides.select("ride_id").join(ride_payment_totals(payments), "ride_id", "left")
-    nz = rated.where(F.col("captain_rating").isNotNull() & (F.col("captain_rating") != 0))
-    parts = [
-        _num("total_rides", rides, F.count(F.lit(1))),
-        _num("total_revenue", per_ride, F.sum(F.coalesce(F.col("total_payment"), F.lit(0)))),
-        _num("avg_revenue_per_ride", paid, F.avg(F.nullif(F.col("final_amount"), F.lit(0)).cast("double"))),
-        _num("booking_frequency", rides.where(F.col("ride_date") >= recent_cutoff(as_of)), F.count(F.lit(1))),
-        _num("is_active", rides.where(F.col("ride_status").isin(ACTIVE_STATUSES)), F.count_distinct("user_id")),
-        _num("avg_captain_rating", nz, F.avg(F.col("captain_rating").cast("double"))),
-        _text("most_frequent_issue", mode_by(rated, [], "issue_category", "m"), "m"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """One aggregate for each source, and the count of issues; payments and feedback count as
+    far as their ride is in ``rides``."""
+    active = F.when(F.col("ride_status").isin(ACTIVE_STATUSES), F.col("user_id"))
+    of_rides = rides.agg(
+        F.count(F.lit(1)).alias("total_rides"),
+        F.count_if(F.col("ride_date") >= recent_cutoff(as_of)).alias("booking_frequency"),
+        F.count_distinct(active).alias("is_active"))
+    nz = lambda c: F.nullif(F.col(c), F.lit(0)).cast("double")
+    paid = payments.join(rides.select("ride_id"), "ride_id", "left_semi").agg(
+        F.coalesce(F.sum("final_amount"), F.lit(0)).alias("total_revenue"),
+        F.avg(nz("final_amount")).alias("avg_revenue_per_ride"))
+    # counts per rating and issue feed both feedback metrics
+    rated = feedback.join(rides.select("ride_id"), "ride_id", "left_semi").groupBy("issue_category").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(nz("captain_rating")).alias("s"), F.count(nz("captain_rating")).alias("k"))
+    known = F.col("issue_category").isNotNull()
+    of_feedback = rated.agg(
+        F.try_divide(F.sum("s"), F.sum("k").cast("double")).alias("avg_captain_rating"),
+        F.min(F.when(known, F.struct((-F.col("n")).alias("n"), F.col("issue_category").alias("v"))))["v"].alias("issue"))
+    rating = _unpivot(of_feedback, ["avg_captain_rating"])
+    issue = _unpivot(of_feedback, ["issue"], F.col("issue"), "most_frequent_issue")
+    return reduce(DataFrame.unionByName, [
+        _unpivot(of_rides, ["total_rides", "booking_frequency", "is_active"]),
+        _unpivot(paid, ["total_revenue", "avg_revenue_per_ride"]), rating, issue])
 
 
 def user_metrics_gold(user_agg: DataFrame) -> DataFrame:
@@ -228,7 +236,7 @@ def observed_user_metrics(spark: SparkSession, seen: dict[str, dict], active_use
     return _rows(spark, {
         "total_rides": r["total_rides"],
         # every silver payment has its ride in silver
-        "total_revenue": (p["revenue"] or 0) if r["total_rides"] else None,
+        "total_revenue": p["revenue"] or 0,
         "avg_revenue_per_ride": _mean(p["paid"], p["paid_n"]),
         "booking_frequency": r["booking_frequency"], "is_active": active_users,
         "avg_captain_rating": _mean(f["rating"], f["rating_n"]), "most_frequent_issue": issue})

@@ -25,6 +25,27 @@ def write_observed(df: DataFrame, path: str, metrics: dict[str, Column] | None =
     return {"rows": 0, **obs.get}
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None,
+                   metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """Write parquet in buckets of ``key``, sorted by it, and give the table as a bucketed scan
+    and what the write observed. Tables bucketed alike are joined and grouped by the key
+    without an exchange. Buckets are a property of a catalog table; its entry is taken out
+    again as soon as the scan is resolved, so no run leaves one. The number of buckets is
+    ``spark.sql.shuffle.partitions`` unless given."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    obs, name = Observation(f"write_{uuid.uuid4().hex}"), f"kiln_bucketed_{uuid.uuid4().hex}"
+    seen = df.repartition(n, key).observe(obs, F.count(F.lit(1)).alias("rows"),
+                                          *[c.alias(m) for m, c in (metrics or {}).items()])
+    try:
+        (seen.write.bucketBy(n, key).sortBy(key).option("path", path).mode("errorifexists")
+         .format("parquet").saveAsTable(name))
+        table = spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")   # an external table: its files stay
+    return table, {"rows": 0, **obs.get}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write parquet and return the row count seen by the write."""
     return int(write_observed(df, path, mode=mode)["rows"])
@@ -50,14 +71,23 @@ class LayerRun:
         self.spark, self.layer = spark, layer
         self.base = layer_path(root, layer, "").rstrip("/")
         self.run = f"run-{run_id}-{uuid.uuid4().hex[:8]}"
+        self._scans: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.base}/{self.run}/{table}"
 
-    def write(self, df: DataFrame, table: str, metrics: dict[str, Column] | None = None) -> dict:
-        return write_observed(df, self.path(table), metrics, mode="errorifexists")
+    def write(self, df: DataFrame, table: str, metrics: dict[str, Column] | None = None,
+              bucket: str | None = None) -> dict:
+        """Write a table, in buckets of a column if one is named; what the write observed."""
+        if bucket is None:
+            return write_observed(df, self.path(table), metrics, mode="errorifexists")
+        self._scans[table], seen = write_bucketed(df, self.path(table), bucket, metrics=metrics)
+        return seen
 
     def read(self, table: str) -> DataFrame:
+        """The run's own table, published or not; a bucketed scan if it was written so."""
+        if table in self._scans:
+            return self._scans[table]
         return self.spark.read.parquet(self.path(table))
 
     def publish(self) -> None:
