@@ -293,7 +293,7 @@ class _Dedup:
 
         links = self.spark.createDataFrame([], "a long, b long")
         roots = self.spark.createDataFrame([], "node long, root long")
-        spread = 1
+        spread, before = 1, [rest]
         while True:
             # members that were no pivot yet; each was compared with all pivots of its bucket
             members = stage.put(
@@ -302,7 +302,7 @@ class _Dedup:
             still = (self._distinct_buckets(members, F.min("root").alias("x"),
                                             F.max("root").alias("y"), F.max("slack").alias("top"))
                      .filter("x <> y").select("key", "top"))
-            stage.drop(rest)
+            stage.drop(*before)  # the tables that the last round left
             rest = stage.put(members.join(still, "key").filter("slack + top >= 0").drop("top"),
                              "unconnected")
             stage.drop(members)
@@ -323,6 +323,7 @@ class _Dedup:
             if not found.isEmpty():
                 links = links.unionByName(found)
                 roots = self._merge(roots, found)
+            before = [rest, pivots]
             used = pivots.select("key", F.col("a").alias("rep"))
             rest = rest.join(used, ["key", "rep"], "left_anti").drop("root")
             spread *= 8

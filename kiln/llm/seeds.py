@@ -255,7 +255,9 @@ class RepeatFinder:
         table = f"kiln_texts_{uuid.uuid4().hex}"
         (packed.repartition(buckets, "doc").write.bucketBy(buckets, "doc").format("parquet")
          .option("path", self.stage.path("texts")).saveAsTable(table))
-        return self.spark.table(table)
+        texts = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # the scan is resolved, its files stay
+        return texts
 
     def copies(self) -> tuple[DataFrame, DataFrame]:
         """Texts that occur once or come first among equal ones (``doc``), and the rows of

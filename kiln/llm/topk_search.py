@@ -10,7 +10,9 @@ while every partial sum is exact there (below 2**53) and in Python integers othe
 Vectors that are null or hold null or non-finite components take no part; vectors are
 compared only with vectors of the same length. Null ids take no part. Repeated rows are
 candidates one by one, and a query's own id is never its candidate. Ties go to the
-smaller id. An empty vector scores 0 against other empty vectors.
+smaller id. An empty vector scores 0 against other empty vectors. Scaled components
+saturate at 2**60 either way and scores at the range of a long, so huge finite components
+are ranked as far as longs tell them apart.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ def usable(vector: Column) -> Column:
 
 
 def _matrix(vectors: pd.Series, scale: float) -> np.ndarray:
-    return np.floor(np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) * scale)
+    with np.errstate(over="ignore"):
+        whole = np.floor(np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) * scale)
+    return np.clip(whole, -2.0 ** 60, 2.0 ** 60)
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -39,7 +43,7 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     if np.abs(q).max() * np.abs(c).max() * q.shape[1] < 2.0 ** 53:
         return q @ c.T
     whole = np.vectorize(int, otypes=[object])
-    return whole(q).dot(whole(c).T)
+    return np.clip(whole(q).dot(whole(c).T), -2 ** 63, 2 ** 63 - 1)
 
 
 def _tile(k: int, scale: float):

@@ -19,7 +19,8 @@ Two ways to bring rules and urls together, same sweep:
 Defined results: null urls and urls without ``://`` have empty host and path, and no
 rule; the rule with the longest host + path text wins, then the longer host; of equal
 rules with different verdicts ``block`` wins; null rule hosts or paths count as empty,
-and a rule with an empty host covers nothing. Repeated rows are judged one by one.
+and a rule with an empty host covers nothing. Repeated rows are judged one by one. A very
+long host is probed only at the depths that rules have.
 """
 
 from __future__ import annotations
@@ -50,12 +51,14 @@ def reversed_host(host: str) -> str:
     return ".".join(reversed(host.split(".")))
 
 
-def probe_keys(host: str, path: str) -> list[tuple[str, str]]:
-    """The (reversed host, path) key of the host and of each parent host."""
-    if not host:
+def probe_keys(host: str, path: str, depths: list[int]) -> list[tuple[str, str]]:
+    """The (reversed host, path) keys of the host and its parent hosts with as many labels as
+    some rule has (``depths``, ascending): what a long host costs depends on the rules alone."""
+    if not host or not depths:
         return []
-    labels = host.split(".")[::-1]
-    return [(".".join(labels[:n]), path) for n in range(1, len(labels) + 1)]
+    # the last labels of the host, no more than the deepest rule has
+    labels = host.rsplit(".", depths[-1])[-depths[-1]:][::-1]
+    return [(".".join(labels[:n]), path) for n in depths if n <= len(labels)]
 
 
 def sort_rules(rows: list[tuple]) -> list[tuple[str, str, str, str]]:
@@ -95,6 +98,8 @@ def _longer(a, b):
 
 
 def _judge_batches(rules):
+    depths = sorted({r[0].count(".") + 1 for r in rules})
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
@@ -104,7 +109,7 @@ def _judge_batches(rules):
                 best[row] = _longer(rule, best[row])
 
             probes = sorted((*k, i) for i, (h, p) in enumerate(zip(hosts, paths))
-                            for k in probe_keys(h, p))
+                            for k in probe_keys(h, p, depths))
             sweep(rules, probes, keep)
             cols = [batch.column(c) for c in ("page_id", "host", "path")]
             cols.append(pa.array([b and b[3] for b in best], pa.string()))
@@ -118,13 +123,16 @@ def _by_range(parts: DataFrame, rules: DataFrame, ranges: int, sample_rows: int)
     spark = parts.sparkSession
     stage = Stage(spark, "url-rules")
     ids = stage.put(parts.withColumn("row", F.monotonically_increasing_id()), "urls")
+    labels = F.size(F.split("host", r"[.]"))
+    # one number for each depth that rules have
+    depths = sorted(r[0] for r in rules.filter("host <> ''").select(labels).distinct().collect())
 
     def explode(batches):
         for b in batches:
             out = [(r, *k) for r, h, p in zip(b.column("row").to_pylist(),
                                              b.column("host").to_pylist(),
                                              b.column("path").to_pylist())
-                   for k in probe_keys(h, p)]
+                   for k in probe_keys(h, p, depths)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()),
                  pa.array([o[1] for o in out], pa.string()),
@@ -194,8 +202,11 @@ def _by_range(parts: DataFrame, rules: DataFrame, ranges: int, sample_rows: int)
                     hits.append(stack[-1][2])
                     texts.append(stack[-1][3])
                     hosts.append(len(stack[-1][0]))
-            yield pd.DataFrame({"row": pd.array(rows, dtype="int64"), "hit": hits, "rule": texts,
-                                "host_chars": pd.array(hosts, dtype="int64")})
+            if rows:
+                yield pd.DataFrame({"row": pd.array(rows, dtype="int64"),
+                                    "hit": pd.Series(hits, dtype=object),
+                                    "rule": pd.Series(texts, dtype=object),
+                                    "host_chars": pd.array(hosts, dtype="int64")})
 
     found = dealt.mapInPandas(swept, "row long, hit string, rule string, host_chars long")
     # all rules that fit one url lie on its chain of parent hosts, as in _longer

@@ -273,3 +273,39 @@ def test_repeated_rows_hot_entity_and_empty_tables(spark):
     got = disclosure.find_spans(docs).collect()
     assert len(got) == 53 and len({(r.doc_id, str(r.spans)) for r in got}) == 3
     assert disclosure.find_spans(docs.limit(0)).collect() == []
+
+
+# ------------------------------------------------------------------ hosts, overflow, catalog
+def test_long_hosts_are_probed_at_the_depths_of_rules(spark):
+    from kiln.llm import url_rules
+    deep = ".".join(["a"] * 200_000)
+    assert url_rules.probe_keys(f"{deep}.example.com", "/x", [1, 2]) == [("com", "/x"), ("com.example", "/x")]
+    assert url_rules.probe_keys("b.c", "/", [1, 3]) == [("c", "/")] and url_rules.probe_keys("", "/", [1]) == []
+    pages = spark.createDataFrame([(1, f"http://{deep}.example.com/en/"), (2, "http://com/"), (3, f"x://{deep}")],
+                                  "page_id long, url string")
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("www.example.com", "/", "allow"), ("com", "/", "allow")],
+                                  "host string, path string, verdict string")
+    for many in (1000, 1):
+        got = {r.page_id: r.rule for r in url_rules.judge_urls(pages, rules, broadcast_rules=many).collect()}
+        assert got == {1: "example.com/en/", 2: "com/", 3: None}
+
+
+def test_scores_of_huge_components_saturate(spark):
+    from pyspark.sql import functions as F
+
+    from kiln.llm import topk_search
+    rows = [(0, [1e307, 1.0]), (1, [1e9, 0.0]), (2, [1e9, 0.0]), (3, [-1e307, 0.0]), (4, [1.0, 0.0]), (None, [1e9, 1.0]),
+            (50, [0.5, 0.25])]
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=9)
+    top = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
+    most = 2 ** 63 - 1
+    assert [top[0, i] for i in range(1, 6)] == [(1, most), (2, most), (4, most), (50, most), (3, -most - 1)]
+    assert top[50, 1] == (0, most) and top[50, 2] == (1, 128 * 256 * 10 ** 9) and top[50, 4] == (4, 128 * 256)
+
+
+def test_no_catalog_entry_is_left(spark):
+    from kiln.llm import suffix_array
+    docs = spark.createDataFrame([(1, "ab" * 300, "s"), (2, "x" + "ab" * 300, "s")], "doc_id long, text string, source string")
+    found = suffix_array.repeated_bytes(docs)
+    assert not [t for t in spark.catalog.listTables() if "kiln" in t.name]
+    assert found.count() == 2
