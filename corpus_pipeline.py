@@ -6,7 +6,9 @@ All but the last return the columns of ``documents``; ``n_chars`` follows the te
 
 Stages keep rows with null ids or texts unless a decision concerns them: a null text is
 not toxic, has no near-duplicates and no repeats, and mixing takes none of its no words.
-Repeated rows are near-duplicates of each other: one stays.
+Repeated rows are near-duplicates of each other: one stays. Of rows that share id and text but
+not their other columns the near-duplicate stage keeps any one. Further columns, whatever
+their names, travel with their rows.
 """
 
 from __future__ import annotations
@@ -25,25 +27,35 @@ from kiln.llm.store import Stage
 #: SQL cannot express the learned score of the first stage.
 ORACLE_SQL = None
 
-_SCORE = "_toxicity_score"
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them as long as ``docs`` has such columns."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    [score] = _free(docs, "_toxicity_score")
     lexicon = toxicity.learn(docs, labels, ~held_out())
-    return toxicity.score(docs, lexicon, score_col=_SCORE).filter(F.col(_SCORE) < 0.5).drop(_SCORE)
+    return toxicity.score(docs, lexicon, score_col=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
     rows = minhash.near_duplicates(docs, percent=80, shingle=5)[0]
-    key = ["doc_id", "_text_hash"]
+    [text_hash] = _free(docs, "_text_hash")
+    key = ["doc_id", text_hash]
     rows = Stage(spark, "near-duplicates").put(
-        rows.filter("doc_id IS NOT NULL").withColumnRenamed("text_hash", "_text_hash"), "rows")
+        rows.filter("doc_id IS NOT NULL").withColumnRenamed("text_hash", text_hash), "rows")
     gone = rows.filter("NOT kept").select(*key).distinct()
-    stay = docs.withColumn("_text_hash", F.xxhash64("text")).join(gone, key, "left_anti")
-    repeated = rows.filter("kept").groupBy(*key).count().filter("count > 1").select(*key)
+    stay = docs.withColumn(text_hash, F.xxhash64("text")).join(gone, key, "left_anti")
+    repeated = rows.filter("kept").groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
     if not repeated.isEmpty():  # rows that share id and text
         stay = stay.join(repeated, key, "left_anti").unionByName(
             stay.join(repeated, key, "left_semi").dropDuplicates(key))
@@ -77,43 +89,48 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = suffix_array.repeated_bytes(docs, window=200, with_rest=True)
     rest = found.schema["rest"].dataType.simpleString()
     out = found.mapInArrow(_without_spans, f"doc_id long, text string, rest {rest}")
-    return _as_documents(out.select("doc_id", "text", "rest.*").drop("_"), docs)
-
-
-def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts down to the words that the mix takes: ``_words`` from ``_start`` on."""
-    import re
-    word = re.compile(r"[^\x20\x09-\x0D]+")
-    for b in batches:
-        names = b.schema.names
-        texts = []
-        for text, size, start, words in zip(*(b.column(c).to_pylist() for c in (
-                "text", "_size", "_start", "_words"))):
-            if words < size:
-                at = [m.span() for m in word.finditer(text)][start:start + words]
-                text = text[at[0][0]:at[-1][1]]
-            texts.append(text)
-        at = names.index("text")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)],
-            names)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return _as_documents(out.select("doc_id", "text", *[
+        F.col("rest").getField(c).alias(c) for c in others]), docs)
+
+
+def _cut_words(size: str, start: str, words: str):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts down to the words that the mix takes: ``words`` from ``start`` on."""
+        import re
+        word = re.compile(r"[^\x20\x09-\x0D]+")
+        for b in batches:
+            names = b.schema.names
+            texts = []
+            for text, n, first, taken in zip(*(b.column(c).to_pylist() for c in (
+                    "text", size, start, words))):
+                if taken < n:
+                    at = [m.span() for m in word.finditer(text)][first:first + taken]
+                    text = text[at[0][0]:at[-1][1]]
+                texts.append(text)
+            at = names.index("text")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)],
+                names)
+    return cut
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for every epoch that takes words of a document, with those words."""
     mixed = mixing.mix(docs, weights=(5, 2, 1), max_epochs=3)
-    sizes = mixed.documents.select("src", "at", "hash", "doc_id", F.col("size").alias("_size"))
+    hash_, id_, start, words, size = _free(docs, "_hash", "_id", "_start", "_words", "_size")
+    sizes = mixed.documents.select("src", "at", "hash", "doc_id", F.col("size").alias(size))
     # the blocks that an epoch takes are consecutive, so a document's words are one stretch
     taken = (mixed.rows.groupBy("src", "at", "hash", "doc_id", "epoch")
-             .agg(F.min("start").alias("_start"), F.sum("words").alias("_words")).alias("t")
-             .join(sizes.filter("_size > 0").alias("s"),
+             .agg(F.min("start").alias(start), F.sum("words").alias(words)).alias("t")
+             .join(sizes.filter(F.col(size) > 0).alias("s"),
                    [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
                     for c in ("src", "at", "hash", "doc_id")])
-             .select(F.col("t.hash").alias("_hash"), F.col("t.doc_id").alias("_id"),
-                     "_start", "_words", "_size"))
-    one = docs.withColumn("_hash", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "_hash"])
-    rows = one.join(taken, ["_hash"]).filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-    return _as_documents(rows.mapInArrow(_cut_words, rows.schema), docs)
+             .select(F.col("t.hash").alias(hash_), F.col("t.doc_id").alias(id_),
+                     start, words, size))
+    one = docs.withColumn(hash_, F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", hash_])
+    rows = one.join(taken, [hash_]).filter(F.col("doc_id").eqNullSafe(F.col(id_)))
+    return _as_documents(rows.mapInArrow(_cut_words(size, start, words), rows.schema), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

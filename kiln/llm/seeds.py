@@ -245,7 +245,7 @@ class RepeatFinder:
             F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
             F.xxhash64(F.col(text_col)).alias("text_hash"),
             F.coalesce(F.length(F.col(text_col)), F.lit(0)).alias("size"),
-            F.struct(F.lit(0).alias("_"), *(others if with_rest else [])).alias("rest")))
+            F.struct(*(others if with_rest and others else [F.lit(0).alias("_")])).alias("rest")))
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
         from pyspark.sql.types import BinaryType, StructField, StructType

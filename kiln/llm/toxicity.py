@@ -308,8 +308,10 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str =
 
 def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text",
           score_col: str = "score") -> DataFrame:
-    """All columns and rows of ``docs`` with a score from 0 to 1."""
+    """All columns and rows of ``docs`` with a score from 0 to 1; a column of the score's name
+    is replaced. Very long texts are matched as a whole, in time linear in their length."""
     from pyspark.sql.types import DoubleType, StructField, StructType
+    docs = docs.drop(score_col)
     schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
