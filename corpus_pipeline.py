@@ -14,12 +14,13 @@ their names, travel with their rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import minhash, mixing, packing, suffix_array, toxicity
+from kiln.llm import minhash, mixing, packing, store, suffix_array, toxicity
 from kiln.llm.queries import held_out
 from kiln.llm.seeds import Unpacker
 from kiln.llm.store import Stage
@@ -139,13 +140,31 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
-STAGES = [
+#: Folders that the stage before has staged tables in.
+_staged: list[str] = []
+
+
+def _frees_the_last(function):
+    """A stage's result is written before the next stage is called, so the tables that its
+    operators staged are deleted at that call. A result that is read later must be written."""
+    @wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _staged:
+            store.delete(spark, _staged.pop())
+        before = len(store.folders)
+        out = function(spark, docs, sf_dir)
+        _staged.extend(store.folders[before:])
+        return out
+    return stage
+
+
+STAGES = [(name, _frees_the_last(function)) for name, function in (
     ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_duplicates),
     ("suffix_array_dedup", drop_repeated_passages),
     ("mix_sources", mix_sources),
     ("best_fit_packing", pack_sequences),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

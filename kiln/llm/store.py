@@ -24,12 +24,23 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders of all operator calls of this process, in order.
+folders: list[str] = []
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Stage:
     """Staged tables of one operator call; ``drop`` frees those no longer needed."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/kiln-llm/{name}-{uuid.uuid4().hex[:12]}"
+        folders.append(self.root)
         self._n = 0
         # Texts can be very long: fewer rows travel to Python workers at once.
         if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
@@ -50,9 +61,7 @@ class Stage:
         return back
 
     def drop(self, *tables: DataFrame | None) -> None:
-        sc = self.spark.sparkContext
         for t in tables:
             where = getattr(t, "_kiln_path", None)
             if where:
-                at = sc._jvm.org.apache.hadoop.fs.Path(where)
-                at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+                delete(self.spark, where)

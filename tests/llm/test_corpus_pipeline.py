@@ -145,3 +145,15 @@ def test_stages_of_empty_tables(spark, docs, sf_dir):
     empty = docs.limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_a_stage_frees_what_the_last_one_staged(spark, docs, sf_dir):
+    import os
+    here = lambda f: os.path.isdir(f.removeprefix("file:"))
+    last: list[str] = []
+    for _, stage in cp.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert not any(here(f) for f in last)
+        out.collect()
+        last = [f for f in cp._staged if here(f)]
+    assert last                                   # the last stage's tables are there as long as they are read
