@@ -56,8 +56,8 @@ def test_jobs_do_not_depend_on_the_number_of_columns(spark, monkeypatch):
 
 def test_sketches_that_are_off_cost_rounds_only(spark, monkeypatch):
     monkeypatch.setattr(A, "MEDIAN_FINAL_ROWS", 20)
-    monkeypatch.setattr(A, "MEDIAN_ACCURACY", 2)
-    monkeypatch.setattr(A, "MEDIAN_GRID", 4)
+    monkeypatch.setattr(A, "MEDIAN_ACCURACY", 30)
+    monkeypatch.setattr(A, "MEDIAN_GRID", 20)
     vals = [random.Random(9).random() for _ in range(4001)]
     vals = [v + i for i, v in enumerate(vals)]
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
