@@ -1,7 +1,7 @@
 """Assignment into a declared typed layout, and the audit of cells that cannot be assigned.
 
 A cell that holds text which is no number, or a number its column cannot hold, becomes null in
-the typed table; ``cell_errors`` says so, as an array that travels with the row through a
+the typed table; ``with_cells`` says so, as an array that travels with the row through a
 cleaning job and is exploded into one audit row a cell (``explode_cells``).
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.functions.exprs import is_blank, looks_numeric, to_int_half_even, to_number
+from kiln.functions.exprs import NUMBER_PATTERN, strip_ws, to_int_half_even, to_number
 from kiln.schemas import TableSpec
 
 CELLS = "_cells"
@@ -51,25 +51,31 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*out)
 
 
-def _cell_error(column: str, target: T.DataType) -> Column:
-    v = to_number(column)
-    problem = (F.when(is_blank(column), F.lit(None).cast("string"))
-               .when(~looks_numeric(column), MALFORMED)
-               .when(v.isNull() | assign(v, target).isNull(), OVERFLOW))
-    return F.when(problem.isNotNull(), F.struct(
-        F.lit(column).alias("column_name"), F.col(column).alias("raw_text"),
-        F.lit(target.simpleString()).alias("target_type"), problem.alias("problem")))
-
-
-def cell_errors(spec: TableSpec, skip: tuple[str, ...] = ()) -> Column:
-    """An array of ``column_name, raw_text, target_type, problem`` for the number cells of a
-    raw row that cannot be assigned; blank cells are missing, not wrong."""
-    errors = [_cell_error(c, t) for c, t in spec.silver_types
-              if isinstance(t, T.NumericType) and c not in skip]
-    if not errors:
-        return F.array().cast("array<struct<column_name:string,raw_text:string,"
-                              "target_type:string,problem:string>>")
-    return F.array_compact(F.array(*errors))
+def with_cells(df: DataFrame, spec: TableSpec, skip: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with ``_cells``, an array of ``column_name, raw_text, target_type, problem`` for the
+    number cells of a raw row that cannot be assigned; blank cells are missing, not wrong.
+
+    The trimmed text, the number and whether it fits are columns of their own on the way, so
+    that each is worked out once and the generated code stays small."""
+    cells = [(c, t) for c, t in spec.silver_types if isinstance(t, T.NumericType) and c not in skip]
+    if not cells:
+        return df.withColumn(CELLS, F.array().cast(
+            "array<struct<column_name:string,raw_text:string,target_type:string,problem:string>>"))
+    text, num, fit = ({c: f"_{kind}_{c}" for c, _ in cells} for kind in ("text", "num", "fit"))
+    out = df.withColumns({text[c]: strip_ws(c) for c, _ in cells})
+    out = out.withColumns({num[c]: F.when(F.col(text[c]).rlike(NUMBER_PATTERN), F.col(text[c]).try_cast("double"))
+                           for c, _ in cells})
+    out = out.withColumns({fit[c]: (F.abs(F.col(num[c])) < F.lit(float("inf"))) & assign(num[c], t).isNotNull()
+                           for c, t in cells})
+    errors = []
+    for c, t in cells:
+        problem = (F.when(F.col(text[c]).isNull() | (F.col(text[c]) == ""), F.lit(None).cast("string"))
+                   .when(F.col(num[c]).isNull(), MALFORMED).when(~F.col(fit[c]), OVERFLOW))
+        errors.append(F.when(problem.isNotNull(), F.struct(
+            F.lit(c).alias("column_name"), F.col(c).alias("raw_text"),
+            F.lit(t.simpleString()).alias("target_type"), problem.alias("problem"))))
+    return out.withColumn(CELLS, F.array_compact(F.array(*errors))).drop(
+        *text.values(), *num.values(), *fit.values())
 
 
 def explode_cells(rows: DataFrame, key: str, run_ts: datetime) -> DataFrame:

@@ -19,7 +19,7 @@ from kiln.functions.exprs import (
     to_int_half_even, truncate_int,
 )
 from kiln.operators.aggregates import medians_of, mode_of
-from kiln.operators.conform import CELLS, cell_errors, number_for
+from kiln.operators.conform import number_for, with_cells
 from kiln.operators.quarantine import (
     CleanResult, alive, reject_duplicates, reject_if, reject_orphans, split, start,
 )
@@ -49,7 +49,7 @@ Stage = Callable[[DataFrame], DataFrame]
 
 def _raw(bronze: DataFrame, table: str, skip: tuple[str, ...] = ()) -> DataFrame:
     """Every row alive, with its cells that cannot be assigned."""
-    return start(bronze).withColumn(CELLS, cell_errors(TABLES[table], skip))
+    return with_cells(start(bronze), TABLES[table], skip)
 
 
 def _number(table: str, column: str):
