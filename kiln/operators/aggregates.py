@@ -97,13 +97,13 @@ def exact_medians(df: DataFrame, values: dict[str, Column]) -> dict[str, float |
                         for n, c in values.items()])
     fractions = [j / MEDIAN_GRID for j in range(MEDIAN_GRID + 1)]
 
-    def sketch(column, low=None, high=None):
+    def sketch(column, low, high):
         return F.percentile_approx(_within(F.col(f"`{column}`"), low, high), fractions,
                                    MEDIAN_ACCURACY)
     if not values:
         return {}
-    first = cells.agg(*[F.count(f"`{n}`") for n in values], *[sketch(n) for n in values]).first()
-    grids = {(n, None, None): first[len(values) + i] for i, n in enumerate(values)}
+    first = cells.agg(*[F.count(f"`{n}`") for n in values]).first()
+    grids: dict[tuple, list[float]] = {}  # sketches, taken only of bands that are too wide to read
     ranks = [_Rank(n, k, first[i]) for i, n in enumerate(values) if first[i]
              for k in sorted({(first[i] - 1) // 2, first[i] // 2})]
     while True:
