@@ -29,10 +29,24 @@ def assign(col, target: T.DataType) -> Column:
     return c.try_cast(target)
 
 
+def plain_number(column: str, target: T.DataType) -> Column:
+    """True for digits, with or without a fraction, that the target type holds for certain: the
+    one test that nearly all cells need. What it does not know, it says is not plain."""
+    digits = "[0-9]{1,9}" if isinstance(target, T.IntegerType) else None
+    if isinstance(target, T.DecimalType) and target.precision <= 15:
+        whole = target.precision - target.scale
+        # digits beyond the scale may round up to one more whole digit
+        forms = ([f"[0-9]{{1,{whole}}}(?:\\.[0-9]{{0,{target.scale}}})?"] if whole > 0 else []) + \
+            ([f"[0-9]{{1,{whole - 1}}}\\.[0-9]{{1,20}}"] if whole > 1 else [])
+        digits = "|".join(forms) or None
+    return F.col(column).rlike(f"^(?:{digits})\\z") if digits else F.lit(False)
+
+
 def number_for(column: str, target: T.DataType) -> Column:
     """The number in a text cell, null unless the target type can hold it."""
     v = to_number(column)
-    return F.when(assign(v, target).isNotNull(), v)
+    return F.when(plain_number(column, target), F.col(column).try_cast("double")) \
+        .when(assign(v, target).isNotNull(), v)
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -56,13 +70,14 @@ def with_cells(df: DataFrame, spec: TableSpec, skip: tuple[str, ...] = ()) -> Da
     number cells of a raw row that cannot be assigned; blank cells are missing, not wrong.
 
     The trimmed text, the number and whether it fits are columns of their own on the way, so
-    that each is worked out once and the generated code stays small."""
+    that each is worked out once and the generated code stays small; they are null for plain
+    numbers, which are right."""
     cells = [(c, t) for c, t in spec.silver_types if isinstance(t, T.NumericType) and c not in skip]
     if not cells:
         return df.withColumn(CELLS, F.array().cast(
             "array<struct<column_name:string,raw_text:string,target_type:string,problem:string>>"))
     text, num, fit = ({c: f"_{kind}_{c}" for c, _ in cells} for kind in ("text", "num", "fit"))
-    out = df.withColumns({text[c]: strip_ws(c) for c, _ in cells})
+    out = df.withColumns({text[c]: F.when(~plain_number(c, t), strip_ws(c)) for c, t in cells})
     out = out.withColumns({num[c]: F.when(F.col(text[c]).rlike(NUMBER_PATTERN), F.col(text[c]).try_cast("double"))
                            for c, _ in cells})
     out = out.withColumns({fit[c]: (F.abs(F.col(num[c])) < F.lit(float("inf"))) & assign(num[c], t).isNotNull()
@@ -74,7 +89,10 @@ def with_cells(df: DataFrame, spec: TableSpec, skip: tuple[str, ...] = ()) -> Da
         errors.append(F.when(problem.isNotNull(), F.struct(
             F.lit(c).alias("column_name"), F.col(c).alias("raw_text"),
             F.lit(t.simpleString()).alias("target_type"), problem.alias("problem"))))
-    return out.withColumn(CELLS, F.array_compact(F.array(*errors))).drop(
+    found = F.array_compact(F.array(*errors))
+    # most rows have no text left to judge and get the constant
+    return out.withColumn(CELLS, F.when(F.coalesce(*[F.col(text[c]) for c, _ in cells]).isNull(), F.array().cast(
+        out.select(found.alias("found")).schema["found"].dataType)).otherwise(found)).drop(
         *text.values(), *num.values(), *fit.values())
 
 

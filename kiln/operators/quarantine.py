@@ -55,17 +55,20 @@ def reject_if(df: DataFrame, cond: Column, reason: str) -> DataFrame:
 
 
 def reject_orphans(df: DataFrame, column: str, keys: DataFrame, key_column: str,
-                   reason: str) -> DataFrame:
+                   reason: str, many_keys: bool = False) -> DataFrame:
     """Label rows whose ``column`` value is absent from ``keys[key_column]``.
 
     A left join to the distinct key set; a null value never matches, so it counts as an
     orphan (unless an earlier rule already took the row). The planner sizes the join at
     run time: a small key side is broadcast, a large one is shuffled, and a hot value is
-    split by the skew-join handling.
+    split by the skew-join handling. With ``many_keys``, keys that grow with the rows, each
+    partition's keys are hashed, so the rows, with all their text, are never sorted.
     """
     n = next(_ids)
     k, hit = f"_fk{n}_key", f"_fk{n}_hit"
     key_set = keys.select(F.col(key_column).alias(k)).distinct().withColumn(hit, F.lit(True))
+    if many_keys:
+        key_set = key_set.hint("shuffle_hash")
     joined = df.join(key_set, df[column] == key_set[k], "left")
     return reject_if(joined, F.col(hit).isNull(), reason).drop(k, hit)
 

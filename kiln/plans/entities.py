@@ -132,7 +132,7 @@ def clean_payments(bronze: DataFrame, rides: DataFrame,
     """Blank ride -> ride membership -> median fill of fare -> zero fill of discounts."""
     df = _raw(bronze, "payments")
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
-    df = reject_orphans(df, "ride_id", rides, "ride_id", PAYMENT_RIDE_NOT_IN_RIDES)
+    df = reject_orphans(df, "ride_id", rides, "ride_id", PAYMENT_RIDE_NOT_IN_RIDES, many_keys=True)
     df = stage(df.withColumn("_fare", _number("payments", "fare")))
     [med_fare] = medians_of(alive(df), "_fare")
     zero = F.lit(0.0)
@@ -152,7 +152,7 @@ def clean_feedback(bronze: DataFrame, rides: DataFrame,
     df = _raw(bronze, "feedback")
     df = reject_if(df, is_blank("feedback_id"), NULL_OR_EMPTY_FEEDBACK_ID)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
-    df = reject_orphans(df, "ride_id", rides, "ride_id", FEEDBACK_RIDE_NOT_IN_RIDES)
+    df = reject_orphans(df, "ride_id", rides, "ride_id", FEEDBACK_RIDE_NOT_IN_RIDES, many_keys=True)
     df = stage(df.withColumn("_ur", _number("feedback", "user_rating"))
                .withColumn("_cr", _number("feedback", "captain_rating")))
     survivors = alive(df)

@@ -44,11 +44,13 @@ def _date_text(k: Column, d: Column, fourth: str, users: bool) -> Column:
 
 
 def _with_copies(base: DataFrame, changes: dict[str, Column]) -> DataFrame:
-    copies = base.where(F.col("_seq") % 53 == 0)
+    # both copies come out of one pass over the source tables
+    copy = F.col("_copy")
+    out = base.withColumn("_copy", F.explode(
+        F.when(F.col("_seq") % 53 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     for c, v in changes.items():
-        copies = copies.withColumn(c, v)
-    copies = copies.withColumn("_seq", F.col("_seq") + F.lit(COPY_OFFSET))
-    return base.unionByName(copies)
+        out = out.withColumn(c, F.when(copy, v).otherwise(F.col(c)))
+    return out.withColumn("_seq", F.col("_seq") + F.when(copy, F.lit(COPY_OFFSET)).otherwise(F.lit(0))).drop("_copy")
 
 
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
