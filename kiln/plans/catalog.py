@@ -644,7 +644,7 @@ def q_dedupe_incremental(spark, d):
     land, out = _scratch(spark, "landed-lines"), _scratch(spark, "first-lines")
     late = F.pmod(F.hash("l_extendedprice", "l_partkey"), F.lit(4))
     for n in range(4):
-        li.where(late == n).coalesce(2).write.mode("append").parquet(land)
+        li.where(late == n).write.mode("append").parquet(land)
         keep_first_stream(spark.readStream.schema(li.schema).parquet(land), ["l_orderkey", "l_linenumber"],
                           ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"], out)
     return read_first(spark, out, ["l_orderkey", "l_linenumber"]).select(

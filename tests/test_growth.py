@@ -1,6 +1,7 @@
 """Forms that keep the cost a row low on large tables: what they give, and that plans have them."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from kiln.functions.exprs import RIDES_DATE_FORMATS, USERS_DATE_FORMATS, is_blank, parse_date, strip_ws, to_number
 from kiln.operators.conform import assign, number_for, plain_number
 from kiln.operators.quarantine import reject_orphans, start
+from kiln.plans import catalog as C
 from kiln.sources import testdata as TD
 from tests.conftest import frame
 
@@ -65,3 +67,15 @@ def test_rows_are_not_sorted_for_a_large_key_set(spark):
     assert "SortMergeJoin" not in _plan(got) and "ShuffledHashJoin" in _plan(got)
     assert sorted((r._seq, r.reason) for r in got.collect()) == [
         (0, None), (1, "orphan"), (2, "orphan"), (3, None), (4, None)]
+
+
+def test_incremental_batches_land_from_all_tasks(spark, tmp_path, monkeypatch):
+    columns = ("l_orderkey long, l_linenumber long, l_extendedprice double, l_partkey long, l_suppkey long, "
+               "l_quantity double, l_shipdate date")
+    rows = [(k % 150, 1, float(k), k, 1, 1.0, dt.date(1995, 1, 2)) for k in range(400)]
+    spark.createDataFrame(rows, columns).repartition(8).write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    monkeypatch.setattr(C, "_scratch", lambda spark, name: f"{tmp_path}/{name}")
+    got = C.q_dedupe_incremental(spark, f"{tmp_path}/in").collect()
+    assert sorted((r.l_orderkey, r.l_extendedprice) for r in got) == [(k, float(k)) for k in range(150)]
+    parts = [f for f in os.listdir(f"{tmp_path}/landed-lines") if f.endswith(".parquet")]
+    assert len(parts) > 8  # two tasks a batch wrote 8 at most
