@@ -21,7 +21,7 @@ from kiln.functions.exprs import (
 from kiln.operators.aggregates import medians_of, mode_of
 from kiln.operators.conform import number_for, with_cells
 from kiln.operators.quarantine import (
-    CleanResult, alive, reject_duplicates, reject_if, reject_orphans, split, start,
+    CleanResult, alive, alive_cond, reject_duplicates, reject_if, reject_orphans, split, start,
 )
 from kiln.schemas import BRONZE_COLUMNS, TABLES
 from kiln.session import parquet_stage
@@ -52,11 +52,23 @@ def _raw(bronze: DataFrame, table: str, skip: tuple[str, ...] = ()) -> DataFrame
     return with_cells(start(bronze), TABLES[table], skip)
 
 
+def _typed(df: DataFrame, table: str, numbers: dict[str, str], assigned: dict[str, str]) -> DataFrame:
+    """Labelled rows with their numbers, worked out once, before the rows are staged, and after they
+    were shuffled."""
+    return with_cells(df, TABLES[table], numbers=numbers, assigned=assigned)
+
+
 def _number(table: str, column: str):
     """The cell's number; text, and numbers that the silver column cannot hold, are missing."""
     return number_for(column, dict(TABLES[table].silver_types)[column])
 
 
+def _audited_text(df: DataFrame, *columns: str) -> DataFrame:
+    """After the last rule: the raw text of typed columns is kept for rejects, whose audit reads it,
+    and not written again for the rows that stay."""
+    return df.withColumns({c: F.when(~alive_cond(), F.col(c)) for c in columns})
+
+
 # Constant fills.
 UNKNOWN = "Unknown"
 NO_ISSUES = "No issues"
@@ -103,7 +115,7 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
                 run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank keys -> date -> user and captain membership -> keep first -> median fill of
     distance/duration -> fill locations -> mode fill of status."""
-    df = _raw(bronze, "rides")
+    df = start(bronze)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_if(df, is_blank("user_id"), NULL_OR_EMPTY_USER_ID)
     df = reject_if(df, is_blank("captain_id"), NULL_OR_EMPTY_CAPTAIN_ID)
@@ -111,9 +123,9 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
     df = reject_if(df, F.col("_date").isNull(), NULL_OR_INVALID_RIDE_DATE)
     df = reject_orphans(df, "user_id", users, "user_id", USER_NOT_IN_USERS)
     df = reject_orphans(df, "captain_id", captains, "captain_id", CAPTAIN_NOT_IN_CAPTAINS)
-    df = reject_duplicates(stage(df), "ride_id", DUPLICATE_RIDE_ID)
-    df = stage(df.withColumn("_dist", _number("rides", "distance_km"))
-               .withColumn("_dur", _number("rides", "duration_min")))
+    df = _typed(df, "rides", {"distance_km": "_dist", "duration_min": "_dur"}, {"distance_km": "_km"})
+    df = stage(_audited_text(reject_duplicates(stage(df), "ride_id", DUPLICATE_RIDE_ID),
+                             "ride_date", "distance_km", "duration_min"))
     survivors = alive(df)
     med_dist, med_dur = medians_of(survivors, "_dist", "_dur")
     status_mode = F.coalesce(mode_of(survivors, "ride_status"), F.lit(UNKNOWN))
@@ -121,7 +133,7 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
              F.col("_date").alias("ride_date"),
              fill_text("pickup_loc", UNKNOWN).alias("pickup_loc"),
              fill_text("drop_loc", UNKNOWN).alias("drop_loc"),
-             F.coalesce(F.col("_dist"), med_dist).cast("decimal(7,2)").alias("distance_km"),
+             F.coalesce(F.col("_km"), med_dist.cast("decimal(7,2)")).alias("distance_km"),
              to_int_half_even(F.coalesce(F.col("_dur"), med_dur)).alias("duration_min"),
              F.coalesce(F.col("ride_status"), status_mode).alias("ride_status")]
     return split(df, clean, BRONZE_COLUMNS["rides"], run_ts, "ride_id")
@@ -130,17 +142,20 @@ def clean_rides(bronze: DataFrame, users: DataFrame, captains: DataFrame,
 def clean_payments(bronze: DataFrame, rides: DataFrame,
                    run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank ride -> ride membership -> median fill of fare -> zero fill of discounts."""
-    df = _raw(bronze, "payments")
+    df = start(bronze)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_orphans(df, "ride_id", rides, "ride_id", PAYMENT_RIDE_NOT_IN_RIDES, many_keys=True)
-    df = stage(df.withColumn("_fare", _number("payments", "fare")))
+    numbers = ["fare", "discount_percent", "discount_amount", "final_amount"]
+    df = _typed(df, "payments", {"fare": "_fare"}, {c: f"_{c}_typed" for c in numbers})
+    df = stage(_audited_text(df, *numbers))
     [med_fare] = medians_of(alive(df), "_fare")
+
+    def filled(column: str, fill, target: str):
+        return F.coalesce(F.col(f"_{column}_typed"), fill.cast(target)).alias(column)
     zero = F.lit(0.0)
     clean = [F.col("payment_id"), F.col("ride_id"), F.col("payment_method"),
-             F.coalesce(F.col("_fare"), med_fare).cast("decimal(10,2)").alias("fare"),
-             F.coalesce(_number("payments", "discount_percent"), zero).cast("decimal(5,2)").alias("discount_percent"),
-             F.coalesce(_number("payments", "discount_amount"), zero).cast("decimal(10,2)").alias("discount_amount"),
-             F.coalesce(_number("payments", "final_amount"), zero).cast("decimal(10,2)").alias("final_amount"),
+             filled("fare", med_fare, "decimal(10,2)"), filled("discount_percent", zero, "decimal(5,2)"),
+             filled("discount_amount", zero, "decimal(10,2)"), filled("final_amount", zero, "decimal(10,2)"),
              F.col("payment_status")]
     return split(df, clean, BRONZE_COLUMNS["payments"], run_ts, "payment_id")
 
@@ -149,17 +164,17 @@ def clean_feedback(bronze: DataFrame, rides: DataFrame,
                    run_ts: datetime | None = None, stage: Stage = parquet_stage) -> CleanResult:
     """Blank feedback id -> blank ride -> ride membership -> median fill of both ratings
     -> constant fill of issue and comment ('' counts as missing)."""
-    df = _raw(bronze, "feedback")
+    df = start(bronze)
     df = reject_if(df, is_blank("feedback_id"), NULL_OR_EMPTY_FEEDBACK_ID)
     df = reject_if(df, is_blank("ride_id"), NULL_OR_EMPTY_RIDE_ID)
     df = reject_orphans(df, "ride_id", rides, "ride_id", FEEDBACK_RIDE_NOT_IN_RIDES, many_keys=True)
-    df = stage(df.withColumn("_ur", _number("feedback", "user_rating"))
-               .withColumn("_cr", _number("feedback", "captain_rating")))
+    df = stage(_typed(df, "feedback", {"user_rating": "_ur", "captain_rating": "_cr"},
+                      {"user_rating": "_ur_typed", "captain_rating": "_cr_typed"}))
     survivors = alive(df)
     med_ur, med_cr = medians_of(survivors, "_ur", "_cr")
     clean = [F.col("feedback_id"), F.col("ride_id"),
-             F.coalesce(F.col("_ur"), med_ur).cast("decimal(2,1)").alias("user_rating"),
-             F.coalesce(F.col("_cr"), med_cr).cast("decimal(2,1)").alias("captain_rating"),
+             F.coalesce(F.col("_ur_typed"), med_ur.cast("decimal(2,1)")).alias("user_rating"),
+             F.coalesce(F.col("_cr_typed"), med_cr.cast("decimal(2,1)")).alias("captain_rating"),
              fill_text("issue_category", NO_ISSUES).alias("issue_category"),
              fill_text("comments", NO_COMMENTS).alias("comments")]
     return split(df, clean, BRONZE_COLUMNS["feedback"], run_ts, "feedback_id")

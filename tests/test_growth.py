@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.exprs import RIDES_DATE_FORMATS, USERS_DATE_FORMATS, is_blank, parse_date, strip_ws, to_number
-from kiln.operators.conform import assign, number_for, plain_number
+from kiln.operators.conform import assign, number_for, plain_number, with_cells
 from kiln.operators.quarantine import reject_orphans, start
 from kiln.plans import catalog as C
+from kiln.plans import entities as E
+from kiln.schemas import TABLES
 from kiln.sources import testdata as TD
 from tests.conftest import frame
 
@@ -79,3 +81,44 @@ def test_incremental_batches_land_from_all_tasks(spark, tmp_path, monkeypatch):
     assert sorted((r.l_orderkey, r.l_extendedprice) for r in got) == [(k, float(k)) for k in range(150)]
     parts = [f for f in os.listdir(f"{tmp_path}/landed-lines") if f.endswith(".parquet")]
     assert len(parts) > 8  # two tasks a batch wrote 8 at most
+
+
+def test_odd_cells_are_judged_apart(spark):
+    """Numbers and cells of payments as the regexes and casts over every cell give them, in a plan that
+    casts plain cells as they are."""
+    spec = TABLES["payments"]
+    df = frame(spark, [c for c in spec.bronze_columns], [
+        (str(i), "r", "m", v, w, v, w, "s") for i, (v, w) in enumerate(zip(NUMBERS, reversed(NUMBERS)))])
+    kinds, numbers = dict(spec.silver_types), ["fare", "discount_percent", "discount_amount", "final_amount"]
+    out = with_cells(df, spec, numbers={c: f"n_{c}" for c in numbers}, assigned={c: f"a_{c}" for c in numbers})
+    for r in out.select("*", *[x for c in numbers for x in (
+            F.when(assign(to_number(c), kinds[c]).isNotNull(), to_number(c)).alias(f"want_n_{c}"),
+            assign(to_number(c), kinds[c]).alias(f"want_a_{c}"))]).collect():
+        problems = {}
+        for c in numbers:
+            assert (r[f"n_{c}"], r[f"a_{c}"]) == (r[f"want_n_{c}"], r[f"want_a_{c}"])
+            if r[c] is not None and r[c].strip() and r[f"want_a_{c}"] is None:
+                problems[c] = r[c]
+        assert {e.column_name: e.raw_text for e in r["_cells"]} == problems
+        assert {e.problem for e in r["_cells"] if e.raw_text.strip() == "1e999"} <= {"malformed", "overflow"}
+    assert "transform" in _plan(out)  # odd cells only
+
+
+def test_cleaned_payments_are_staged_typed(spark):
+    """Reading clean payments casts no text again, and rows that stay carry no second copy of it."""
+    staged = []
+
+    def stage(df):
+        staged.append(E.parquet_stage(df))
+        return staged[-1]
+    rides = frame(spark, ["ride_id"], [("r",)])
+    rows = [("1", "r", "m", "9.999", "abc", None, "7", "s"), ("2", "gone", "m", "12d", "5", "6", "7", "s")]
+    out = E.clean_payments(frame(spark, TABLES["payments"].bronze_columns, rows), rides, dt.datetime(2001, 1, 1), stage)
+    [r] = out.clean.collect()
+    assert [str(r[c]) for c in ("fare", "discount_percent", "discount_amount", "final_amount")] == [
+        "10.00", "0.00", "0.00", "7.00"]
+    assert "RLIKE" not in _plan(out.clean)
+    [bad] = out.rejects.collect()
+    assert (bad.fare, bad.discount_percent, bad.final_amount) == ("12d", "5", "7")
+    assert [(c.row_key, c.raw_text) for c in out.cells.collect()] == [("1", "abc")]
+    assert [x.fare for x in staged[-1].where("payment_id = '1'").collect()] == [None]
