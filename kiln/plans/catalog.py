@@ -101,7 +101,7 @@ def q_user_aggregate(spark, d):
 
 def q_dashboard_data(spark, d):
     s = _clean(spark, d)
-    return G.dashboard(s["users"], s["rides"], s["payments"], s["feedback"], s["captains"])
+    return G.dashboard(s["users"], s["rides"], s["payments"], s["feedback"], s["captains"], users_first=True)
 
 
 def co_bucketed(spark, d) -> dict[str, DataFrame]:
@@ -631,7 +631,8 @@ def q_reconcile_drilldown(spark, d):
 def q_dashboard_fanout_page(spark, d):
     """Three pages of the multiplying dashboard, from its beginning, middle and end."""
     s = _clean(spark, d)
-    whole = G.dashboard_fanout(s["users"], s["rides"], s["payments"], s["feedback"], s["captains"])
+    whole = G.dashboard_fanout(s["users"], s["rides"], s["payments"], s["feedback"], s["captains"],
+                               users_first=True)
     pages = [(0, 400), (whole.size // 2, whole.size // 2 + 400), (whole.size - 400, whole.size)]
     return reduce(DataFrame.unionByName, [whole.page(max(a, 0), b) for a, b in pages]).select(
         "row_no", "captain_ride_id", *G.DASHBOARD_COLUMNS)

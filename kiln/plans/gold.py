@@ -178,8 +178,13 @@ DASHBOARD_COLUMNS = [
 ]
 
 
-def _details(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Users with their rides, payments and feedback, under the dashboard's names."""
+def _details(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
+             users_first: bool = False) -> DataFrame:
+    """Users with their rides, payments and feedback, under the dashboard's names.
+
+    ``users_first`` attaches users to the rides before these meet payments and feedback: what is
+    shuffled by the user is a ride, not each of its detail rows with all their columns. Tables that
+    lie in buckets of the ride are better joined on it first, which needs no shuffle."""
     u = users.select("user_id", F.col("name").alias("user_name"), "gender",
                      F.col("age").alias("user_age"), "signup_date", F.col("city").alias("user_city"))
     r = rides.select("ride_id", "user_id", "captain_id", "ride_date", "pickup_loc", "drop_loc",
@@ -191,8 +196,12 @@ def _details(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
                         "issue_category", "comments")
     # A ride has few payments and feedback rows, none of them a hot key: plain joins on the
     # ride, one scan of each side. A user may have a third of all rides.
-    details = r.join(p, "ride_id", "left").join(f, "ride_id", "left")
-    return left_join_many(u, details, "user_id", keys=rides)
+    if not users_first:
+        return left_join_many(u, r.join(p, "ride_id", "left").join(f, "ride_id", "left"), "user_id", keys=rides)
+    ridden = r.join(u, "user_id").join(p, "ride_id", "left").join(f, "ride_id", "left")
+    ridden = ridden.select(*u.columns, *[c for c in ridden.columns if c not in u.columns])
+    alone = u.join(r.where(F.col("user_id").isNotNull()).select("user_id").distinct(), "user_id", "left_anti")
+    return ridden.unionByName(alone, allowMissingColumns=True)
 
 
 def _captain_profiles(captains: DataFrame) -> DataFrame:
@@ -202,7 +211,8 @@ def _captain_profiles(captains: DataFrame) -> DataFrame:
 
 
 def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
-              captains: DataFrame, sort: bool = True, stage=parquet_stage) -> DataFrame:
+              captains: DataFrame, sort: bool = True, stage=parquet_stage,
+              users_first: bool = False) -> DataFrame:
     """One row per user x ride x (payment, feedback) detail, with the ride's captain
     attached; users without rides and captains without rides appear with nulls on the
     other side.
@@ -213,7 +223,7 @@ def dashboard(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback:
     are joined on the ride, for every ride alike: max(payments, 1) * max(feedback, 1) rows.
     """
     # The captain lookup reads the detail rows twice (join, and the ids in use): stage them.
-    rwf = stage(_details(users, rides, payments, feedback))
+    rwf = stage(_details(users, rides, payments, feedback, users_first))
     c = _captain_profiles(captains)
     full = full_join_lookup(rwf, c, "captain_id", "_cap_id")
     full = full.withColumn("captain_id", F.coalesce(F.col("captain_id"), F.col("_cap_id")))
@@ -253,13 +263,13 @@ def dashboard_fanout_size(users: DataFrame, rides: DataFrame, payments: DataFram
 
 
 def dashboard_fanout(users: DataFrame, rides: DataFrame, payments: DataFrame, feedback: DataFrame,
-                     captains: DataFrame, stage=parquet_stage) -> Factorised:
+                     captains: DataFrame, stage=parquet_stage, users_first: bool = False) -> Factorised:
     """The dashboard that joins every row to *every* ride of its captain, for reading by pages:
     ``page(start, stop)`` gives its rows of these ranks, ordered by user, captain, ride, payment
     and feedback (nulls last) and the captain's rides; nothing else of the product is made.
 
     Captains without any row of a user follow at the end, once for each of their rides."""
-    details = stage(_details(users, rides, payments, feedback).withColumn("_cap_id", F.col("captain_id")))
+    details = stage(_details(users, rides, payments, feedback, users_first).withColumn("_cap_id", F.col("captain_id")))
     used = details.where(F.col("_cap_id").isNotNull()).select("_cap_id").distinct()
     unused = captains.select(F.col("captain_id").alias("_cap_id")).join(used, "_cap_id", "left_anti")
     left = details.unionByName(unused, allowMissingColumns=True)

@@ -12,6 +12,7 @@ from kiln.operators.conform import assign, number_for, plain_number, with_cells
 from kiln.operators.quarantine import reject_orphans, start
 from kiln.plans import catalog as C
 from kiln.plans import entities as E
+from kiln.plans import gold as G
 from kiln.schemas import TABLES
 from kiln.sources import testdata as TD
 from tests.conftest import frame
@@ -122,3 +123,29 @@ def test_cleaned_payments_are_staged_typed(spark):
     assert (bad.fare, bad.discount_percent, bad.final_amount) == ("12d", "5", "7")
     assert [(c.row_key, c.raw_text) for c in out.cells.collect()] == [("1", "abc")]
     assert [x.fare for x in staged[-1].where("payment_id = '1'").collect()] == [None]
+
+
+def test_users_meet_rides_before_the_details(spark):
+    users = frame(spark, ["user_id", "name", "gender", "age", "signup_date", "city"],
+                  [(u, u, "g", "1", "d", "c") for u in ("a", "b", "c")], seq=False)
+    rides = frame(spark, ["ride_id", "user_id", "captain_id", "ride_date", "pickup_loc", "drop_loc", "distance_km",
+                          "duration_min", "ride_status"],
+                  [(str(i), u, "k", "d", "p", "q", "1", "2", "s") for i, u in enumerate(["a", "a", "b", None, "x"])],
+                  seq=False)
+    payments = frame(spark, TABLES["payments"].bronze_columns,
+                     [(str(i), r, "m", "1", "2", "3", "4", "s") for i, r in enumerate(["0", "0", "2", "3", None])], seq=False)
+    feedback = frame(spark, TABLES["feedback"].bronze_columns,
+                     [(str(i), r, "1", "2", "i", "c") for i, r in enumerate(["0", "0", "1", None])], seq=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        late, early = (G._details(users, rides, payments, feedback, users_first=x) for x in (False, True))
+        assert late.columns == early.columns
+        assert sorted(map(str, late.collect())) == sorted(map(str, early.collect()))
+        by_user = [x for x in _plan(early).splitlines() if "Exchange hashpartitioning(user_id" in x]
+        assert by_user and early.where("user_id = 'a'").count() == 5
+        joins = [x.strip(" :+-") for x in _plan(early).splitlines() if "Join [user_id" in x and "Inner" in x]
+        payment_join = _plan(early).index("Join [ride_id")
+        assert joins and _plan(early).index("Join [user_id") > payment_join  # below it: done before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
