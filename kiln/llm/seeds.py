@@ -17,6 +17,10 @@ only seeds - a small share of all positions - have to be compared:
 4. A solver (suffix tree or suffix array) compares the contexts of a gram, many grams at a
    time, with groups bounded by ``max_group`` contexts. Grams with more contexts are solved
    without grouping: each of their windows becomes a row, aggregated by its 128-bit digest.
+   With ``in_halves`` their contexts are first grouped by a longer string: a window that holds
+   the gram holds half of the ``window - gram`` units left of it or half of them right of it,
+   so contexts that share a window agree in one of two keys. Only groups of a key that are
+   still too large are solved by windows, and only by those of their half.
 
 Texts are dealt once into a table bucketed by document key in the shared folder, zstd
 compressed; the later passes over texts read it without shuffling them again.
@@ -196,8 +200,37 @@ def _contexts(units: Units, with_units: bool):
     return work
 
 
+def _halves(units: Units):
+    """Rows of contexts, one for each half of the units around the gram that they hold: ``gram``
+    is the key of gram and half, ``of`` the gram, ``least`` to ``most`` the places of the gram
+    in the windows that hold that half."""
+    half, width = units.left // 2, units.width
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, rows, left = [], [], []
+            for i, (g, before, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in (
+                    "gram", "before", "units")))):
+                for is_left, lo, hi in ((False, before, before + units.gram + units.left - half),
+                                        (True, before - half, before + units.gram)):
+                    if lo >= 0 and hi * width <= len(raw):
+                        digest = xxhash.xxh3_64_intdigest(raw[lo * width:hi * width],
+                                                          seed=2 * (g & (2 ** 62 - 1)) + is_left)
+                        keys.append(digest - 2 ** 63)
+                        rows.append(i)
+                        left.append(is_left)
+            at, left = pa.array(rows, pa.int64()), np.array(left, bool)
+            cols = {c: b.column(c).take(at) for c in b.schema.names}
+            cols |= {"of": cols["gram"], "gram": pa.array(keys, pa.int64()),
+                     "least": pa.array(np.where(left, half, 0).astype(np.int32)),
+                     "most": pa.array(np.where(left, units.left, half - 1).astype(np.int32))}
+            yield pa.RecordBatch.from_pydict(cols)
+    return work
+
+
 _OCCURRENCE = ("doc long, doc_id long, gram long, context long, at int, before int, after int")
 _CONTEXT = "gram long, context long, copies long, first_doc long, before int, units binary"
+_HALF = _CONTEXT + ", of long, least int, most int"
 
 #: A solver gets the arrays gram, context, copies, first_doc, before and a list of units
 #: (bytes) of whole groups, and returns the columns of its result, gram and context first.
@@ -212,6 +245,9 @@ def _solve(units: Units, solver: Solver, kinds: list[pa.DataType], names: list[s
         cols = [t.column(c).to_numpy() for c in ("gram", "context", "copies", "first_doc",
                                                  "before")]
         out = solver(units, *cols, t.column("units").to_pylist())
+        if "of" in t.schema.names:  # back from the keys of halves to the grams
+            keys, first = np.unique(cols[0], return_index=True)
+            out[0] = t.column("of").to_numpy()[first][np.searchsorted(keys, out[0])]
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(out, kinds)], names)
 
@@ -298,8 +334,10 @@ class RepeatFinder:
 
     def solve(self, contexts: DataFrame, solver: Solver, schema: str,
               oversize: Callable[[DataFrame], DataFrame], max_group: int,
-              rows_at_once: int = 10_000) -> DataFrame:
-        """The solver's rows for the contexts of grams that have several contexts."""
+              rows_at_once: int = 10_000, in_halves: bool = False) -> DataFrame:
+        """The solver's rows for the contexts of grams that have several contexts. With
+        ``in_halves``, the solver's results for a context must add up by maxima, and
+        ``oversize`` gets rows of halves."""
         sizes = self.stage.put(contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"))
                                .filter("n_contexts > 1"), "group-sizes")
 
@@ -316,36 +354,57 @@ class RepeatFinder:
         from pyspark.sql.pandas.types import to_arrow_type
         fields = _parse_datatype_string(schema).fields
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = with_units(sizes.filter(F.col("n_contexts") <= max_group))
-        solved = (rows.repartition(parts, "gram").sortWithinPartitions("gram", "context")
-                  .mapInArrow(_solve(self.units, solver, [to_arrow_type(f.dataType) for f in fields],
-                                     [f.name for f in fields], rows_at_once), schema))
-        many = sizes.filter(F.col("n_contexts") > max_group)
+
+        def in_groups(rows: DataFrame) -> DataFrame:
+            return (rows.repartition(parts, "gram").sortWithinPartitions("gram", "context")
+                    .mapInArrow(_solve(self.units, solver, [to_arrow_type(f.dataType) for f in fields],
+                                       [f.name for f in fields], rows_at_once), schema))
+
+        solved = in_groups(with_units(sizes.filter(F.col("n_contexts") <= max_group)))
+        # every one of these grams has over max_group contexts, so they are few
+        many = F.broadcast(sizes.filter(F.col("n_contexts") > max_group))
+        if many.isEmpty():
+            return solved
+        if not in_halves:
+            return solved.unionByName(oversize(with_units(many)))
+        halves = self.stage.put(with_units(many).mapInArrow(_halves(self.units), _HALF), "halves")
+        sizes = self.stage.put(halves.groupBy("gram").agg(F.count("*").alias("n_contexts"))
+                               .filter("n_contexts > 1"), "half-sizes")
+        solved = solved.unionByName(in_groups(halves.join(
+            sizes.filter(F.col("n_contexts") <= max_group).select("gram"), "gram")))
+        many = F.broadcast(sizes.filter(F.col("n_contexts") > max_group).select("gram"))
         if not many.isEmpty():
-            solved = solved.unionByName(oversize(with_units(many)))
+            solved = solved.unionByName(oversize(halves.join(many, "gram")))
         return solved
 
     def window_rows(self, rows: DataFrame) -> DataFrame:
         """``gram, context, back, window, copies, first_doc``: every window of the contexts
-        by digest; ``back`` is how far before the seed it starts."""
+        by digest; ``back`` is how far before the seed it starts. For halves, only the windows
+        from ``least`` to ``most``, with the gram in ``of``."""
         units = self.units
+        half = "of" in rows.columns
 
         def work(batches):
             step = units.width
             for b in batches:
                 out: list[tuple] = []
-                for g, c, n, d, before, raw in zip(*(b.column(k).to_pylist() for k in (
-                        "gram", "context", "copies", "first_doc", "before", "units"))):
+                of, least, most = (b.column(k).to_pylist() for k in ("of", "least", "most")) \
+                    if half else (b.column("gram").to_pylist(), [0] * b.num_rows,
+                                  [units.left] * b.num_rows)
+                for g, c, n, d, before, raw, o, first, last in zip(*(b.column(k).to_pylist() for k in (
+                        "gram", "context", "copies", "first_doc", "before", "units")), of, least, most):
                     size = len(raw) // step
-                    for back in range(min(before, units.left) + 1):
+                    for back in range(first, min(before, last) + 1):
                         lo = before - back
                         if lo + units.window <= size:
                             out.append((g, c, back, xxhash.xxh3_128_digest(
-                                raw[lo * step:(lo + units.window) * step]), n, d))
-                cols = zip(*out) if out else [()] * 6
+                                raw[lo * step:(lo + units.window) * step]), n, d, o))
+                cols = zip(*out) if out else [()] * 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, (
-                        pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()))],
-                    ["gram", "context", "back", "window", "copies", "first_doc"])
+                        pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(),
+                        pa.int64()))],
+                    ["gram", "context", "back", "window", "copies", "first_doc", "of"])
         return rows.mapInArrow(
-            work, "gram long, context long, back int, window binary, copies long, first_doc long")
+            work, "gram long, context long, back int, window binary, copies long, first_doc long,"
+                  " of long")

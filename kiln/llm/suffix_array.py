@@ -16,7 +16,8 @@ one document or several; strings never cross documents and are judged on the inp
 
 Defined results: a null text has no bytes; texts are UTF-8; repeated rows are documents of
 their own, so their texts of ``window`` bytes and more are removed. Grams with more than
-``max_group`` different contexts are solved by aggregating their windows instead.
+``max_group`` different contexts are solved by the same array after grouping them by longer
+strings (see ``seeds``); groups that are still larger by aggregating their windows instead.
 """
 
 from __future__ import annotations
@@ -113,13 +114,13 @@ def repeated_bytes(docs: DataFrame, window: int = 200, gram: int = 32, max_group
         key = ["window", "gram", "back"]
         twice = windows.groupBy(*key).agg(F.sum("copies").alias("n")).filter("n > 1")
         return (windows.join(finder.stage.put(twice.select(*key), "twice"), key)
-                .groupBy("gram", "context").agg(
+                .groupBy(F.col("of").alias("gram"), "context").agg(
                     F.max("back").cast("long").alias("reach_left"),
                     F.max(F.lit(window) - F.col("back")).cast("long").alias("reach_right")))
 
     solved = finder.solve(contexts, solve_intervals,
                           "gram long, context long, reach_left long, reach_right long",
-                          by_window, max_group)
+                          by_window, max_group, in_halves=True)
     copied = contexts.filter((F.col("copies") > 1)
                              & (F.col("before") + F.col("after") >= window)).select(
         "gram", "context", F.col("before").cast("long").alias("reach_left"),

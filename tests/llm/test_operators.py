@@ -73,9 +73,7 @@ def test_repeated_words(docs, max_group):
     assert got == want
 
 
-@pytest.mark.parametrize("max_group", [4096, 1])
-def test_repeated_bytes(docs, max_group):
-    rows = _rows(docs)
+def _kept_bytes_want(rows):
     seen = Counter()
     for _, t in rows:
         b = (t or "").encode()
@@ -85,11 +83,36 @@ def test_repeated_bytes(docs, max_group):
         b = (t or "").encode()
         gone = {j for k in range(len(b) - 199) if seen[b[k:k + 200]] > 1 for j in range(k, k + 200)}
         want[(i, bytes(x for j, x in enumerate(b) if j not in gone))] += 1
+    return want
+
+
+def _kept_bytes(docs, max_group):
     got = Counter()
     for r in suffix_array.repeated_bytes(docs, max_group=max_group).collect():
         kept = suffix_array.kept_bytes(r.packed, [s.asDict() for s in r.spans or []], Unpacker())
         got[(r.doc_id, kept[3])] += 1
-    assert got == want
+    return got
+
+
+@pytest.mark.parametrize("max_group", [4096, 1])
+def test_repeated_bytes(docs, max_group):
+    assert _kept_bytes(docs, max_group) == _kept_bytes_want(_rows(docs))
+
+
+def test_hot_grams_go_to_the_array_by_longer_strings(spark, monkeypatch):
+    """One line in all texts, between different ones: no window of it becomes a row."""
+    rng = random.Random(11)
+    own = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line = own(90)
+    texts = [own(rng.randint(0, 150)) + line + own(rng.randint(60, 200)) for _ in range(40)]
+    for i in range(0, 40, 5):  # reaches far to the left, far to the right, or over both sides
+        at = texts[i].index(line)
+        texts += [own(30) + texts[i][max(0, at - 120):at + 100] + own(90),
+                  own(90) + texts[i][at - 10 if at > 9 else 0:] + own(40), own(50) + texts[i] + own(9)]
+    rows = [(i, t, "a", 1, "z") for i, t in enumerate(texts)]
+    hot = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(suffix_array.RepeatFinder, "window_rows", None)
+    assert _kept_bytes(hot, 24) == _kept_bytes_want([r[:2] for r in rows])
 
 
 def _components(ids, links):
