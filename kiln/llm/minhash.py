@@ -20,10 +20,15 @@ Steps and their bounds:
   by round: each member with the pivot unless both are already connected or the bound or
   their sizes rule a link out. First every bucket has one pivot, the set with the least of
   its own, which connects most groups of copies by one comparison a member; then pivots per
-  bucket grow eightfold each round. A bucket is done when its members that were not a pivot
+  bucket grow 64-fold each round. A bucket is done when its members that were not a pivot
   yet are connected or ruled out, so no link between components is lost.
-* Before whole sets travel, a pair compares one byte of each of its 48 minhashes. Pairs that
-  agree in so few that a linked pair would do so once in ten million are not followed up.
+* A pair becomes a row only if its odd sketches allow a link: a bit of a sketch is the parity
+  of the set's shingles that fall on it, so the bits in which two sketches differ are at most
+  the shingles in which the sets do. A link has ``(100 + percent) * differing <= (100 - percent)
+  * (n_a + n_b)``; nothing is lost. Sets that are alike but not linked are compared in pairs
+  still (16 words each), but hardly any of these pairs is written or sees its whole sets.
+* Texts of bucket members, and collection values that several sets hold, are few: a bitmap of
+  their hashes, bounded in size, drops nearly all other rows before the join that decides.
 
 Defined results: null and word-less texts have the empty set and link with nothing; rows
 with a null id link with nothing (component null, not kept); rows that share an id share
@@ -33,7 +38,6 @@ it in the result, each by its own text; repeated rows get the same result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -99,8 +103,7 @@ def shingle_sets(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
 
 
 class MinHasher:
-    """Values of the collections of a set, each mixing ``rows`` minhashes, and the lowest
-    byte of every minhash."""
+    """Values of the collections of a set, each mixing ``rows`` minhashes."""
 
     def __init__(self, collections: int, rows: int, seed: int = 17):
         rng = np.random.default_rng(seed)
@@ -109,7 +112,7 @@ class MinHasher:
         self.factors = rng.integers(1, 2 ** 63, size=n, dtype=np.uint64) * 2 + 1
         self.offsets = rng.integers(0, 2 ** 63, size=n, dtype=np.uint64)
 
-    def values(self, hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
+    def values(self, hashes: np.ndarray) -> np.ndarray:
         low = np.full(len(self.factors), 2 ** 64 - 1, np.uint64)
         for at in range(0, len(hashes), 256):  # pieces that stay in the processor's cache
             h = hashes[at:at + 256] * self.factors[:, None]
@@ -121,46 +124,57 @@ class MinHasher:
         out = np.zeros(self.shape[0], np.uint64)
         for r in range(self.shape[1]):
             out = _scramble(out * np.uint64(0x9E3779B97F4A7C15) + low.reshape(self.shape)[:, r])
-        return out, low.astype(np.uint8).tobytes()
+        return out
 
 
-def least_agreement(percent: int, n: int, risk: float = 1e-7) -> int:
-    """The most of ``n`` minhashes that can be asked to agree, so that a pair of similarity
-    ``percent`` falls short with a probability of at most ``risk``."""
-    p, tail = percent / 100, 0.0
-    for k in range(n + 1):
-        tail += comb(n, k) * p ** k * (1 - p) ** (n - k)
-        if tail > risk:
-            return k
-    return n
+#: Words of 64 bits in an odd sketch.
+_ODD_WORDS = 16
 
 
-def _agreeing(least: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
-                    .reshape(batch.num_rows, -1) for c in ("xa", "xb"))
-            keep = pa.array((x == y).sum(axis=1) >= least)
-            yield batch.select(["a", "b"]).filter(keep)
-    return work
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the hashes that fall on each bit. Two sketches differ in no more bits than
+    the sets differ in hashes."""
+    n = 64 * _ODD_WORDS
+    odd = np.bincount((hashes % np.uint64(n)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+#: Bits of one row of a bitmap, as ``bitmap_construct_agg`` has them.
+_BITMAP_ROW = 32_768
+
+
+def likely(rows: DataFrame, key, wanted: DataFrame, wanted_key, at_most: int = 2 ** 26) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among the ``wanted`` keys: all that
+    are wanted stay, so a join with ``wanted`` that follows is not changed. The bitmap of hashes
+    takes two bytes a key, and never more than ``at_most`` bits; beyond that it spares less."""
+    bits = _BITMAP_ROW
+    while bits < min(at_most, 16 * wanted.count()):
+        bits *= 2
+    place = lambda k: F.pmod(F.xxhash64(*k), F.lit(bits))
+    bitmap = (wanted.select(place(wanted_key).alias("p")).groupBy((F.col("p") / _BITMAP_ROW).cast("int").alias("_row"))
+              .agg(F.bitmap_construct_agg(F.col("p") % _BITMAP_ROW).alias("_bits")))
+    names = rows.columns
+    bit = F.col("_place") % _BITMAP_ROW
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return (rows.withColumn("_place", place(key))
+            .withColumn("_row", (F.col("_place") / _BITMAP_ROW).cast("int"))
+            .join(F.broadcast(bitmap), "_row")
+            .filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(names))
 
 
 def _sketch(size: int, collections: int, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(collections, rows)
         for batch in batches:
-            counts, digests, values, bytes_ = [], [], [], []
+            counts, digests, values = [], [], []
             for s in shingle_sets(batch.column("text").to_pylist(), size):
                 counts.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                vals, low = hasher.values(s) if len(s) else (None, None)
-                values.append(vals if vals is None else vals.view(np.int64))
-                bytes_.append(low)
+                values.append(hasher.values(s).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64())),
-                 pa.array(bytes_, pa.binary())],
-                ["doc_id", "text_hash", "n_shingles", "digest", "vals", "low"])
+                 pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "n_shingles", "digest", "vals"])
     return work
 
 
@@ -175,8 +189,9 @@ def _full_sets(size: int):
                 keep = [i for i, ok in enumerate(same) if ok]  # of rows that share an id
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rep").take(pa.array(keep, pa.int64())),
-                     pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64()))],
-                    ["rep", "shingles"])
+                     pa.array([sets[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
+                     pa.array([odd_sketch(sets[i]) for i in keep], pa.list_(pa.int64()))],
+                    ["rep", "shingles", "odd"])
     return work
 
 
@@ -193,7 +208,8 @@ class _Dedup:
         shared = (one.groupBy("i", "h").agg(F.count("*").alias("c")).filter("c > 1")
                   .select("i", "h"))
         shared = self.stage.put(shared, "shared-values")
-        mine = (one.join(shared, ["i", "h"]).groupBy("rep", "n")
+        mine = (likely(one, ["i", "h"], shared, ["i", "h"]).join(shared, ["i", "h"])
+                .groupBy("rep", "n")
                 .agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("have"))
                 .filter(F.size("have") > 1))  # at most one entry for each collection
         pairs = F.expr(
@@ -217,13 +233,14 @@ class _Dedup:
         return (100 * F.least(n_a, n_b)) >= (self.percent * F.greatest(n_a, n_b))
 
     def _whole_sets(self, buckets: DataFrame, reps: DataFrame) -> DataFrame:
-        """``rep, shingles`` of the sets in any bucket."""
+        """``rep, shingles, odd`` of the sets in any bucket."""
         wanted = self.stage.put(buckets.select("rep").distinct().join(
             reps.select("rep", "first_id", "digest"), "rep"), "wanted")
-        texts = self.docs.join(wanted, self.docs["doc_id"] == wanted["first_id"]).select(
+        docs = likely(self.docs, ["doc_id"], wanted, ["first_id"])
+        texts = docs.join(wanted, docs["doc_id"] == wanted["first_id"]).select(
             "rep", "digest", "text")
-        sets = self.stage.put(texts.mapInArrow(_full_sets(self.size),
-                                               "rep long, shingles array<long>"), "sets")
+        sets = self.stage.put(texts.mapInArrow(
+            _full_sets(self.size), "rep long, shingles array<long>, odd array<long>"), "sets")
         self.stage.drop(wanted)
         return sets
 
@@ -237,17 +254,18 @@ class _Dedup:
                 (100 - self.percent) * F.col("n").cast("long")
                 - (100 + self.percent) * F.coalesce("own", F.lit(0))).alias("slack"))
 
-    def _verify(self, pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    def _may_link(self):
+        """The odd sketches allow a link between ``n, odd`` and ``na, oa``."""
+        differing = sum(F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("oa")[i]))
+                        for i in range(_ODD_WORDS))
+        return (100 + self.percent) * differing <= (100 - self.percent) * (F.col("n") + F.col("na"))
+
+    def _verify(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The links among ``a, b`` pairs, confirmed on the full sets."""
-        met = self.stage.put(pairs.distinct(), "met")
-        low = reps.select("rep", "low")
-        least = least_agreement(self.percent, self.collections * self.rows)
-        pairs = self.stage.put(
-            met.join(low.toDF("a", "xa"), "a").join(low.toDF("b", "xb"), "b")
-            .mapInArrow(_agreeing(least), "a long, b long"), "candidates")
+        pairs = self.stage.put(pairs.distinct(), "met")
         ends = self.stage.put(
             pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "ends")
-        sets = sets.join(ends, "rep", "left_semi")
+        sets = sets.select("rep", "shingles").join(ends, "rep", "left_semi")
         common = F.size(F.array_intersect("sa", "sb"))
         links = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -255,7 +273,7 @@ class _Dedup:
                  .filter(100 * F.col("common") >= self.percent
                          * (F.size("sa") + F.size("sb") - F.col("common"))))
         out = self.stage.put(links.select("a", "b"), "links")
-        self.stage.drop(met, pairs, ends)
+        self.stage.drop(pairs, ends)
         return out
 
     def _merge(self, roots: DataFrame, found: DataFrame) -> DataFrame:
@@ -275,11 +293,11 @@ class _Dedup:
         hashed = self.docs.withColumn("text_hash", F.xxhash64("text"))
         sketches = stage.put(hashed.mapInArrow(
             _sketch(self.size, self.collections, self.rows),
-            "doc_id long, text_hash long, n_shingles long, digest binary, vals array<long>,"
-            " low binary"), "sketches")
+            "doc_id long, text_hash long, n_shingles long, digest binary, vals array<long>"),
+            "sketches")
         reps = (sketches.filter("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest")
                 .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
-                     F.first("vals").alias("vals"), F.first("low").alias("low")))
+                     F.first("vals").alias("vals")))
         reps = stage.put(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
 
         keys = self._pair_keys(reps)
@@ -287,6 +305,8 @@ class _Dedup:
         shared = stage.put(keys.join(sizes.select("key"), "key"), "shared-keys")
         stage.drop(keys)
         sets = self._whole_sets(shared, reps)
+        # rows that share id and text have one set
+        odd = stage.put(sets.select("rep", "odd").dropDuplicates(["rep"]), "odd-sketches")
         slack = stage.put(self._slack(sets), "slack")
         rest = stage.put(shared.join(slack, "rep"), "buckets")
         stage.drop(shared, slack)
@@ -315,18 +335,18 @@ class _Dedup:
                         F.col("p.root").alias("ra"), (-F.col("p.less")).alias("sa")), "pivots")
             if pivots.isEmpty():
                 break
-            pairs = (rest.join(pivots, "key")
+            pairs = (rest.join(odd, "rep").join(pivots.join(odd.toDF("a", "oa"), "a"), "key")
                      .filter((F.col("root") != F.col("ra")) & self._plausible("n", "na")
-                             & (F.col("slack") + F.col("sa") >= 0))
+                             & (F.col("slack") + F.col("sa") >= 0) & self._may_link())
                      .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")))
-            found = self._verify(pairs, reps, sets)
+            found = self._verify(pairs, sets)
             if not found.isEmpty():
                 links = links.unionByName(found)
                 roots = self._merge(roots, found)
             before = [rest, pivots]
             used = pivots.select("key", F.col("a").alias("rep"))
             rest = rest.join(used, ["key", "rep"], "left_anti").drop("root")
-            spread *= 8
+            spread *= 64
 
         named = roots.join(reps.select(F.col("rep").alias("node"), "first_id"), "node")
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -152,6 +152,56 @@ def test_minhash_components(spark):
                for r in rows)
 
 
+def test_alike_sets_that_are_no_links_are_hardly_written(spark, monkeypatch):
+    """60 texts of one base, each pair some 0.75 alike: they meet in tables, none is linked."""
+    rng = random.Random(7)
+    base = [f"v{rng.randint(0, 9999)}" for _ in range(400)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for at in rng.sample(range(400), 6):
+            w[at] = f"x{rng.randint(0, 3)}"
+        texts.append(" ".join(w))
+    texts += [texts[0] + " end", texts[1].replace(base[200], "new")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i)
+             if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    alike = sum(len(a & b) >= .65 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert alike > 1500 and len(links) < 60
+    met, put = [], minhash.Stage.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        met.append(out.count() if name == "met" else 0)
+        return out
+    monkeypatch.setattr(minhash.Stage, "put", counted)
+    rows = minhash.near_duplicates(df, percent=85)[0].collect()
+    assert {r.doc_id: r.component_id for r in rows} == _components(range(len(sets)), links)
+    assert sum(met) < 300
+
+
+def test_odd_sketches_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for n, change in ((5, 2), (300, 40), (3000, 900), (20_000, 9000)):
+        a = rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+        b = np.r_[a[change:], rng.integers(0, 2 ** 63, change, dtype=np.uint64)]
+        x, y = (minhash.odd_sketch(s).view(np.uint8) for s in (a, b))
+        assert np.unpackbits(x ^ y).sum() <= len(np.setxor1d(a, b))
+        assert not (minhash.odd_sketch(a) ^ minhash.odd_sketch(a[::-1])).any()
+
+
+def test_likely_keeps_all_wanted_rows(spark):
+    rows = spark.range(20_000).withColumn("t", F.concat(F.lit("t"), "id"))
+    for at_most in (2 ** 26, 2 ** 15):  # also more keys than bits have room for
+        wanted = rows.filter("id % 3 = 0").select(F.col("id").alias("w"))
+        few = minhash.likely(rows, ["id"], wanted, ["w"], at_most)
+        assert few.columns == rows.columns
+        assert few.join(wanted, few["id"] == wanted["w"]).count() == wanted.count()
+        assert few.count() < (8500 if at_most > 2 ** 15 else 12_000)
+    assert minhash.likely(rows, ["id"], wanted.limit(0), ["w"]).count() == 0
+
+
 def test_lattice_links_and_search(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(12, 16))
