@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import minhash, mixing, packing, store, suffix_array, toxicity
+from kiln.llm.memory import gives_back
 from kiln.llm.queries import held_out
 from kiln.llm.seeds import Unpacker
 from kiln.llm.store import Stage
@@ -63,6 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return stay.select(docs.columns)
 
 
+@gives_back
 def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = Unpacker()
     for b in batches:
@@ -96,6 +98,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def _cut_words(size: str, start: str, words: str):
+    @gives_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts down to the words that the mix takes: ``words`` from ``start`` on."""
         import re

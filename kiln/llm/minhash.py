@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.graph import components
+from kiln.llm.memory import gives_back
 from kiln.llm.store import Stage
 
 _ODD = np.random.default_rng(5).integers(1, 2 ** 63, size=64, dtype=np.uint64) * 2 + 1
@@ -163,6 +164,7 @@ def likely(rows: DataFrame, key, wanted: DataFrame, wanted_key, at_most: int = 2
 
 
 def _sketch(size: int, collections: int, rows: int):
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHasher(collections, rows)
         for batch in batches:
@@ -179,6 +181,7 @@ def _sketch(size: int, collections: int, rows: int):
 
 
 def _full_sets(size: int):
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):

@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.llm.memory import give_back, gives_back
 from kiln.llm.store import Stage
 
 
@@ -227,7 +228,10 @@ _PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 #: Characters of text that are encoded together at most, but for a single longer text.
-TEXT_AT_ONCE = 4 << 20
+TEXT_AT_ONCE = 1 << 20
+
+#: Characters of text after which a worker returns what it has freed.
+GIVE_BACK = 16 << 20
 
 
 def _slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, int]]:
@@ -250,11 +254,17 @@ def _encoder(path: str) -> Encoder:
 
 
 def _cut(tokenizer_path: str, capacity: int, end_id: int, at_once: int):
+    @gives_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        give_back()  # what the worker's earlier tasks left
+        encoder, read = _encoder(tokenizer_path), 0
         for whole in batches:
             for lo, hi in _slices(whole.column(1), at_once):
                 batch = whole.slice(lo, hi - lo)
+                read += pc.sum(pc.binary_length(batch.column(1))).as_py()
+                if read > GIVE_BACK:
+                    give_back()
+                    read = 0
                 rows: list[tuple] = []
                 for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

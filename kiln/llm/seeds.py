@@ -39,6 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.memory import gives_back
 from kiln.llm.minhash import _ODD, _scramble, word_hashes
 from kiln.llm.store import Stage
 
@@ -122,6 +123,7 @@ def sliding_argmin(h: np.ndarray, width: int) -> np.ndarray:
                     last + (p & mask).astype(np.int64))
 
 
+@gives_back
 def pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as zstd-compressed UTF-8."""
     zip_ = zstandard.ZstdCompressor(level=3)
@@ -149,6 +151,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 
 
 def _anchors(units: Units):
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = Unpacker()
         for b in _slices(batches, units.texts_at_once):
@@ -166,6 +169,7 @@ def _contexts(units: Units, with_units: bool):
     """Rows for the ``seeds`` of each document: the context's digest or its units."""
     width = units.width
 
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = Unpacker()
         for b in _slices(batches, 128):
@@ -206,6 +210,7 @@ def _halves(units: Units):
     in the windows that hold that half."""
     half, width = units.left // 2, units.width
 
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, rows, left = [], [], []
@@ -251,6 +256,7 @@ def _solve(units: Units, solver: Solver, kinds: list[pa.DataType], names: list[s
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(out, kinds)], names)
 
+    @gives_back
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -384,6 +390,7 @@ class RepeatFinder:
         units = self.units
         half = "of" in rows.columns
 
+        @gives_back
         def work(batches):
             step = units.width
             for b in batches:

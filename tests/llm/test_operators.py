@@ -393,6 +393,22 @@ def test_encoder_in_any_memory(remember):
         assert 2 * encoder.held <= max(remember, 1000)
 
 
+def test_packing_gives_memory_back(monkeypatch):
+    """Texts are encoded a megabyte at a time; freed memory returns within and after a task."""
+    import public_tokenizers
+    path, given, sizes = public_tokenizers.path("word_bpe_49k.json"), [], []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    monkeypatch.setattr("kiln.llm.memory.give_back", lambda: given.append(1))
+    encode = packing.Encoder.encode
+    monkeypatch.setattr(packing.Encoder, "encode", lambda self, texts: (
+        sizes.append(sum(map(len, texts.to_pylist()))), encode(self, texts))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["some words " * 50_000] * 40)],
+                                       ["doc_id", "text"])
+    packed = list(packing._cut(path, 2048, 0, packing.TEXT_AT_ONCE)(iter([batch])))
+    assert {d for b in packed for d in b.column("doc_id").to_pylist()} == set(range(40))
+    assert max(sizes) <= 1 << 20 and len(given) >= 3
+
+
 def test_packed_pieces_are_the_documents(spark):
     """Every field of op9 at its capacity against the definition."""
     import zlib
