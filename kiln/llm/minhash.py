@@ -20,7 +20,7 @@ Steps and their bounds:
   by round: each member with the pivot unless both are already connected or the bound or
   their sizes rule a link out. First every bucket has one pivot, the set with the least of
   its own, which connects most groups of copies by one comparison a member; then pivots per
-  bucket grow 64-fold each round. A bucket is done when its members that were not a pivot
+  bucket grow 512-fold each round. A bucket is done when its members that were not a pivot
   yet are connected or ruled out, so no link between components is lost.
 * A pair becomes a row only if its odd sketches allow a link: a bit of a sketch is the parity
   of the set's shingles that fall on it, so the bits in which two sketches differ are at most
@@ -349,7 +349,7 @@ class _Dedup:
             before = [rest, pivots]
             used = pivots.select("key", F.col("a").alias("rep"))
             rest = rest.join(used, ["key", "rep"], "left_anti").drop("root")
-            spread *= 64
+            spread *= 512
 
         named = roots.join(reps.select(F.col("rep").alias("node"), "first_id"), "node")
         smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
