@@ -2,7 +2,7 @@
 
 A document's set holds its distinct word shingles (64-bit hashes of word sequences).
 ``collections`` small collections of ``rows`` minhashes each are computed, and the keys of
-the hash tables are all pairs of collections: 16 collections of 3 give 120 tables of 6 rows
+the hash tables are pairs of collections: 16 collections of 3 give 120 tables of 6 rows
 from 48 minhashes instead of 720. Two sets meet in a table as soon as two of the 16
 collections agree: at similarity 0.85 this fails for 7 pairs in a million, at 0.8 for 2 in
 10,000. Every candidate is verified on the full sets.
@@ -12,7 +12,11 @@ Steps and their bounds:
 * Equal sets are collapsed first by a partial aggregation, so copies cost nothing.
 * Only sets that share at least two collection values with other sets emit table keys (a
   pair of collections cannot agree where one of them is unique), which spares nearly all
-  documents the 120 keys.
+  documents the keys.
+* The value of one collection is a key by itself if few sets hold it, or if its sets agree so
+  often in the next collection that its pairs would hardly be fewer. Only the other values of
+  a set are joined to pairs. Sets that agree in two values meet: by either value that is a key
+  by itself, else by both together. Alike sets so share at most 16 keys, not 120.
 * Shingles that no other set of any bucket holds are counted for every set. They are part of
   the difference of each pair, which rules most pairs out that are alike but not alike enough:
   ``(100 - percent) * (n_a + n_b) >= (100 + percent) * (own_a + own_b)`` holds for all links.
@@ -128,6 +132,12 @@ class MinHasher:
         return out
 
 
+#: A value that at most so many sets hold is a key by itself.
+_FEW = 32
+#: So is one that more hold, if comparing all of them makes at most so many times the pairs
+#: that also agree in the next collection.
+_DENSE = 8
+
 #: Words of 64 bits in an odd sketch.
 _ODD_WORDS = 16
 
@@ -205,21 +215,37 @@ class _Dedup:
         self.docs, self.percent, self.size = docs, percent, size
         self.collections, self.rows = collections, rows
 
-    def _pair_keys(self, reps: DataFrame) -> DataFrame:
-        """``key, rep, n`` for the sets that share at least two collection values."""
-        one = reps.select("rep", "n", F.posexplode("vals").alias("i", "h"))
-        shared = (one.groupBy("i", "h").agg(F.count("*").alias("c")).filter("c > 1")
-                  .select("i", "h"))
+    def _keys(self, reps: DataFrame) -> DataFrame:
+        """``key, rep, n``: two sets that share at least two collection values share a key."""
+        following = F.col("vals")[(F.col("i") + 1) % self.collections]
+        one = (reps.select("rep", "n", "vals", F.posexplode("vals").alias("i", "h"))
+               .select("rep", "n", "i", "h", following.alias("next")))
+        shared = (one.groupBy("i", "h").agg(F.count("*").alias("c")).filter("c > 1"))
         shared = self.stage.put(shared, "shared-values")
-        mine = (likely(one, ["i", "h"], shared, ["i", "h"]).join(shared, ["i", "h"])
-                .groupBy("rep", "n")
-                .agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("have"))
-                .filter(F.size("have") > 1))  # at most one entry for each collection
+        mine = self.stage.put(
+            likely(one, ["i", "h"], shared, ["i", "h"]).join(shared, ["i", "h"])
+            .groupBy("rep", "n").agg(F.collect_list(F.struct("i", "h", "next", "c")).alias("have"))
+            .filter(F.size("have") > 1)  # at most one entry for each collection
+            .select("rep", "n", F.explode("have").alias("v")).select("rep", "n", "v.*"), "values")
+        # of the values that many sets hold, those whose sets mostly agree in a second one, too
+        held, squares = F.sum("m").cast("double"), F.sum(F.col("m").cast("double") * F.col("m"))
+        dense = (mine.filter(F.col("c") > _FEW).groupBy("i", "h", "next").agg(F.count("*").alias("m"))
+                 .groupBy("i", "h").agg((_DENSE * squares >= held * held).alias("dense"))
+                 .filter("dense"))
+        marked = self.stage.put(
+            mine.join(dense, ["i", "h"], "left")
+            .withColumn("whole", (F.col("c") <= _FEW) | F.coalesce("dense", F.lit(False)))
+            .select("rep", "n", "i", "h", "whole"), "marked-values")
+        self.stage.drop(shared, mine)
         pairs = F.expr(
             "flatten(transform(have, (x, k) -> transform(slice(have, k + 2, size(have)),"
             " y -> xxhash64(x.i, y.i, x.h, y.h))))")
-        keys = self.stage.put(mine.select("rep", "n", F.explode(pairs).alias("key")), "keys")
-        self.stage.drop(shared)
+        split = (marked.filter("NOT whole").groupBy("rep", "n")
+                 .agg(F.sort_array(F.collect_list(F.struct("i", "h"))).alias("have"))
+                 .select("rep", "n", F.explode(pairs).alias("key")))
+        keys = self.stage.put(marked.filter("whole").select(
+            "rep", "n", F.xxhash64("i", "h").alias("key")).unionByName(split), "keys")
+        self.stage.drop(marked)
         return keys
 
     def _distinct_buckets(self, members: DataFrame, *aggregates) -> DataFrame:
@@ -303,7 +329,7 @@ class _Dedup:
                      F.first("vals").alias("vals")))
         reps = stage.put(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
 
-        keys = self._pair_keys(reps)
+        keys = self._keys(reps)
         sizes = self._distinct_buckets(keys, F.count("*").alias("c")).filter("c > 1")
         shared = stage.put(keys.join(sizes.select("key"), "key"), "shared-keys")
         stage.drop(keys)

@@ -181,6 +181,54 @@ def test_alike_sets_that_are_no_links_are_hardly_written(spark, monkeypatch):
     assert sum(met) < 300
 
 
+def test_alike_sets_share_few_keys(spark, monkeypatch):
+    """80 near copies of one text: once 120 keys each, now at most 16."""
+    rng = random.Random(5)
+    base = [f"v{rng.randint(0, 9999)}" for _ in range(200)]
+    texts = []
+    for _ in range(80):
+        w = list(base)
+        w[rng.randint(0, 199)] = f"x{rng.randint(0, 99)}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    keys, put = [], minhash.Stage.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        keys.append(out.count() if name == "keys" else 0)
+        return out
+    monkeypatch.setattr(minhash.Stage, "put", counted)
+    rows = minhash.near_duplicates(df, percent=85)[0].collect()
+    assert {r.component_id for r in rows} == {0}
+    assert 0 < sum(keys) <= 16 * 80
+
+
+def test_sets_that_agree_in_two_values_share_a_key(spark):
+    """With values of few sets, of many that agree (dense) and of many that do not (split)."""
+    rng = random.Random(6)
+    vals = [[rng.randint(0, 400) for _ in range(16)] for _ in range(120)]
+    for i in range(60):  # one value in common, the others mostly not: split
+        vals[i][2] = vals[i][9] = 1000 + i % 2
+        vals[i][12] = 2000
+    for v in vals[60:]:  # alike: dense
+        v[:8] = [3000 + rng.randint(0, 1) for _ in range(8)]
+    reps = spark.createDataFrame([(i, 10, v) for i, v in enumerate(vals)], "rep long, n long, vals array<long>")
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    keys = minhash._Dedup(docs, 85, 5, 16, 3)._keys(reps).collect()
+    mine = {}
+    for r in keys:
+        mine.setdefault(r.rep, set()).add(r.key)
+    for i, a in enumerate(vals):
+        for j in range(i):
+            if sum(x == y for x, y in zip(a, vals[j])) > 1:
+                assert mine.get(i, set()) & mine.get(j, set())
+    assert not any(mine[i] & mine[j] for i in range(60) for j in range(60, 120)
+                   if i in mine and j in mine and not any(x == y for x, y in zip(vals[i], vals[j])))
+    # a split value is no key by itself
+    assert any(sum(x == y for x, y in zip(vals[i], vals[j])) == 1 and not mine[i] & mine[j]
+               for i in range(60) for j in range(i))
+
+
 def test_odd_sketches_bound_the_difference():
     rng = np.random.default_rng(2)
     for n, change in ((5, 2), (300, 40), (3000, 900), (20_000, 9000)):
